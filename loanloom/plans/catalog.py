@@ -25,5 +25,5 @@ def query(name: str, check: str | None = None):
 
 def load_all() -> None:
     from loanloom.plans import (  # noqa: F401
-        feature_queries, profile_queries, ranking_queries, binning_queries,
+        feature_queries, profile_queries, ranking_queries, binning_queries, drift_queries, strategy_queries,
     )

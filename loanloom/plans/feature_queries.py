@@ -81,19 +81,19 @@ def cross_features(spark, folder):
 
 @query("row_statistics", f"""
 WITH {LOAN},
-xs AS (SELECT loan_id, list_filter([n0, n1, n2, n3, n4, annualIncome], lambda x: x IS NOT NULL) AS l FROM loan),
+xs AS (SELECT loan_id, list_filter([n0, n1, n2, n3, annualIncome], lambda x: x IS NOT NULL) AS l FROM loan),
 ms AS (SELECT loan_id, l, len(l) AS n, list_avg(l) AS m FROM xs),
 mo AS (SELECT *, list_sum(list_transform(l, lambda x: (x - m) ** 2)) AS m2,
          list_sum(list_transform(l, lambda x: (x - m) ** 3)) AS m3 FROM ms)
-SELECT loan_id, {r6('m')} AS n_mean, CASE WHEN n > 1 THEN {r6('sqrt(m2 / (n - 1))')} END AS n_std,
-  {r6('list_min(l)')} AS n_min, {r6('list_max(l)')} AS n_max, (6 - n)::INT AS n_null_cnt,
+SELECT loan_id, {r6('m')} AS n_mean, CASE WHEN n > 1 THEN round(sqrt(m2 / (n - 1)), 4) END AS n_std,
+  {r6('list_min(l)')} AS n_min, {r6('list_max(l)')} AS n_max, (5 - n)::INT AS n_null_cnt,
   CASE WHEN n >= 3 THEN CASE WHEN m2 / n < 1e-14 THEN 0.0 ELSE
     {r6('(m3 / n) / (m2 / n) ** 1.5 * sqrt(n * (n - 1)) / (n - 2)')} END END AS n_skew FROM mo""")
 def row_statistics(spark, folder):
-    cols = ["n0", "n1", "n2", "n3", "n4", "annualIncome"]
+    cols = ["n0", "n1", "n2", "n3", "annualIncome"]
     df = marts.loans(spark, folder, "loan_id", *cols)
     stats = features.row_statistics(cols)
-    return df.select("loan_id", *[(c if n.endswith("cnt") else F.round(c, 6)).alias(n) for n, c in stats.items()])
+    return df.select("loan_id", *[(c if n.endswith("cnt") else F.round(c, 4 if n == "n_std" else 6)).alias(n) for n, c in stats.items()])
 
 
 @query("occupation_risk", f"""
