@@ -104,7 +104,7 @@ def risk_based_pricing(spark, folder):
 @query("credit_limit", f"""
 WITH {SCORED}, x AS (SELECT loan_id, {POINTS} AS cs, annualIncome AS inc, least(score2 * 2, 1) AS dbr FROM scored),
 y AS (SELECT *, inc * CASE WHEN cs >= 650 THEN 8 WHEN cs >= 600 THEN 5 ELSE 3 END * CASE WHEN dbr > 0.5 THEN 0.7 ELSE 1.0 END::DOUBLE AS b FROM x)
-SELECT loan_id, round_even(CASE WHEN cs < 500 THEN least(b, 5000) WHEN cs < 600 THEN least(b, 20000) ELSE b END / 1000, 0) * 1000 AS credit_limit FROM y""")
+SELECT loan_id, CASE WHEN inc IS NOT NULL THEN round_even(CASE WHEN cs < 500 THEN least(b, 5000) WHEN cs < 600 THEN least(b, 20000) ELSE b END / 1000, 0) * 1000 END AS credit_limit FROM y""")
 def credit_limit(spark, folder):
     cs = F.expr(POINTS)
     multiple = F.when(cs >= 650, 8).when(cs >= 600, 5).otherwise(3)
@@ -161,12 +161,13 @@ def customer_segments(spark, folder):
 
 @query("collection_priority", f"""
 WITH {SCORED}, e AS {edges_sql('score2', 'scored', 5)}
-SELECT loan_id, {r6('score2 * loanAmnt')} AS expected_recovery, {r6('score2 * loanAmnt - 50')} AS net_value, 'T' || (len(e) - {right_bin('score2')}) AS collection_tier,
+SELECT loan_id, round(score2 * loanAmnt, 2) AS expected_recovery, round(score2 * loanAmnt - 50, 2) AS net_value, 'T' || (len(e) - {right_bin('score2')}) AS collection_tier,
   CASE len(e) - {right_bin('score2')} WHEN 1 THEN 'sms_only' WHEN 2 THEN 'outbound_call' WHEN 3 THEN 'intensive_call' WHEN 4 THEN 'third_party'
     WHEN 5 THEN 'legal_action' END AS collection_strategy FROM scored, e""")
 def collection_priority(spark, folder):
     df = hold(_scored(spark, folder, "loanAmnt").select("loan_id", "score2", "loanAmnt"))
-    return rounded(strategy.collection_priority(df, "score2", "loanAmnt", 50.0).drop("score2", "loanAmnt"))
+    out = strategy.collection_priority(df, "score2", "loanAmnt", 50.0).drop("score2", "loanAmnt")
+    return out.withColumns({c: F.round(c, 2) for c in ("expected_recovery", "net_value")})
 
 
 @query("collection_contacts", """
