@@ -10,9 +10,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from loanloom.functions.hashing import hash_int
+from loanloom.operators.ordering import row_positions
 from loanloom.session import cut_lineage
 
 # Strength of a relation by type; other types count 0.3.
@@ -191,23 +192,24 @@ def page_rank(edges: DataFrame, vertices: DataFrame, key: str, rounds: int = 10,
 def dense_components(edges: DataFrame, components: DataFrame, key: str, min_size: int = 3, min_density: float = 0.5, max_diameter: int = 3):
     """Components that are dense and of small diameter.
 
-    Density above one half filters first. In such a component every vertex reaches every other within
-    ``max_diameter`` hops iff each vertex's ball covers the component, so only the surviving components,
-    whose pair count is below four times their edge count, are expanded hop by hop.
+    Two vertices whose degrees add up to size - 1 are neighbours or share one, so a pair can be far apart
+    only if one of the two has fewer than half of the others as neighbours. Balls are grown from those
+    vertices alone, and only inside components that pass the density filter.
     """
     comp = components.select(F.col(key).alias("id"), "component", "size").where(F.col("size") >= min_size)
     inside = edges.select("src", "dst").join(comp, F.col("src") == F.col("id"))
     dens = inside.groupBy("component", "size").agg(F.count("*").alias("m")).withColumn(
         "density", F.col("m") / (F.col("size") * (F.col("size") - 1)))
     dense = dens.where(F.col("density") > min_density)
-    kept = inside.join(dense.select("component"), "component", "left_semi").select("component", "src", "dst")
-    reach = kept.select("component", F.col("src").alias("a"), F.col("dst").alias("b"))
-    for _ in range(max_diameter - 1):
-        step = reach.join(kept.select(F.col("src").alias("b"), F.col("dst").alias("c")), "b").where("a <> c")
-        reach = reach.unionByName(step.select("component", "a", F.col("c").alias("b"))).distinct()
-    covered = reach.groupBy("component").agg(F.count("*").alias("pairs"))
-    return dense.join(covered, "component").where(F.col("pairs") == F.col("size") * (F.col("size") - 1)).select(
-        "component", "size", "density")
+    kept = inside.join(dense.select("component"), "component", "left_semi").select("component", "size", "src", "dst")
+    sparse = kept.groupBy("component", "size", F.col("src").alias("a")).agg(F.count("*").alias("d")).where("2 * d < size - 1")
+    links = kept.select(F.col("src").alias("b"), F.col("dst").alias("c"))
+    reach = sparse.select("component", "size", "a", F.col("a").alias("b"))
+    for _ in range(max_diameter):
+        step = reach.join(links, "b").where("a <> c").select("component", "size", "a", F.col("c").alias("b"))
+        reach = reach.unionByName(step).distinct()
+    far = reach.groupBy("component", "size", "a").agg(F.count("*").alias("n")).where("n < size")
+    return dense.join(far.select("component").distinct(), "component", "left_anti").select("component", "size", "density")
 
 
 def star_and_ring(edges: DataFrame, features: DataFrame, key: str, min_degree: int = 5, max_clustering: float = 0.1) -> DataFrame:
@@ -222,7 +224,7 @@ def star_and_ring(edges: DataFrame, features: DataFrame, key: str, min_degree: i
 def random_walks(edges: DataFrame, vertices: DataFrame, key: str, length: int = 5, walks: int = 1, seed: int = 42) -> DataFrame:
     """(key, walk, path). Each step takes the neighbour whose hash with the walk's state is smallest
     among a vertex's numbered neighbours: an equi-join on (vertex, number), never all neighbours."""
-    numbered = edges.withColumn("_i", F.row_number().over(Window.partitionBy("src").orderBy("dst")) - 1)
+    numbered = row_positions(edges.select("src", "dst"), "dst", "dst", ["src"], descending=False).withColumn("_i", F.col("pos") - 1)
     deg = edges.groupBy("src").agg(F.count("*").alias("_deg"))
     state = vertices.select(
         F.col(key).alias("start"), F.explode(F.sequence(F.lit(1), F.lit(walks))).alias("walk"), F.col(key).alias("at"),
