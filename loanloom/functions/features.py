@@ -60,25 +60,29 @@ def anonymous_columns(columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c.startswith("n") and c[1:].isdigit()]
 
 
-def row_statistics(columns: Sequence[str], prefix: str = "n") -> dict[str, Column]:
-    """Mean, sample deviation, min, max, NULL count and bias-corrected skew across columns of a row."""
+def with_row_statistics(df: DataFrame, columns: Sequence[str], prefix: str = "n") -> DataFrame:
+    """Mean, sample deviation, min, max, NULL count and bias-corrected skew across columns of a row.
+
+    Count, mean and moments are computed in steps that the planner keeps apart, so that no step repeats
+    the one before it inside every cell.
+    """
     cells = [F.col(c).cast("double") for c in columns]
-    present = [F.when(c.isNotNull(), 1.0).otherwise(0.0) for c in cells]
     add = lambda parts: sum(parts[1:], parts[0])
-    n = add(present)
-    mean = F.try_divide(add([F.coalesce(c, F.lit(0.0)) for c in cells]), n)
-    moment = lambda p: add([F.coalesce(F.pow(c - mean, F.lit(float(p))), F.lit(0.0)) for c in cells])
-    m2, m3 = moment(2), moment(3)
-    var_n, third_n = F.try_divide(m2, n), F.try_divide(m3, n)
-    g1 = third_n / F.pow(var_n, 1.5) * F.sqrt(n * (n - 1)) / (n - 2)
-    return {
+    n, mean, m2, m3 = (F.col(f"_{prefix}_{x}") for x in ("n", "m", "m2", "m3"))
+    df = df.withColumn(f"_{prefix}_n", add([F.when(c.isNotNull(), 1.0).otherwise(0.0) for c in cells]))
+    df = df.withColumn(f"_{prefix}_m", F.try_divide(add([F.coalesce(c, F.lit(0.0)) for c in cells]), n))
+    off = [F.coalesce(c - mean, F.lit(0.0)) for c in cells]
+    df = df.withColumns({f"_{prefix}_m2": add([d * d for d in off]), f"_{prefix}_m3": add([d * d * d for d in off])})
+    var_n = F.try_divide(m2, n)
+    g1 = m3 / n / (var_n * F.sqrt(var_n)) * F.sqrt(n * (n - 1)) / (n - 2)
+    return df.withColumns({
         f"{prefix}_mean": mean,
         f"{prefix}_std": F.when(n > 1, F.sqrt(m2 / (n - 1))),
         f"{prefix}_min": F.least(*cells),
         f"{prefix}_max": F.greatest(*cells),
         f"{prefix}_null_cnt": (F.lit(len(cells)) - n).cast("int"),
         f"{prefix}_skew": F.when(n < 3, None).when(var_n < 1e-14, 0.0).otherwise(g1),
-    }
+    }).drop(*[f"_{prefix}_{x}" for x in ("n", "m", "m2", "m3")])
 
 
 def lookup(key: Column, table: Mapping, default) -> Column:

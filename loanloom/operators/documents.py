@@ -8,8 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, IDF, NGram, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.mllib.linalg import Vectors as OldVectors
 from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, functions as F
 
 from loanloom.operators.ordering import row_positions
@@ -39,8 +39,7 @@ def text_components(df: DataFrame, text: str, key: str, components: int = 10, te
     """TF-IDF reduced to its leading singular directions; the sign makes each direction's largest weight positive."""
     x, _ = tfidf(df, text, [key], terms)
     x = hold(x)
-    rows = x.select("tfidf").rdd.map(lambda r: OldVectors.fromML(r["tfidf"]))
-    v = np.array(RowMatrix(rows).computeSVD(components).V.toArray())
+    v = np.array(RowMatrix(MLUtils.convertVectorColumnsFromML(x.select("tfidf"), "tfidf")).computeSVD(components).V.toArray())
     v = v * np.sign(v[np.abs(v).argmax(axis=0), range(v.shape[1])])
 
     @F.pandas_udf("array<double>")

@@ -23,12 +23,19 @@ EXACT_ROW_LIMIT = 2_000_000
 REFINE_ROW_LIMIT = 200_000
 
 
-def plan_cuts(df: DataFrame, order: str, slices: int | None = None) -> list[float]:
-    """Cut points of one column from a mergeable sketch; at most ``slices`` numbers reach the driver."""
+def plan_cuts_of(df: DataFrame, columns: Sequence[str], slices: int | None = None) -> dict[str, list[float]]:
+    """Cut points per column from mergeable sketches, in one pass; at most ``slices`` numbers per column
+    reach the driver."""
     slices = slices or min(1024, max(8, 2 * parallelism(df.sparkSession)))
     probs = [i / slices for i in range(1, slices)]
-    row = df.agg(F.percentile_approx(F.col(order).cast("double"), probs, 10 * slices).alias("q")).first()
-    return sorted({float(v) for v in (row["q"] or [])})
+    row = df.agg(
+        *[F.percentile_approx(F.col(c).cast("double"), probs, 10 * slices).alias(f"q{i}") for i, c in enumerate(columns)]
+    ).first()
+    return {c: sorted({float(v) for v in (row[f"q{i}"] or [])}) for i, c in enumerate(columns)}
+
+
+def plan_cuts(df: DataFrame, order: str, slices: int | None = None) -> list[float]:
+    return plan_cuts_of(df, [order], slices)[order]
 
 
 def with_slice(df: DataFrame, order: str, cuts: Sequence[float], name: str = "_slice") -> DataFrame:
@@ -63,10 +70,14 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def _with_offsets(part: DataFrame, totals: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
-    # Without a group the offsets are one row per slice, a number fixed by the slice count.
-    if by:
-        return join_null_safe(part, totals, keys)
-    return part.join(F.broadcast(totals), keys)
+    """Attach the offsets and a column ``_part`` that both the join and the window after it cluster on.
+
+    Fields of a struct compare equal when both are NULL, so NULL groups stay whole, and join and window
+    share one shuffle. Without groups the offsets are one row per slice, a number fixed by the plan.
+    """
+    key = F.struct(*keys).alias("_part")
+    left, right = part.select("*", key), totals.select(key, *[c for c in totals.columns if c not in keys])
+    return left.join(right if by else F.broadcast(right), "_part")
 
 
 def prefix_sums(
@@ -100,9 +111,7 @@ def prefix_sums(
         *[F.coalesce(F.sum(s).over(across), F.lit(0)).alias(f"off_{s}") for s in sums],
         *[F.sum(s).over(whole).alias(f"total_{s}") for s in sums],
     )
-    inside = (
-        Window.partitionBy(*by, "_slice").orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    inside = Window.partitionBy("_part").orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, -1)
     return _with_offsets(hist, totals, [*by, "_slice"], by).select(
         *by,
         order,
@@ -149,38 +158,42 @@ def row_positions(
         F.sum("_n").over(Window.partitionBy(*by)).alias("total"),
         *[F.coalesce(F.sum(f"_t_{s}").over(across), F.lit(0)).alias(f"_off_{s}") for s in sums],
     )
-    inside = Window.partitionBy(*part).orderBy(direction(order), "_tie")
+    inside = Window.partitionBy("_part").orderBy(direction(order), "_tie")
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = _with_offsets(rows, totals, part, by).withColumn("pos", F.row_number().over(inside) + F.col("_off"))
     for s in sums:
         out = out.withColumn(f"cum_{s}", F.coalesce(F.sum(s).over(running), F.lit(0)) + F.col(f"_off_{s}"))
-    return out.drop("_slice", "_sub", "_off", "_tie", *[f"_off_{s}" for s in sums])
+    return out.drop("_part", "_slice", "_sub", "_off", "_tie", *[f"_off_{s}" for s in sums])
 
 
-def average_ranks(df: DataFrame, order: str, key: str, name: str = "rank", cuts: Sequence[float] | None = None) -> DataFrame:
-    """Adds the ascending rank with ties averaged, as a share of the ranked rows.
+def average_ranks(df: DataFrame, orders: Sequence[str], key: str, names: Sequence[str]) -> DataFrame:
+    """Adds, per order column, the ascending rank with ties averaged, as a share of the ranked rows.
 
     All rows of a single-value slice share one rank that follows from the slice totals, so however
-    frequent a value is, its rows stay spread over the sub-slices.
+    frequent a value is, its rows stay spread over the sub-slices. Cut points of all columns come from
+    one pass, and the slice totals always from the input, not from the ranked columns before.
     """
-    df = df.where(F.col(order).isNotNull())
-    cuts = plan_cuts(df, order) if cuts is None else cuts
-    rows = _spread_rows(df, order, key, cuts)
-    totals = rows.groupBy("_slice").agg(F.count("*").alias("_n"))
-    across = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(
-        "_slice", "_n", F.coalesce(F.sum("_n").over(across), F.lit(0)).alias("_off"),
-        F.sum("_n").over(Window.partitionBy()).alias("_all"),
-    )
-    inside = Window.partitionBy("_slice", "_sub").orderBy(order)
-    same = Window.partitionBy("_slice", "_sub", order)
-    local = F.rank().over(inside) + (F.count("*").over(same) - 1) / 2
-    rank = F.when(F.col("_slice") % 2 == 1, (F.col("_n") + 1) / 2).otherwise(local)
-    return (
-        rows.join(F.broadcast(totals), "_slice")
-        .withColumn(name, (rank + F.col("_off")) / F.col("_all"))
-        .drop("_slice", "_sub", "_tie", "_n", "_off", "_all")
-    )
+    cuts = plan_cuts_of(df, orders)
+    out = df
+    for order, name in zip(orders, names):
+        totals = with_slice(df.select(order).where(F.col(order).isNotNull()), order, cuts[order])
+        totals = totals.groupBy("_slice").agg(F.count("*").alias("_n"))
+        across = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # one row per slice
+        totals = totals.select(
+            "_slice", "_n", F.coalesce(F.sum("_n").over(across), F.lit(0)).alias("_off"),
+            F.sum("_n").over(Window.partitionBy()).alias("_all"),
+        )
+        rows = _spread_rows(out.where(F.col(order).isNotNull()), order, key, cuts[order])
+        inside = Window.partitionBy("_slice", "_sub").orderBy(order)
+        same = Window.partitionBy("_slice", "_sub", order)
+        local = F.rank().over(inside) + (F.count("*").over(same) - 1) / 2
+        rank = F.when(F.col("_slice") % 2 == 1, (F.col("_n") + 1) / 2).otherwise(local)
+        out = (
+            rows.join(F.broadcast(totals), "_slice")
+            .withColumn(name, (rank + F.col("_off")) / F.col("_all"))
+            .drop("_slice", "_sub", "_tie", "_n", "_off", "_all")
+        )
+    return out
 
 
 def exact_quantiles(
@@ -241,43 +254,60 @@ def _between(values: dict[int, float], n: int, p: float) -> float:
 
 
 def _narrow(wide, open_ranges, found, slices, refine_limit):
-    """One round: sketch the open ranges, count their slices, settle or shrink each wanted rank."""
-    searched = [(c, i, r) for c, rs in open_ranges.items() for i, r in enumerate(rs)]
+    """One round: sketch the open ranges, count their slices, settle or shrink each wanted rank.
+
+    All columns and ranges share the jobs: one sketch, one count, one ordering of the small rests.
+    """
+    searched = [(c, r) for c, rs in open_ranges.items() for r in rs]
     probs = [i / slices for i in range(slices + 1)]
-    in_range = lambda c, r: F.when((F.col(f"`{c}`") > r[0]) & (F.col(f"`{c}`") < r[1]), F.col(f"`{c}`"))
+
+    def inside(c, r):
+        return F.when((F.col(f"`{c}`") > r[0]) & (F.col(f"`{c}`") < r[1]), F.col(f"`{c}`"))
+
     sketch = wide.agg(
-        *[F.percentile_approx(in_range(c, r), probs, 10 * slices).alias(f"q{j}") for j, (c, _, r) in enumerate(searched)]
+        *[F.percentile_approx(inside(c, r), probs, 10 * slices).alias(f"q{j}") for j, (c, r) in enumerate(searched)]
     ).first()
+    cuts = [sorted({float(v) for v in sketch[f"q{j}"]}) for j in range(len(searched))]
+    sliced = wide.select(*[inside(c, r).alias(f"v{j}") for j, (c, r) in enumerate(searched)])
+    for j in range(len(searched)):
+        sliced = with_slice(sliced, f"v{j}", cuts[j], f"s{j}")
+    long = sliced.select(F.inline(F.array(*[
+        F.struct(F.lit(j).alias("j"), F.when(F.col(f"v{j}").isNotNull(), F.col(f"s{j}")).alias("s")) for j in range(len(searched))])))
+    counted = long.where("s IS NOT NULL").groupBy("j", "s").agg(F.count("*").alias("n")).collect()
+    per_slice = {(row["j"], row["s"]): row["n"] for row in counted}
     still: dict[str, list] = {}
     small: list[tuple] = []
-    for j, (c, _, r) in enumerate(searched):
-        cuts = sorted({float(v) for v in sketch[f"q{j}"]})
-        ranged = with_slice(wide.select(in_range(c, r).alias("v")).where("v IS NOT NULL"), "v", cuts)
-        per_slice = {row["_slice"]: row["n"] for row in ranged.groupBy("_slice").agg(F.count("*").alias("n")).collect()}
+    for j, (c, r) in enumerate(searched):
         below = r[2]
-        for s in range(2 * len(cuts) + 1):
-            n = per_slice.get(s, 0)
-            inside = [k for k in r[3] if below <= k < below + n]
-            if inside and s % 2 == 1:
-                found[c].update({k: cuts[s // 2] for k in inside})
-            elif inside:
-                low = cuts[s // 2 - 1] if s else r[0]
-                high = cuts[s // 2] if s // 2 < len(cuts) else r[1]
+        for s in range(2 * len(cuts[j]) + 1):
+            n = per_slice.get((j, s), 0)
+            here = [k for k in r[3] if below <= k < below + n]
+            if here and s % 2 == 1:
+                found[c].update({k: cuts[j][s // 2] for k in here})
+            elif here:
+                low = cuts[j][s // 2 - 1] if s else r[0]
+                high = cuts[j][s // 2] if s // 2 < len(cuts[j]) else r[1]
                 if n <= refine_limit:
-                    small.append((c, (low, high, below, inside)))
+                    small.append((c, (low, high, below, here)))
                 else:
-                    still.setdefault(c, []).append((low, high, below, inside))
+                    still.setdefault(c, []).append((low, high, below, here))
             below += n
-    for c, r in small:
-        # at most refine_limit rows: order their distinct values and keep the wanted ranks only
-        vals = (
-            wide.select(in_range(c, r).alias("v")).where("v IS NOT NULL").groupBy("v").agg(F.count("*").alias("n"))
-        )
-        upto = F.sum("n").over(Window.orderBy("v")) + F.lit(r[2])
-        ranked = vals.select("v", (upto - F.col("n")).alias("lo"), upto.alias("hi"))
-        hits = ranked.where(
-            F.exists(F.lit([int(k) for k in r[3]]), lambda k: (k >= F.col("lo")) & (k < F.col("hi")))
-        )
-        for row in hits.collect():
-            found[c].update({k: row["v"] for k in r[3] if row["lo"] <= k < row["hi"]})
+    if small:
+        _order_rests(wide, small, found, inside)
     return still
+
+
+def _order_rests(wide, small, found, inside) -> None:
+    """Order the rows of the last small ranges (each at most the refine limit) and keep the wanted ranks."""
+    long = wide.select(F.inline(F.array(*[
+        F.struct(F.lit(j).alias("j"), inside(c, r).alias("v")) for j, (c, r) in enumerate(small)]))).where("v IS NOT NULL")
+    counts = long.groupBy("j", "v").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("j").orderBy("v"))
+    ranked = counts.select("j", "v", (upto - F.col("n")).alias("lo"), upto.alias("hi"))
+    hit = F.lit(False)
+    for j, (_, r) in enumerate(small):
+        for k in r[3]:
+            hit = hit | ((F.col("j") == j) & (F.col("lo") <= k - r[2]) & (F.col("hi") > k - r[2]))
+    for row in ranked.where(hit).collect():
+        c, r = small[row["j"]]
+        found[c].update({k: row["v"] for k in r[3] if row["lo"] <= k - r[2] < row["hi"]})

@@ -241,8 +241,7 @@ def fairness_audit(df: DataFrame, score: str, label: str, group: str, min_rows:
 def rank_blend(df: DataFrame, scores: Sequence[str], key: str, weights: Sequence[float] | None = None, name: str = "blend"):
     """Weighted mean of percentile ranks (ties averaged), one pass per score column."""
     weights = list(weights or [1.0] * len(scores))
-    for i, s in enumerate(scores):
-        df = average_ranks(df, s, key, f"_rank{i}")
+    df = average_ranks(df, scores, key, [f"_rank{i}" for i in range(len(scores))])
     total = sum((F.col(f"_rank{i}") * F.lit(float(w)) for i, w in enumerate(weights)), F.lit(0.0))
     return df.withColumn(name, total / F.lit(float(sum(weights)))).drop(*[f"_rank{i}" for i in range(len(scores))])
 

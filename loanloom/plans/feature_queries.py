@@ -92,8 +92,9 @@ SELECT loan_id, {r6('m')} AS n_mean, CASE WHEN n > 1 THEN round(sqrt(m2 / (n - 1
 def row_statistics(spark, folder):
     cols = ["n0", "n1", "n2", "n3", "annualIncome"]
     df = marts.loans(spark, folder, "loan_id", *cols)
-    stats = features.row_statistics(cols)
-    return df.select("loan_id", *[(c if n.endswith("cnt") else F.round(c, 4 if n == "n_std" else 6)).alias(n) for n, c in stats.items()])
+    df = features.with_row_statistics(df, cols).drop(*cols)
+    digits = {"n_mean": 6, "n_std": 4, "n_min": 6, "n_max": 6, "n_skew": 6}
+    return df.withColumns({n: F.round(n, d) for n, d in digits.items()})
 
 
 @query("occupation_risk", f"""
@@ -301,7 +302,7 @@ def feature_block(spark, folder):
     df = marts.loans(spark, folder, "loan_id", "loanAmnt", "annualIncome", "n0", "n1", "n2", "purpose", "isDefault")
     model = encoding.fit_target_means(df, ["purpose"], "isDefault", smoothing=20)
     df = encoding.apply_target_means(df, model)
-    stats = features.row_statistics(["n0", "n1", "n2"])
+    df = features.with_row_statistics(df, ["n0", "n1", "n2"])
     ratio = features.guarded_ratio(F.col("loanAmnt"), F.col("annualIncome"))
-    return df.select("loan_id", F.round(ratio, 6).alias("loanToIncome"), F.round(stats["n_mean"], 6).alias("n_mean"),
+    return df.select("loan_id", F.round(ratio, 6).alias("loanToIncome"), F.round("n_mean", 6).alias("n_mean"),
                      F.round("purpose_te", 6).alias("purpose_te"))

@@ -3,19 +3,13 @@
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loanloom.operators.profiling import small_frame
-from loanloom.session import checkpoint_dir
-
-
-def run_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+from loanloom.session import run_folder  # noqa: F401
 
 
 def write_cleaned(df: DataFrame, path: str, year: str | None = "issueDate_year") -> None:
