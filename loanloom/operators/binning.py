@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loanloom.functions.features import score_scale
-from loanloom.operators.ordering import exact_quantiles
+from loanloom.operators.ordering import double_array, exact_quantiles
 from loanloom.operators.profiling import equal_width_edges, small_frame
 
 MISSING = "Missing"
@@ -174,7 +174,7 @@ def apply_woe(df: DataFrame, model: WoeModel, features: Sequence[str] | None = N
         if f in model.edges:
             k = max(1, len(model.edges[f]) - 1)
             woes = [float(small.get((f, str(i + 1)), absent)) for i in range(k)]
-            spot = F.get(F.lit(woes), right_closed_bin(f, model.edges[f]) - 1)
+            spot = F.get(double_array(woes), right_closed_bin(f, model.edges[f]) - 1)
             df = df.withColumn(f"{f}_woe", F.coalesce(spot, F.lit(absent)))
         else:
             part = model.table.where(F.col("feature") == f).select(F.col("bin").alias("_b"), F.col("woe").alias("_w"))
@@ -205,7 +205,7 @@ def binning_table(model: WoeModel, feature: str) -> DataFrame:
     if not e:
         return t
     spot = F.col("bin").try_cast("int")
-    return t.withColumns({"lower": F.get(F.lit(e), spot - 1), "upper": F.get(F.lit(e), spot)})
+    return t.withColumns({"lower": F.get(double_array(e), spot - 1), "upper": F.get(double_array(e), spot)})
 
 
 def iv_filter(summary: DataFrame, threshold: float = 0.02) -> DataFrame:

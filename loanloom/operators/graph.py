@@ -114,6 +114,52 @@ def neighbour_features(edges: DataFrame, vertices: DataFrame, key: str, label: s
         F.try_divide(d, F.col("_all") - 1).alias("degree_centrality"))
 
 
+def two_hop_counts(edges: DataFrame, vertices: DataFrame, key: str, heavy_from: int | None = None) -> DataFrame:
+    """(key, n_two_hop): distinct vertices at the end of a path of two edges, the vertex itself left out.
+
+    Middles of low degree are expanded into pairs, at most ``heavy_from`` per edge. Around a hub all pairs
+    would be quadratic, so hubs are handled by signature: two vertices meet at a hub iff their sets of hubs
+    overlap. Vertices with the same hub set are counted together, overlapping sets are found hub by hub on
+    the table of distinct sets, and the light pairs already reached through a hub are dropped.
+    """
+    ends = edges.select("src", "dst").distinct()
+    deg = ends.groupBy("src").agg(F.count("*").alias("d"))
+    if heavy_from is None:
+        m = ends.count()
+        heavy_from = max(64, int(m ** 0.5))
+    hubs = deg.where(F.col("d") > heavy_from).select(F.col("src").alias("hub"))
+    # at most edges / heavy_from hubs; each vertex keeps the sorted list of those it touches
+    at_hub = ends.join(hubs, F.col("dst") == F.col("hub"), "left_semi")
+    hub_sets = at_hub.groupBy("src").agg(F.array_sort(F.collect_set("dst")).alias("sig"))
+    none = F.array().cast(hub_sets.schema["sig"].dataType)
+    light = ends.join(hubs, F.col("dst") == F.col("hub"), "left_anti")
+    pairs = light.select(F.col("src").alias("v"), F.col("dst").alias("mid")).join(
+        ends.select(F.col("src").alias("mid"), F.col("dst").alias("w")), "mid").where("v <> w").select("v", "w").distinct()
+    sv = hub_sets.select(F.col("src").alias("v"), F.col("sig").alias("sig_v"))
+    sw = hub_sets.select(F.col("src").alias("w"), F.col("sig").alias("sig_w"))
+    only_light = pairs.join(sv, "v", "left").join(sw, "w", "left").where(
+        ~F.arrays_overlap(F.coalesce("sig_v", none), F.coalesce("sig_w", none)))
+    by_light = only_light.groupBy("v").agg(F.count("*").alias("n_light"))
+    sigs = hub_sets.groupBy("sig").agg(F.count("*").alias("n"))
+    per_hub = sigs.select("sig", "n", F.explode("sig").alias("hub"))
+    meet = per_hub.select("hub", F.col("sig").alias("sig_v")).join(per_hub.select("hub", F.col("sig").alias("sig_w"), "n"), "hub")
+    reach = meet.select("sig_v", "sig_w", "n").distinct().groupBy("sig_v").agg(F.sum("n").alias("n_hub"))
+    by_hub = sv.join(reach, "sig_v").select("v", (F.col("n_hub") - 1).alias("n_hub"))
+    return (
+        vertices.select(F.col(key).alias("v")).join(by_light, "v", "left").join(by_hub, "v", "left")
+        .select(F.col("v").alias(key), (F.coalesce("n_light", F.lit(0)) + F.coalesce("n_hub", F.lit(0))).alias("n_two_hop")))
+
+
+def walk_embeddings(walks: DataFrame, key: str, size: int = 16, seed: int = 42) -> DataFrame:
+    """(key, vector): Word2Vec over the walks, a walk read as a sentence of vertices."""
+    from pyspark.ml.feature import Word2Vec
+    from pyspark.ml.functions import vector_to_array
+
+    lines = walks.select(F.col("path").cast("array<string>").alias("path"))
+    model = Word2Vec(vectorSize=size, minCount=1, seed=seed, inputCol="path", outputCol="v", maxIter=1).fit(lines)
+    return model.getVectors().select(F.col("word").alias(key), vector_to_array("vector").alias("vector"))
+
+
 def device_sharing(pairs: DataFrame, user: str = "user_id", device: str = "device_id") -> DataFrame:
     """Devices of each user and how many of them are used by somebody else too."""
     pairs = pairs.select(user, device).distinct()

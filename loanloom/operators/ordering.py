@@ -23,11 +23,16 @@ EXACT_ROW_LIMIT = 2_000_000
 REFINE_ROW_LIMIT = 200_000
 
 
+def double_array(values: Sequence[float]) -> Column:
+    """Array literal of doubles, parsed as one expression."""
+    return F.expr("array(" + ",".join(f"{float(v)!r}D" for v in values) + ")")
+
+
 def plan_cuts_of(df: DataFrame, columns: Sequence[str], slices: int | None = None) -> dict[str, list[float]]:
     """Cut points per column from mergeable sketches, in one pass; at most ``slices`` numbers per column
     reach the driver."""
     slices = slices or min(1024, max(8, 2 * parallelism(df.sparkSession)))
-    probs = [i / slices for i in range(1, slices)]
+    probs = double_array([i / slices for i in range(1, slices)])
     row = df.agg(
         *[F.percentile_approx(F.col(c).cast("double"), probs, 10 * slices).alias(f"q{i}") for i, c in enumerate(columns)]
     ).first()
@@ -56,7 +61,7 @@ def with_slice(df: DataFrame, order: str, cuts: Sequence[float], name: str = "_s
             .withColumn(name, F.col(pos).cast("int"))
             .drop(raw, pos)
         )
-    at_cut = F.coalesce(F.get(F.lit(cuts), F.col(name) - 1) == value, F.lit(False))
+    at_cut = F.coalesce(F.get(double_array(cuts), F.col(name) - 1) == value, F.lit(False))
     return df.withColumn(name, 2 * F.col(name) - F.when(at_cut, 1).otherwise(0))
 
 
@@ -259,7 +264,7 @@ def _narrow(wide, open_ranges, found, slices, refine_limit):
     All columns and ranges share the jobs: one sketch, one count, one ordering of the small rests.
     """
     searched = [(c, r) for c, rs in open_ranges.items() for r in rs]
-    probs = [i / slices for i in range(slices + 1)]
+    probs = double_array([i / slices for i in range(slices + 1)])
 
     def inside(c, r):
         return F.when((F.col(f"`{c}`") > r[0]) & (F.col(f"`{c}`") < r[1]), F.col(f"`{c}`"))

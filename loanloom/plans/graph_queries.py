@@ -63,6 +63,20 @@ def star_and_ring(spark, folder):
     return graph.star_and_ring(e, f, "customer_id")
 
 
+@query("two_hop_counts", f"""
+WITH {EDGE}, p AS (SELECT DISTINCT a.src AS v, b.dst AS w FROM edge a JOIN edge b ON a.dst = b.src WHERE a.src <> b.dst), n AS (SELECT v, count(*) AS n FROM p GROUP BY 1)
+SELECT c_custkey AS customer_id, coalesce(n, 0) AS n_two_hop FROM customer LEFT JOIN n ON v = c_custkey""")
+def two_hop_counts(spark, folder):
+    return graph.two_hop_counts(_edges(spark, folder), _customers(spark, folder), "customer_id")
+
+
+@query("walk_embeddings")
+def walk_embeddings(spark, folder):
+    w = graph.random_walks(_edges(spark, folder), _customers(spark, folder), "customer_id", length=4)
+    e = graph.walk_embeddings(w, "customer_id", 4)
+    return rounded(e.select("customer_id", *[F.get("vector", F.lit(i)).alias(f"e{i}") for i in range(4)]))
+
+
 @query("neighbour_mean", f"""
 WITH {EDGE}, {LOAN}, a AS (SELECT customer_id, avg(loanAmnt) AS amt, avg(isDefault) AS d FROM loan GROUP BY 1)
 SELECT src AS customer_id, {r6('avg(amt)')} AS nb_amt, {r6('avg(d)')} AS nb_d FROM edge JOIN a ON customer_id = dst GROUP BY 1""")
