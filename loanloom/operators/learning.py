@@ -209,7 +209,13 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], label:
     the sliced row positions, so no task sees all rows.
     """
     base = hold(df.select(key, F.col(label).cast("int").alias("label"), *features))
-    auc = lambda d: evaluate(model.transform(assemble(d, features, ["label"])).select("label", probability().alias("score"))).first()["auc"]
+
+    def auc(d: DataFrame) -> float:
+        scored = hold(model.transform(assemble(d, features, ["label"])).select("label", probability().alias("score")))
+        value = evaluate(scored).first()["auc"]
+        scored.unpersist()
+        return value
+
     whole = auc(base)
     rows = []
     for c in columns or features:

@@ -10,6 +10,7 @@ not depend on them.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -36,7 +37,7 @@ def plan_cuts_of(df: DataFrame, columns: Sequence[str], slices: int | None = Non
     row = df.agg(
         *[F.percentile_approx(F.col(c).cast("double"), probs, 10 * slices).alias(f"q{i}") for i, c in enumerate(columns)]
     ).first()
-    return {c: sorted({float(v) for v in (row[f"q{i}"] or [])}) for i, c in enumerate(columns)}
+    return {c: sorted({float(v) for v in (row[f"q{i}"] or []) if math.isfinite(v)}) for i, c in enumerate(columns)}
 
 
 def plan_cuts(df: DataFrame, order: str, slices: int | None = None) -> list[float]:
@@ -272,7 +273,7 @@ def _narrow(wide, open_ranges, found, slices, refine_limit):
     sketch = wide.agg(
         *[F.percentile_approx(inside(c, r), probs, 10 * slices).alias(f"q{j}") for j, (c, r) in enumerate(searched)]
     ).first()
-    cuts = [sorted({float(v) for v in sketch[f"q{j}"]}) for j in range(len(searched))]
+    cuts = [sorted({float(v) for v in sketch[f"q{j}"] if math.isfinite(v)}) for j in range(len(searched))]
     sliced = wide.select(*[inside(c, r).alias(f"v{j}") for j, (c, r) in enumerate(searched)])
     for j in range(len(searched)):
         sliced = with_slice(sliced, f"v{j}", cuts[j], f"s{j}")

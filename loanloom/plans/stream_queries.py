@@ -18,11 +18,13 @@ def hops(size: str, slide: str) -> str:
 
 
 @query("stream_hopping_counts", f"""
-WITH {CLOSED}, w AS (SELECT (props->>'$.k')::BIGINT AS device_id, {hops('3600', '300')}::BIGINT AS start FROM events)
-SELECT device_id, start, count(*) AS n_events FROM w, cl WHERE make_timestamp((start + 3600) * 1000000) <= wm GROUP BY 1, 2""")
+WITH cl AS (SELECT date_trunc('second', max(ts)) - INTERVAL 10 MINUTE AS wm FROM events),
+s AS (SELECT DISTINCT (props->>'$.k')::BIGINT AS device_id, date_trunc('second', ts) AS ts FROM events),
+w AS (SELECT device_id, {hops('3600', '300')}::BIGINT AS start FROM s)
+SELECT device_id, start, count(*) AS n_seconds FROM w, cl WHERE make_timestamp((start + 3600) * 1000000) <= wm GROUP BY 1, 2""")
 def stream_hopping_counts(spark, folder):
     out = monitors.run_available(monitors.hopping_counts(monitors.read_events(spark, folder, "events.parquet"), "device_id"), "hopping")
-    return out.select("device_id", F.unix_seconds("window.start").alias("start"), "n_events")
+    return out.select("device_id", F.unix_seconds("window.start").alias("start"), "n_seconds")
 
 
 @query("stream_rolling_bad_rate", f"""
