@@ -150,6 +150,21 @@ def two_hop_counts(edges: DataFrame, vertices: DataFrame, key: str, heavy_from:
         .select(F.col("v").alias(key), (F.coalesce("n_light", F.lit(0)) + F.coalesce("n_hub", F.lit(0))).alias("n_two_hop")))
 
 
+def hops_from(edges: DataFrame, sources: DataFrame, key: str, max_hops: int = 2) -> DataFrame:
+    """(key, hops) of every vertex within ``max_hops`` of the sources, each at its shortest distance.
+
+    Only the vertices reached last round are expanded, once each, so the work is linear in the edges
+    however the paths multiply. One or two hops give the direct and indirect relations of a set.
+    """
+    seen = cut_lineage(sources.select(F.col(key).alias("id")).distinct().withColumn("hops", F.lit(0)))
+    links = edges.select("src", "dst")
+    for h in range(1, max_hops + 1):
+        edge_of_front = seen.where(F.col("hops") == h - 1).join(links, F.col("id") == F.col("src"))
+        fresh = edge_of_front.select(F.col("dst").alias("id")).distinct().join(seen.select("id"), "id", "left_anti")
+        seen = cut_lineage(seen.unionByName(fresh.withColumn("hops", F.lit(h))))
+    return seen.select(F.col("id").alias(key), "hops")
+
+
 def walk_embeddings(walks: DataFrame, key: str, size: int = 16, seed: int = 42) -> DataFrame:
     """(key, vector): Word2Vec over the walks, a walk read as a sentence of vertices."""
     from pyspark.ml.feature import Word2Vec
@@ -207,9 +222,9 @@ def label_communities(edges: DataFrame, vertices: DataFrame, key: str, rounds: i
     state = vertices.select(F.col(key).alias("id"), F.col(key).alias("comm")).distinct()
     for i in range(rounds):
         votes = edges.join(state, F.col("dst") == F.col("id")).groupBy("src", "comm").agg(F.sum("weight").alias("w"))
-        best = votes.groupBy("src").agg(F.max(F.struct(F.round("w", 9).alias("w"), (-F.col("comm")).alias("c"))).alias("top"))
+        best = votes.groupBy("src").agg(F.min(F.struct((-F.round("w", 9)).alias("w"), F.col("comm").alias("c"))).alias("top"))
         state = state.join(best, F.col("id") == F.col("src"), "left").select(
-            "id", F.coalesce(-F.col("top.c"), "comm").alias("comm"))
+            "id", F.coalesce("top.c", "comm").alias("comm"))
         state = cut_lineage(state)
     return state.select(F.col("id").alias(key), F.col("comm").alias("community"))
 
@@ -268,9 +283,10 @@ def star_and_ring(edges: DataFrame, features: DataFrame, key: str, min_degree: i
 
 
 def random_walks(edges: DataFrame, vertices: DataFrame, key: str, length: int = 5, walks: int = 1, seed: int = 42) -> DataFrame:
-    """(key, walk, path). Each step takes the neighbour whose hash with the walk's state is smallest
-    among a vertex's numbered neighbours: an equi-join on (vertex, number), never all neighbours."""
-    numbered = row_positions(edges.select("src", "dst"), "dst", "dst", ["src"], descending=False).withColumn("_i", F.col("pos") - 1)
+    """(key, walk, path). A vertex's neighbours are numbered, and a step draws a number from the hash of
+    the walk and the step: an equi-join on (vertex, number), never a row per neighbour."""
+    hashed = edges.select("src", "dst", hash_int("dst", "neighbour").alias("_h"))
+    numbered = row_positions(hashed, "_h", "dst", ["src"], descending=False).withColumn("_i", F.col("pos") - 1)
     deg = edges.groupBy("src").agg(F.count("*").alias("_deg"))
     state = vertices.select(
         F.col(key).alias("start"), F.explode(F.sequence(F.lit(1), F.lit(walks))).alias("walk"), F.col(key).alias("at"),

@@ -94,7 +94,8 @@ def prefix_sums(
     descending: bool = False,
     cuts: Sequence[float] | None = None,
 ) -> DataFrame:
-    """One row per (by, order value): its sums, what lies before it, and the group totals.
+    """One row per (by, order value): its sums, what lies before it, and the group totals. The order
+    column is a number.
 
     Columns added per summed column ``s``: ``before_s`` (strictly before), ``total_s``.
     Rows without an order value are left out.

@@ -70,6 +70,16 @@ def two_hop_counts(spark, folder):
     return graph.two_hop_counts(_edges(spark, folder), _customers(spark, folder), "customer_id")
 
 
+@query("hops_from_negative_balance", f"""
+WITH {EDGE}, h0 AS (SELECT c_custkey AS id, 0 AS h FROM customer WHERE c_acctbal < 0),
+h1 AS (SELECT * FROM h0 UNION ALL SELECT DISTINCT dst, 1 FROM edge WHERE src IN (SELECT id FROM h0) AND dst NOT IN (SELECT id FROM h0)),
+h2 AS (SELECT * FROM h1 UNION ALL SELECT DISTINCT dst, 2 FROM edge WHERE src IN (SELECT id FROM h1 WHERE h = 1) AND dst NOT IN (SELECT id FROM h1))
+SELECT id AS customer_id, h::INT AS hops FROM h2""")
+def hops_from_negative_balance(spark, folder):
+    bad = table(spark, folder, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("customer_id"))
+    return graph.hops_from(_edges(spark, folder), bad, "customer_id", 2)
+
+
 @query("walk_embeddings")
 def walk_embeddings(spark, folder):
     w = graph.random_walks(_edges(spark, folder), _customers(spark, folder), "customer_id", length=4)

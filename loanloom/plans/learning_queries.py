@@ -215,6 +215,16 @@ def adversarial_report(spark, folder):
     return rounded(selection.adversarial(train, test, FEATURES, "loan_id", 2, learning.boosted(3, 3)).report())
 
 
+@query("adversarial_drops")
+def adversarial_drops(spark, folder):
+    """Every feature with its cumulative share of the train-against-later importance and whether it would be dropped."""
+    train, test = _early_late(_loans(spark, folder, "issueDate"))
+    a = selection.adversarial(train, test, FEATURES, "loan_id", 2, learning.boosted(3, 3))
+    drop = a.to_drop(0.5).select("feature", F.lit(True).alias("dropped"))
+    out = a.report(len(FEATURES)).join(drop, "feature", "left")
+    return rounded(out.select("feature", "importance", F.coalesce("dropped", F.lit(False)).alias("dropped")))
+
+
 PAIRS = ["loanAmnt", "n0", "n1", "interestRate"]
 
 

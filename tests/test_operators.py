@@ -289,3 +289,46 @@ def test_expected_scale():
     a, b = features.score_scale()
     assert a == pytest.approx(600 - b * math.log(50))
     assert features.score_scale(base_odds=50)[0] - a == pytest.approx(2 * b * math.log(50))
+
+
+def test_adversarial_rules(spark):
+    imp = profiling.small_frame(spark, [{"feature": f, "importance": v} for f, v in zip("abcd", [0.05, 0.04, 0.6, 0.31])])
+    far = selection.Adversarial(0.8, 0.79, imp.orderBy(F.desc("importance")))
+    assert far.verdict == "severe" and far.pooled_verdict == "significant"
+    assert {r["feature"] for r in far.leaking(0.7, 0.8).collect()} == {"c"}
+    assert far.to_drop(0.1).count() == 0 and {r["feature"] for r in far.to_drop(0.95).collect()} == {"c", "d"}
+    near = selection.Adversarial(0.52, 0.5, imp)
+    assert near.verdict == "similar" and near.leaking().count() == 0
+
+
+def test_hops_and_walks(hub_graph):
+    e, v, both, nodes = hub_graph
+    got = {r["id"]: r["hops"] for r in graph.hops_from(e, v.where("id = 29"), "id", 3).collect()}
+    assert got == {29: 0, 28: 1, 30: 1, 27: 2, 100: 2, **{i: 3 for i in range(0, 28, 2)}}
+    near = {(a, b) for a, b in both}
+    for r in graph.random_walks(e, v, "id", 4, 2).collect():
+        assert r["path"][0] == r["id"] and all(p in near for p in zip(r["path"], r["path"][1:]))
+        assert len(r["path"]) == (1 if r["id"] == 999 else 4)
+
+
+def test_label_propagation_finds_the_clique(hub_graph):
+    e, v, _, _ = hub_graph
+    got = {r["id"]: r["community"] for r in graph.label_communities(e, v, "id", 4).collect()}
+    assert len({got[i] for i in range(200, 206)}) == 1 and got[999] == 999
+
+
+def test_feature_columns(spark):
+    df = spark.createDataFrame([(1, 2.0, 0)], "id int, x double, isDefault int")
+    assert cleaning.feature_columns(df) == ["x"]
+
+
+def test_reason_codes_are_positive_and_ranked(spark):
+    df = spark.createDataFrame([(1.0, 3.0, -2.0)], "a double, b double, c double")
+    out = learning.reason_codes(df, {"a": 1.0, "b": 1.0, "c": 1.0}, {"a": 0.0, "b": 0.0, "c": 0.0}, {"a": "A", "b": "B", "c": "C"})
+    assert out.first()["reasons"] == ["B", "A"]
+
+
+def test_isotonic_is_monotone(scored):
+    df, _ = scored
+    out = learning.calibrate_isotonic(df, "score", "label")(df).select("score", "calibrated").toPandas().sort_values("score")
+    assert (out["calibrated"].diff().dropna() >= -1e-12).all()
