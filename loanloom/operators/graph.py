@@ -196,7 +196,8 @@ def connected_components(edges: DataFrame, vertices: DataFrame, key: str, max_ro
     A round lets every vertex take the smallest label around it and then the label of that label, so long
     chains shrink geometrically. The state is checkpointed each round; a lost executor replays one round.
     """
-    links = edges.select("src", "dst").distinct()
+    # written once and not pre-partitioned: a hub's links can then still be split at run time
+    links = cut_lineage(edges.select("src", "dst").distinct())
     state = cut_lineage(vertices.select(F.col(key).alias("id"), F.col(key).alias("comp")).distinct())
     for _ in range(max_rounds):
         near = links.join(state, F.col("dst") == F.col("id")).groupBy("src").agg(F.min("comp").alias("_near"))
@@ -235,11 +236,11 @@ def community_risk(communities: DataFrame, vertices: DataFrame, key: str, label:
     return t.where(F.col("size") >= min_size)
 
 
-def page_rank(edges: DataFrame, vertices: DataFrame, key: str, rounds: int = 10, damping: float = 0.85, save_every: int = 4) -> DataFrame:
+def page_rank(edges: DataFrame, vertices: DataFrame, key: str, rounds: int = 10, damping: float = 0.85) -> DataFrame:
     """Rank that sums to one; rank of vertices without links is spread evenly."""
     n = vertices.count()
     out = edges.groupBy("src").agg(F.count("*").alias("_deg"))
-    links = edges.select("src", "dst").join(out, "src").select("src", "dst", "_deg")
+    links = cut_lineage(edges.select("src", "dst").join(out, "src").select("src", "dst", "_deg"))
     state = vertices.select(F.col(key).alias("id"), F.lit(1.0 / n).alias("rank"))
     for i in range(rounds):
         flow = links.join(state, F.col("src") == F.col("id")).groupBy("dst").agg(F.sum(F.col("rank") / F.col("_deg")).alias("_in"))
