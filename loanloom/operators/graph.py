@@ -190,30 +190,45 @@ def neighbour_mean(edges: DataFrame, features: DataFrame, key: str, columns: Seq
         *[F.avg(c).alias(f"nb_{c}") for c in columns])
 
 
-def connected_components(edges: DataFrame, vertices: DataFrame, key: str, max_rounds: int = 60) -> DataFrame:
-    """(key, component, size). Smallest reachable key by rounds of neighbour minimum and pointer jump.
+def component_labels(edges: DataFrame) -> DataFrame:
+    """(id, label) of every vertex that is not the smallest of its component; label is that smallest vertex.
 
-    A round lets every vertex take the smallest label around it and then the label of that label, so long
-    chains shrink geometrically. The state is checkpointed each round; a lost executor replays one round.
+    ``edges`` has two columns of vertex keys, in any order and direction. Each round hooks every vertex that has a smaller
+    neighbour to its smallest one, follows the hooks to their ends by pointer doubling, and replaces the ends of all edges
+    by what they are hooked to. Only local minima survive a round, so edges and vertices shrink and the number of rounds
+    does not grow with the length of chains. All state is written; a lost executor replays one step.
     """
-    # written once and not pre-partitioned: a hub's links can then still be split at run time
-    links = cut_lineage(edges.select("src", "dst").distinct())
-    state = cut_lineage(vertices.select(F.col(key).alias("id"), F.col(key).alias("comp")).distinct())
-    for _ in range(max_rounds):
-        near = links.join(state, F.col("dst") == F.col("id")).groupBy("src").agg(F.min("comp").alias("_near"))
-        stepped = state.join(near, F.col("id") == F.col("src"), "left").select(
-            "id", "comp", F.least("comp", F.coalesce("_near", "comp")).alias("_new"))
-        # the label's own label: labels are vertex keys, so this is a lookup of one row per vertex
-        parent = stepped.select(F.col("id").alias("_p"), F.col("_new").alias("_pp"))
-        jumped = stepped.join(parent, F.col("_new") == F.col("_p"), "left").select(
-            "id", F.col("comp").alias("_old"), F.least("_new", F.coalesce("_pp", "_new")).alias("comp"))
-        jumped = cut_lineage(jumped)
-        changed = jumped.where("comp <> _old").limit(1).count()
-        state = jumped.select("id", "comp")
-        if not changed:
-            break
-    else:
-        raise RuntimeError(f"components did not settle within {max_rounds} rounds")
+    a, b = edges.columns
+    pairs = lambda x, y: (F.greatest(x, y).alias("hi"), F.least(x, y).alias("lo"))
+    links = cut_lineage(edges.where(F.col(a) != F.col(b)).select(*pairs(F.col(a), F.col(b))).distinct())
+    labels = None
+    while links.limit(1).count():
+        hooks = cut_lineage(links.groupBy("hi").agg(F.min("lo").alias("to")))
+        while True:
+            for _ in range(2):
+                onward = hooks.select(F.col("hi").alias("_hi"), F.col("to").alias("_to"))
+                hooks = hooks.join(onward, F.col("to") == F.col("_hi"), "left").select("hi", F.coalesce("_to", "to").alias("to"))
+            hooks = cut_lineage(hooks)
+            if not hooks.join(hooks.select(F.col("hi").alias("_hi")), F.col("to") == F.col("_hi"), "left_semi").limit(1).count():
+                break
+        if labels is None:
+            labels = hooks.select(F.col("hi").alias("id"), F.col("to").alias("label"))
+        else:
+            onward = hooks.select(F.col("hi").alias("_hi"), F.col("to").alias("_to"))
+            labels = labels.join(onward, F.col("label") == F.col("_hi"), "left").select("id", F.coalesce("_to", "label").alias("label"))
+            labels = cut_lineage(labels.unionByName(hooks.select(F.col("hi").alias("id"), F.col("to").alias("label"))))
+        x, y = (hooks.select(F.col("hi").alias(f"_h{i}"), F.col("to").alias(f"_t{i}")) for i in (0, 1))
+        links = links.join(x, F.col("hi") == F.col("_h0"), "left").join(y, F.col("lo") == F.col("_h1"), "left").select(
+            F.coalesce("_t0", "hi").alias("p"), F.coalesce("_t1", "lo").alias("q"))
+        links = cut_lineage(links.where("p <> q").select(*pairs(F.col("p"), F.col("q"))).distinct())
+    return labels if labels is not None else links.select(F.col("hi").alias("id"), F.col("lo").alias("label"))
+
+
+def connected_components(edges: DataFrame, vertices: DataFrame, key: str) -> DataFrame:
+    """(key, component, size) of all vertices; component is the smallest reachable key."""
+    labels = component_labels(edges.select("src", "dst")).select(F.col("id").alias("_id"), "label")
+    state = vertices.select(F.col(key).alias("id")).distinct()
+    state = cut_lineage(state.join(labels, F.col("id") == F.col("_id"), "left").select("id", F.coalesce("label", "id").alias("comp")))
     sizes = state.groupBy("comp").agg(F.count("*").alias("size"))
     return state.join(sizes, "comp").select(F.col("id").alias(key), F.col("comp").alias("component"), "size")
 
