@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import decontaminate, hilbert, quality_rules
+from loanloom.llm import decontaminate, hilbert, jaccard_join, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,6 +35,11 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
+@query("op4_jaccard_join")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, folder, "documents"), size=4, percent=85)
+
+
 @query("op5_winnowing")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     out = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
