@@ -101,11 +101,10 @@ def thresholds(feats: DataFrame, labels: DataFrame, risk: float = RISK, level: f
     steps = F.array(*[F.struct(F.lit(i + 1).alias("step"), F.lit(c).alias("cut")) for i, c in enumerate(CUTS)])
     grid = grid.select("lang", "rule", "n_good", "by", F.inline(steps)).withColumn("n_lost", F.expr(
         "aggregate(map_values(map_filter(by, (l, c) -> l >= step)), 0L, (a, b) -> a + b)")).drop("by")
-    strata = feats.select("lang").distinct().select(F.count(F.lit(1)).alias("strata"))
-    tests = grid.crossJoin(F.broadcast(strata))  # one row: the number of strata
+    strata = feats.select("lang").distinct().count()
     p = f"{risk / len(RULES)!r}D"
-    tests = tests.withColumn("p_value", F.expr(binomial_tail("n_lost", "n_good", p)))
-    tests = tests.withColumn("failed", F.max((F.col("p_value") > level / (len(RULES) * F.col("strata"))).cast("int")).over(
+    tests = grid.withColumn("p_value", F.expr(binomial_tail("n_lost", "n_good", p)))
+    tests = tests.withColumn("failed", F.max((F.col("p_value") > level / (len(RULES) * max(1, strata))).cast("int")).over(
         per.orderBy("step").rowsBetween(Window.unboundedPreceding, 0)))
     best = tests.where("failed = 0").groupBy("lang", "rule").agg(F.max_by(F.struct("cut", "n_good", "n_lost", "p_value"), "step").alias("b"))
     return best.select("lang", "rule", "b.*")

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import decontaminate, hilbert, jaccard_join, quality_rules
+from loanloom.llm import decontaminate, hilbert, jaccard_join, quality_rules, token_counts, toxicity
+from loanloom.llm.tokenizers import byte_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +29,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def remainder(mod: int):
+    """crc32 of doc_id as text, modulo ``mod``; a null id counts as 0."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(mod)), F.lit(0))
+
+
+@query("op1_toxicity")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = toxicity.fit(docs, labels.where(remainder(5) != 0))
+    out = toxicity.scores(docs, model)
+    return out.select("doc_id", (remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query("op2_hilbert_shards")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     placed = hilbert.shards(table(spark, folder, "documents"), 24)
@@ -51,3 +65,13 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     out = quality_rules.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
                       F.array_join("broken", ",").alias("broken_rules"))
+
+
+@query("op10_token_counts")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    none = F.lit(None).cast("array<int>")
+    held = docs.select("doc_id", "text", none.alias("lengths"), none.alias("tree"), token_counts.derived_edits().alias("edits"))
+    out = token_counts.updated(held, *byte_bpe())
+    return out.select("doc_id", "n_before", "n_tokens", "n_encoded", F.char_length("text").cast("long").alias("n_chars"),
+                      F.size("lengths").cast("long").alias("n_leaves"))

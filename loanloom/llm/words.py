@@ -18,6 +18,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
+#: everything in ASCII but digits and letters
+PUNCTUATION = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -73,10 +75,12 @@ def steps(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             at = to
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes, first word of each text with the total at the end, start byte, end byte) of the words between white space."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True, between: np.ndarray = _BLANK) -> tuple[
+        np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, first word of each text with the total at the end, start byte, end byte) of the words between the bytes that
+    ``between`` marks (white space)."""
     b = _LOWER[data] if lower else data
-    inside = ~_BLANK[b]
+    inside = ~between[b]
     first, last = inside.copy(), inside.copy()
     if len(b):
         first[1:] &= ~inside[:-1]
