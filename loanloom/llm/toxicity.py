@@ -3,8 +3,9 @@
 Training texts come with a label. Wherever a sentence names a group (``IDENTITY_TERMS``), the term is swapped for each other
 term of its family, and the loss adds ``penalty * (score(sentence) - score(swapped sentence))^2``. So weight on a group's
 name, or on a word pair with it, has to pay for itself by being equal over the family, and neutral mentions of a group do
-not raise the score. Features are the distinct words of a text and the word pairs that hold an identity term, hashed to
-2^BITS places; scoring is a sum of weights and one pass over the texts.
+not raise the score. Features are the distinct words of a text, the beginnings of longer words (so that forms of a stem
+count together) and the word pairs that hold an identity term, hashed to 2^BITS places; scoring is a sum of weights and one
+pass over the texts.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanloom.llm.words import PUNCTUATION, mixed, steps, text_bytes, word_hashes
+from loanloom.llm.words import PUNCTUATION, mixed, prefix_hashes, steps, text_bytes, word_hashes
 
 #: fixed values: families of terms that may stand for one another in a sentence
 IDENTITY_TERMS: Mapping[str, Sequence[str]] = {
@@ -29,6 +30,8 @@ IDENTITY_TERMS: Mapping[str, Sequence[str]] = {
     "age": ("old", "young", "elderly"),
 }
 BITS = 18
+#: bytes of the word beginnings
+STEMS = (4, 6)
 #: labelled texts of each class that the fit reads at most, and the words of each (a text beyond it is read to its end)
 SAMPLE_PER_CLASS = 3000
 FEATURES = 4000
@@ -56,8 +59,13 @@ def _features(part: pa.RecordBatch, terms: np.ndarray):
     owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
     named = np.isin(words, terms)
     left = np.flatnonzero((named[:-1] | named[1:]) & (owner[:-1] == owner[1:])) if len(words) > 1 else np.zeros(0, np.int64)
-    place = np.concatenate([words, _pair(words[left], words[left + 1])]) >> np.uint64(64 - BITS)
-    keys = np.unique((np.concatenate([owner, owner[left]]).astype(np.int64) << BITS) | place.astype(np.int64))
+    found, owners = [words, _pair(words[left], words[left + 1])], [owner, owner[left]]
+    for length in STEMS:
+        longer, stems = prefix_hashes(data, starts, ends, length)
+        found.append(stems)
+        owners.append(owner[longer])
+    place = np.concatenate(found) >> np.uint64(64 - BITS)
+    keys = np.unique((np.concatenate(owners).astype(np.int64) << BITS) | place.astype(np.int64))
     return keys & ((1 << BITS) - 1), keys >> BITS, (words, at, starts, ends, named, data)
 
 

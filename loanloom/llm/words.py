@@ -97,6 +97,16 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True, betwe
     return hashes, np.searchsorted(starts, offsets), starts, ends
 
 
+def prefix_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(words, hashes): the first ``length`` bytes, A-Z lower-cased, of the words that have more than that."""
+    words = np.flatnonzero(ends - starts > length)
+    at = starts[words]
+    out = np.full(len(words), length, np.uint64)
+    for j in range(length):
+        out = out * _BASE + _BYTE_CODES[_LOWER[data[at + j]]]
+    return words, mixed(out)
+
+
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, bounds): the hashes of all runs of ``size`` words, text by text. A text with fewer words has one run of all
     its words; one without words has none."""
