@@ -64,9 +64,9 @@ def common_buckets(docs: DataFrame, size: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.int32()), pa.array(counts[out], pa.int64())], names=["bucket", "c"])
 
     sent = docs.select("text").mapInArrow(run, "bucket int, c long")
-    rows = sent.groupBy("bucket").agg(F.sum("c").alias("c")).where("c >= 40").select("bucket").toPandas()
+    rows = sent.groupBy("bucket").agg(F.sum("c").alias("c")).where("c >= 40").select("bucket").toArrow()
     common = np.zeros(1 << SKETCH_BITS, bool)
-    common[rows["bucket"].to_numpy(np.int64)] = True
+    common[rows["bucket"].to_numpy()] = True
     return common
 
 

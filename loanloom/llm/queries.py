@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import decontaminate, hilbert, jaccard_join, quality_rules, token_counts, toxicity
+from loanloom.llm import decontaminate, hilbert, jaccard_join, kneser_ney, quality_rules, token_counts, toxicity
 from loanloom.llm.tokenizers import byte_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,11 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), "contaminated")
 
 
+@query("op6_kneser_ney")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return kneser_ney.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op8_quality_rules")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     out = quality_rules.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
