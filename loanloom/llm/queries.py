@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import decontaminate, hilbert, jaccard_join, kneser_ney, quality_rules, token_counts, toxicity
-from loanloom.llm.tokenizers import byte_bpe
+from loanloom.llm import decontaminate, hilbert, jaccard_join, kneser_ney, pieces, quality_rules, token_counts, toxicity
+from loanloom.llm.tokenizers import byte_bpe, pieces as piece_model
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,6 +65,17 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return kneser_ney.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query("op7_sentencepiece")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    model = piece_model()
+    encoded = pieces.encode(table(spark, folder, "documents"), model, keep=("text",)).withColumnRenamed("text", "given")
+    back = pieces.decode(encoded, model, keep=("given", "ids"))
+    # the space mark itself reads as a space
+    same = F.col("text") == F.replace(F.coalesce("given", F.lit("")), F.lit(pieces.SPACE), F.lit(" "))
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256)
+                       .alias("ids_sha256"), same.alias("round_trip"))
+
+
 @query("op8_quality_rules")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     out = quality_rules.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
