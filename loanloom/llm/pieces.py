@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from loanloom.llm.words import mixed, powers, steps, text_bytes, _BYTE_CODES
 
@@ -282,7 +283,7 @@ def encode(docs: DataFrame, model: bytes, keep: tuple[str, ...] = ()) -> DataFra
                                              names=[*part.schema.names[1:], "ids"])
 
     rows = docs.select(docs["text"].alias("_text"), "doc_id", *keep)
-    return rows.mapInArrow(run, schema.add("ids", "array<int>"))
+    return rows.mapInArrow(run, schema.add("ids", ArrayType(IntegerType())))
 
 
 def decode_batch(ids: np.ndarray, bounds: np.ndarray, p: Pieces) -> list[str]:
@@ -314,4 +315,4 @@ def decode(encoded: DataFrame, model: bytes, keep: tuple[str, ...] = ()) -> Data
                 arrays = [part.column(i) for i in range(1, part.num_columns)]
                 yield pa.RecordBatch.from_arrays([*arrays, pa.array(texts, pa.string())], names=[*part.schema.names[1:], "text"])
 
-    return encoded.select(encoded["ids"].alias("_ids"), "doc_id", *keep).mapInArrow(run, schema.add("text", "string"))
+    return encoded.select(encoded["ids"].alias("_ids"), "doc_id", *keep).mapInArrow(run, schema.add("text", StringType()))
