@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import decontaminate, hilbert, jaccard_join, kneser_ney, pieces, quality_rules, token_counts, toxicity
+from loanloom.llm import decontaminate, hilbert, jaccard_join, kneser_ney, pieces, quality_rules, suffix_dedup, token_counts, toxicity
 from loanloom.llm.tokenizers import byte_bpe, pieces as piece_model
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,12 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
+@query("op3_suffix_dedup")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    out = suffix_dedup.deduplicated(table(spark, folder, "documents"), length=50)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op4_jaccard_join")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, folder, "documents"), size=4, percent=85)
