@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import decontaminate, hilbert, jaccard_join, kneser_ney, pieces, quality_rules, suffix_dedup, token_counts, toxicity
+import corpus_pipeline
+from loanloom.llm import attention_lm, decontaminate, hilbert, jaccard_join, kneser_ney, pieces, quality_rules, suffix_dedup, token_counts, toxicity
 from loanloom.llm.tokenizers import byte_bpe, pieces as piece_model
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +90,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
                       F.array_join("broken", ",").alias("broken_rules"))
 
 
+@query("op9_attention_lm")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return attention_lm.scores(table(spark, folder, "documents").select("doc_id", "text"), remainder(10) == 0, *byte_bpe())
+
+
 @query("op10_token_counts")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -97,3 +103,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     out = token_counts.updated(held, *byte_bpe())
     return out.select("doc_id", "n_before", "n_tokens", "n_encoded", F.char_length("text").cast("long").alias("n_chars"),
                       F.size("lengths").cast("long").alias("n_leaves"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    CHECKS["pipeline"] = corpus_pipeline.ORACLE_SQL
