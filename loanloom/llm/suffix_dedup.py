@@ -264,12 +264,9 @@ def repeated_windows(heads: np.ndarray, symbols: np.ndarray, length: int) -> np.
         done = begin[order] > c  # strings that have begun leave; the prefix across them is the least on the way
         if done.any():
             kept = np.flatnonzero(~done)
-            if len(kept):
-                common = np.minimum.reduceat(common, np.concatenate([[0], kept[:-1] + 1]))[:len(kept)] if len(kept) else common[:0]
+            common = np.minimum.reduceat(common[:kept[-1] + 1], np.concatenate([[0], kept[:-1] + 1])) if len(kept) else common[:0]
             order = order[kept]
-            common = common[:len(kept)]
-            if len(common):
-                common[0] = 0
+            common[:1] = 0
         more = entered
         while more < n and end[enter[more]] - 1 == c:
             more += 1
