@@ -1,11 +1,12 @@
 """Edit-aware token counts: a segment tree of token counts per document.
 
-A text is cut before pre-tokens where the pre-tokeniser's pattern can match nothing across: before a single space that
-stands between a non-space and a letter. The pieces (leaves, about LEAF characters) encode independently of one another, so
-the token count of a text is the sum over its leaves. The tree over the leaves is a heap array: node i has the children 2i
-and 2i + 1, node 1 is the root, leaf k stands at ``width + k``. An edit re-encodes the leaves it touches plus one leaf to the
-right if the edit reaches a leaf's end, or one to the left if it changes a leaf's first characters, and then only the sums on
-the way to the root change.
+The pre-tokeniser's pattern starts a new pre-token at every space before a non-space, whatever stands around it. So the pieces
+between such places encode independently, and the token count of a text is the sum over them. Neighbouring pieces form leaves of
+about LEAF characters. The tree over the leaves is a heap array: node i has the children 2i and 2i + 1, node 1 is the root, leaf
+k stands at ``width + k``. An edit re-encodes the leaves it touches plus one leaf to the right if the edit reaches a leaf's end,
+or one to the left if it changes a leaf's first characters, and then only the sums on the way to the root change.
+
+Pieces repeat a lot, so each process keeps the token counts of those it has met.
 """
 
 from __future__ import annotations
@@ -20,12 +21,14 @@ from pyspark.sql import functions as F
 
 from loanloom.llm.words import steps
 
-LEAF = 512
-#: a single space between a non-space and a letter: no pre-token reaches across its left side
-_SAFE = re.compile(r"(?<=\S) (?=[^\W\d_])")
+LEAF = 128
+#: a space before a character that is certainly no white space
+_SAFE = re.compile(r"(?= [!-~\u00c0-\u07ff])")
+_UNSAFE = re.compile(r" (?![!-~\u00c0-\u07ff])")
+#: pieces whose token counts a process keeps, and their greatest length
+KEPT_PIECES, KEPT_LENGTH = 400_000, 40
 _encoders: dict[str, object] = {}
-
-
+_kept: dict[int, dict[str, int]] = {}
 
 
 def encoder(ranks: bytes, pattern: str):
@@ -39,18 +42,29 @@ def encoder(ranks: bytes, pattern: str):
     return _encoders[key]
 
 
-def cut(text: str, leaf: int = LEAF) -> list[str]:
-    """Leaves of a text; a stretch without a safe place is one leaf, however long. An empty text has none."""
-    out, at, end = [], 0, len(text)
-    while end - at > leaf:
-        found = _SAFE.search(text, at + leaf)
-        if not found:
-            break
-        out.append(text[at:found.start()])
-        at = found.start()
-    if at < end:
-        out.append(text[at:])
-    return out
+def pieces_of(text: str) -> list[str]:
+    """The text cut at every safe place."""
+    if not text:
+        return []
+    if _UNSAFE.search(text):
+        return [p for p in _SAFE.split(text) if p]
+    first, *rest = text.split(" ")  # the same, quicker
+    return ([first] if first else []) + [" " + p for p in rest]
+
+
+def leaves(text: str, counts, leaf: int = LEAF) -> tuple[list[int], list[int]]:
+    """(characters, tokens) of the leaves of a text; ``counts`` gives the tokens of a list of pieces. A leaf ends with the piece
+    that brings it to ``leaf`` characters; an empty text has none."""
+    pieces = pieces_of(text)
+    if not pieces:
+        return [], []
+    chars, tokens = np.cumsum([len(p) for p in pieces]), np.cumsum(counts(pieces))
+    ends, at = [], 0
+    while at < chars[-1]:
+        k = min(int(np.searchsorted(chars, at + leaf)), len(chars) - 1)
+        ends.append(k)
+        at = chars[k]
+    return np.diff(chars[ends], prepend=0).tolist(), np.diff(tokens[ends], prepend=0).tolist()
 
 
 def tree_of(counts: list[int]) -> list[int]:
@@ -89,48 +103,58 @@ def _touched(lengths: list[int], start: int, stop: int) -> tuple[int, int, int]:
     return a, b, int(ends[a] - lengths[a])
 
 
-def edit(text: str, lengths: list[int], tree: list[int], start: int, removed: int, inserted: str, count, leaf: int = LEAF):
+def edit(text: str, lengths: list[int], tree: list[int], start: int, removed: int, inserted: str, counts, leaf: int = LEAF):
     """(new text, leaf lengths, tree, characters encoded again) after replacing ``removed`` characters at ``start``.
 
-    ``count`` gives the number of tokens of a list of pieces. If the number of leaves stays the same only the touched paths
+    ``counts`` gives the numbers of tokens of a list of pieces. If the number of leaves stays the same only the touched paths
     of the tree change, else the tree is laid out anew from the leaf counts it holds (nothing else is encoded)."""
     start = min(max(start, 0), len(text))
     stop = min(len(text), start + max(removed, 0))
     new = text[:start] + inserted + text[stop:]
     if not lengths:
-        pieces = cut(new, leaf)
-        return new, [len(p) for p in pieces], tree_of(count(pieces)), len(new)
+        size, fresh = leaves(new, counts, leaf)
+        return new, size, tree_of(fresh), len(new)
     a, b, begin = _touched(lengths, start, stop)
-    size = sum(lengths[a:b + 1]) + len(inserted) - (stop - start)
-    pieces = cut(new[begin:begin + size], leaf)
-    fresh = count(pieces)
-    if len(pieces) == b - a + 1:
+    touched = sum(lengths[a:b + 1]) + len(inserted) - (stop - start)
+    size, fresh = leaves(new[begin:begin + touched], counts, leaf)
+    if len(size) == b - a + 1:
         for k, c in enumerate(fresh):
             set_leaf(tree, a + k, c)
     else:
         width = len(tree) // 2
         tree = tree_of(tree[width:width + a] + fresh + tree[width + b + 1:width + len(lengths)])
-    return new, lengths[:a] + [len(p) for p in pieces] + lengths[b + 1:], tree, size
+    return new, lengths[:a] + size + lengths[b + 1:], tree, touched
 
 
-def _counter(ranks: bytes, pattern: str):
+def counter(ranks: bytes, pattern: str):
+    """Function from a list of pieces to their numbers of tokens."""
     enc = encoder(ranks, pattern)
-    return lambda pieces: [len(x) for x in enc.encode_ordinary_batch(pieces, num_threads=1)] if pieces else []
+    kept = _kept.setdefault(id(enc), {})
+
+    def counts(pieces: list[str]) -> list[int]:
+        found = [kept.get(p) for p in pieces]
+        new = list(dict.fromkeys(p for p, c in zip(pieces, found) if c is None))
+        if new:
+            fresh = dict(zip(new, map(len, enc.encode_ordinary_batch(new, num_threads=1))))
+            found = [fresh[p] if c is None else c for p, c in zip(pieces, found)]
+            if len(kept) > KEPT_PIECES:
+                kept.clear()
+            kept.update((p, c) for p, c in fresh.items() if len(p) <= KEPT_LENGTH)
+        return found
+
+    return counts
 
 
 def trees(docs: DataFrame, ranks: bytes, pattern: str, leaf: int = LEAF) -> DataFrame:
     """doc_id, n_tokens, lengths (characters of the leaves), tree, for every row of docs. Null texts count as empty."""
     def run(batches):
-        count = _counter(ranks, pattern)
+        counts = counter(ranks, pattern)
         for part in steps(batches):
-            ids, texts = part.column(0), [t or "" for t in part.column(1).to_pylist()]
-            pieces = [cut(t, leaf) for t in texts]
-            flat = count([p for x in pieces for p in x])
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in pieces])])
-            made = [tree_of(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+            found = [leaves(t or "", counts, leaf) for t in part.column(1).to_pylist()]
+            made = [tree_of(tokens) for _, tokens in found]
             yield pa.RecordBatch.from_arrays(
-                [ids.cast(pa.int64()), pa.array([t[1] for t in made], pa.int64()),
-                 pa.array([[len(p) for p in x] for x in pieces], pa.list_(pa.int32())), pa.array(made, pa.list_(pa.int32()))],
+                [part.column(0).cast(pa.int64()), pa.array([t[1] for t in made], pa.int64()),
+                 pa.array([x for x, _ in found], pa.list_(pa.int32())), pa.array(made, pa.list_(pa.int32()))],
                 names=["doc_id", "n_tokens", "lengths", "tree"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, lengths array<int>, tree array<int>")
@@ -142,17 +166,17 @@ def updated(held: DataFrame, ranks: bytes, pattern: str, leaf: int = LEAF) -> Da
 
     Returns doc_id, text, lengths, tree, n_before, n_tokens, n_encoded (characters encoded again), one row per row."""
     def run(batches):
-        count = _counter(ranks, pattern)
+        counts = counter(ranks, pattern)
         for part in steps(batches):
             out = []
             for row in part.to_pylist():
                 text, lengths, tree = row["text"] or "", row["lengths"], row["tree"]
                 if lengths is None or tree is None:
-                    pieces = cut(text, leaf)
-                    lengths, tree = [len(p) for p in pieces], tree_of(count(pieces))
+                    lengths, tokens = leaves(text, counts, leaf)
+                    tree = tree_of(tokens)
                 before, encoded = tree[1], 0
                 for e in row["edits"] or []:
-                    text, lengths, tree, n = edit(text, lengths, tree, e["start"], e["removed"], e["inserted"] or "", count, leaf)
+                    text, lengths, tree, n = edit(text, lengths, tree, e["start"], e["removed"], e["inserted"] or "", counts, leaf)
                     encoded += n
                 out.append((row["doc_id"], text, lengths, tree, before, tree[1], encoded))
             kinds = [pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.int64()]
