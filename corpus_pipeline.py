@@ -11,7 +11,7 @@ the last return the columns of documents. Stages work on what their predecessor
 4. benchmark: texts that share ten consecutive words with a benchmark item, or a whole shorter item, go (``decontaminate``);
 5. tokens: texts become SentencePiece ids (``pieces``); text is what the ids decode to.
 
-Extra columns travel with the rows. Null texts: they have no perplexity, so stage 1 drops them; later stages treat a null as an
+Extra columns travel with the rows (columns named ids or n_tokens are replaced by stage 5). Null texts: they have no perplexity, so stage 1 drops them; later stages treat a null as an
 empty text. Null ids: such rows are judged like all others, and stage 2 drops them only if an equal text has an id. Empty tables
 stay empty.
 """
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loanloom.llm import decontaminate, jaccard_join, kneser_ney, pieces, suffix_dedup
-from loanloom.llm.common import written
+from loanloom.llm.common import free, written
 from loanloom.llm.tokenizers import pieces as piece_model
 
 #: any passage of more than 50 words has at least this many bytes
@@ -31,8 +31,9 @@ REPEAT_BYTES = 100
 
 def _staying(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of docs whose doc_id is among ids (null is an id like any other)."""
-    known = ids.select(F.col("doc_id").alias("_stays")).distinct()
-    return docs.join(known, docs["doc_id"].eqNullSafe(F.col("_stays")), "left_semi")
+    own = free("stays", docs)
+    known = ids.select(F.col("doc_id").alias(own)).distinct()
+    return docs.join(known, docs["doc_id"].eqNullSafe(known[own]), "left_semi")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,18 +47,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     left = _staying(docs, found.where("component_id IS NULL OR doc_id = component_id"))
     others = [F.col(c).cast("string") for c in docs.columns if c not in ("doc_id", "text")]
     one = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(*others or [F.lit(0)])
-    return left.withColumn("_copy", F.row_number().over(one)).where("_copy = 1").drop("_copy")
+    copy = free("copy", docs)
+    return left.withColumn(copy, F.row_number().over(one)).where(F.col(copy) == 1).drop(copy)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    out = suffix_dedup.deduplicated(docs.withColumnsRenamed({c: f"_{c}" for c in rest}), REPEAT_BYTES, keep=tuple(f"_{c}" for c in rest),
+    out = suffix_dedup.deduplicated(docs.withColumnsRenamed({c: f"k_{c}" for c in rest}), REPEAT_BYTES, keep=tuple(f"k_{c}" for c in rest),
                                     whole_characters=True)
     out = out.withColumn("text", F.col("kept").cast("string"))
     out = out.where("n_removed = 0 OR text RLIKE '[^ \\\\t-\\\\r]'")
-    columns = {c: F.col(f"_{c}") for c in rest}
+    columns = {c: F.col(f"k_{c}") for c in rest}
     if "n_chars" in rest:
-        columns["n_chars"] = F.when(F.col("n_removed") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_n_chars"))
+        columns["n_chars"] = F.when(F.col("n_removed") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("k_n_chars"))
     return out.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns])
 
 
@@ -67,9 +69,9 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model, rest = piece_model(), tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    model, rest = piece_model(), tuple(c for c in docs.columns if c not in ("doc_id", "text", "ids", "n_tokens"))
     back = pieces.decode(pieces.encode(docs, model, keep=rest), model, keep=(*rest, "ids"))
-    return back.select(*docs.columns, "ids", F.size("ids").cast("long").alias("n_tokens"))
+    return back.select(*[c for c in docs.columns if c not in ("ids", "n_tokens")], "ids", F.size("ids").cast("long").alias("n_tokens"))
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("repeats", repeats), ("benchmark", benchmark), ("tokens", tokens)]

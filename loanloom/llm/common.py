@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,9 +38,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def only(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The named columns alone: whatever else a table holds cannot clash with working columns."""
-    return df.select(*columns)
+def free(name: str, df: DataFrame) -> str:
+    """A working column's name that df does not have."""
+    while name in df.columns:
+        name = "_" + name
+    return name
 
 
 def ascii_lower(text: Column) -> Column:

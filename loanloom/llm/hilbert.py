@@ -12,11 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from loanloom.llm.common import written
+from loanloom.llm.common import free, written
 
 BITS = 5
 
@@ -106,11 +106,21 @@ def manifest(sharded: DataFrame, dimensions: Sequence[str]) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, count: int, path: str, dimensions: Sequence[str] = ("source", "lang", "n_chars")) -> DataFrame:
-    """Write the texts as one folder per shard, each sorted along the curve; returns the manifest."""
-    placed = shards(docs, count, dimensions)
-    where = placed.select(F.col("doc_id").alias("_id"), "curve", "shard", "slot", F.col("text_crc32").alias("_crc"), "size")
-    out = docs.withColumn("_c", F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0))).join(
-        where, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_c") == F.col("_crc"))).drop("_id", "_crc", "_c")
+    """Write the rows as one folder per shard, each sorted along the curve; returns the manifest. The columns shard, slot and
+    curve are added (they replace columns of that name)."""
+    placed = written(shards(docs, count, dimensions), "placed")
+    rows = docs.drop("shard", "slot", "curve")
+    ident, crc, mine = free("ident", rows), free("crc", rows), free("mine", rows)
+    where = placed.groupBy(F.col("doc_id").alias(ident), F.col("text_crc32").alias(crc)).agg(F.sort_array(F.collect_list(
+        F.struct("shard", "slot", "curve"))).alias("places"))  # rows equal in id and text share out their places
+    copy = free("copy", rows)
+    order = Window.partitionBy("doc_id", mine).orderBy(F.lit(0))
+    rows = rows.withColumn(mine, F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0))).withColumn(copy, F.row_number().over(order))
+    place = free("place", rows)
+    where = where.withColumnRenamed("places", place)
+    out = rows.join(where, rows["doc_id"].eqNullSafe(where[ident]) & (rows[mine] == where[crc])).withColumn(place, F.expr(f"`{place}`[`{copy}` - 1]"))
+    out = out.select(*[c for c in rows.columns if c not in (mine, copy)], F.col(place)["shard"].alias("shard"), F.col(place)["slot"].alias("slot"),
+                     F.col(place)["curve"].alias("curve"))
     # several writers a shard: slots are dealt by range, so every file of a shard covers a stretch of the curve
     out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
     return manifest(placed, dimensions)
