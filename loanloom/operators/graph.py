@@ -110,7 +110,7 @@ def neighbour_features(edges: DataFrame, vertices: DataFrame, key: str, label: s
         key, d.alias("degree"), b.alias("bad_neighbor_count"), (b / F.greatest(d, F.lit(1))).alias("bad_neighbor_rate"),
         F.coalesce("max_edge_weight", F.lit(0.0)).alias("max_edge_weight"),
         F.coalesce("weighted_bad_rate", F.lit(0.0)).alias("weighted_bad_rate"), (d - b).alias("good_neighbors"),
-        F.when(d > 1, 2 * t / (d * (d - 1))).otherwise(0.0).alias("clustering"),
+        F.when(d > 1, 2 * t / (d.cast("double") * (d - 1))).otherwise(0.0).alias("clustering"),
         F.try_divide(d, F.col("_all") - 1).alias("degree_centrality"))
 
 
@@ -259,10 +259,9 @@ def page_rank(edges: DataFrame, vertices: DataFrame, key: str, rounds: int = 10,
     state = vertices.select(F.col(key).alias("id"), F.lit(1.0 / n).alias("rank"))
     for i in range(rounds):
         flow = links.join(state, F.col("src") == F.col("id")).groupBy("dst").agg(F.sum(F.col("rank") / F.col("_deg")).alias("_in"))
-        nxt = state.join(flow, F.col("id") == F.col("dst"), "left").select("id", F.coalesce("_in", F.lit(0.0)).alias("_in"))
+        nxt = cut_lineage(state.join(flow, F.col("id") == F.col("dst"), "left").select("id", F.coalesce("_in", F.lit(0.0)).alias("_in")))
         lost = 1 - nxt.agg(F.sum("_in").alias("s")).first()["s"]
         state = nxt.select("id", ((1 - damping) / n + damping * (F.col("_in") + F.lit(lost / n))).alias("rank"))
-        state = cut_lineage(state)
     return state.select(F.col("id").alias(key), "rank")
 
 

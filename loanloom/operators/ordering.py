@@ -174,7 +174,7 @@ def row_positions(
 
 
 def average_ranks(df: DataFrame, orders: Sequence[str], key: str, names: Sequence[str]) -> DataFrame:
-    """Adds, per order column, the ascending rank with ties averaged, as a share of the ranked rows.
+    """Adds, per order column, the ascending rank with ties averaged, as a share of the ranked rows. A null has a null rank.
 
     All rows of a single-value slice share one rank that follows from the slice totals, so however
     frequent a value is, its rows stay spread over the sub-slices. Cut points of all columns come from
@@ -195,11 +195,12 @@ def average_ranks(df: DataFrame, orders: Sequence[str], key: str, names: Sequenc
         same = Window.partitionBy("_slice", "_sub", order)
         local = F.rank().over(inside) + (F.count("*").over(same) - 1) / 2
         rank = F.when(F.col("_slice") % 2 == 1, (F.col("_n") + 1) / 2).otherwise(local)
+        unranked = out.where(F.col(order).isNull()).withColumn(name, F.lit(None).cast("double"))
         out = (
             rows.join(F.broadcast(totals), "_slice")
             .withColumn(name, (rank + F.col("_off")) / F.col("_all"))
             .drop("_slice", "_sub", "_tie", "_n", "_off", "_all")
-        )
+        ).unionByName(unranked)
     return out
 
 

@@ -193,9 +193,10 @@ def vintage(df: DataFrame, cohort: str | Sequence[str], age: str, bad: str) -> D
     return df.groupBy(*keys, age).agg(F.avg(bad).alias("bad_rate"), F.count("*").alias("n"))
 
 
-def vintage_matrix(long: DataFrame, cohort: str | Sequence[str], age: str, ages: Sequence[int]) -> DataFrame:
+def vintage_matrix(long: DataFrame, cohort: str | Sequence[str], age: str, ages: Sequence[int] | None = None) -> DataFrame:
+    """One column per age of the long form (or per age of ``ages``)."""
     keys = [cohort] if isinstance(cohort, str) else list(cohort)
-    return long.groupBy(*keys).pivot(age, list(ages)).agg(F.first("bad_rate"))
+    return long.groupBy(*keys).pivot(age, list(ages) if ages is not None else None).agg(F.first("bad_rate"))
 
 
 def coverage(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -26,8 +26,8 @@ def score_curve(df: DataFrame, score: str = "score", label: str = "label", by: S
 
 
 def _metric_columns() -> list[Column]:
-    b, g = F.col("total_bad"), F.col("total_good")
-    beaten = F.col("bad") * ((g - F.col("cum_good")) + F.col("good") / 2)
+    b, g = F.col("total_bad").cast("double"), F.col("total_good").cast("double")  # their product leaves the range of long
+    beaten = F.col("bad").cast("double") * ((g - F.col("cum_good")) + F.col("good") / 2)
     top = F.max(F.struct((F.col("tpr") - F.col("fpr")).alias("ks"), F.col("score").alias("at")))
     precision = F.col("cum_bad") / (F.col("cum_bad") + F.col("cum_good"))
     auc = F.try_divide(F.sum(beaten), F.max(b * g))
@@ -239,7 +239,7 @@ def fairness_audit(df: DataFrame, score: str, label: str, group: str, min_rows:
 
 
 def rank_blend(df: DataFrame, scores: Sequence[str], key: str, weights: Sequence[float] | None = None, name: str = "blend"):
-    """Weighted mean of percentile ranks (ties averaged), one pass per score column."""
+    """Weighted mean of percentile ranks (ties averaged), one pass per score column. A row with a null score stays, without a blend."""
     weights = list(weights or [1.0] * len(scores))
     df = average_ranks(df, scores, key, [f"_rank{i}" for i in range(len(scores))])
     total = sum((F.col(f"_rank{i}") * F.lit(float(w)) for i, w in enumerate(weights)), F.lit(0.0))

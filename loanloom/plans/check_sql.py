@@ -42,7 +42,7 @@ relation AS (
          CASE l_linenumber WHEN 1 THEN 'guarantor' WHEN 2 THEN 'co_borrower' WHEN 3 THEN 'device' ELSE 'other' END
            AS relation_type, l_shipdate::DATE AS relation_start_date
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON l_partkey = c_custkey
-  WHERE l_returnflag = 'R' AND l_linenumber <= 4 AND o_custkey <> l_partkey)"""
+  WHERE l_returnflag = 'R' AND o_custkey <> l_partkey)"""
 
 EDGE = RELATION + """,
 edge AS (
@@ -62,7 +62,7 @@ defaults AS (
 
 DEVICE = """
 device AS (
-  SELECT DISTINCT user_id, (props->>'$.k')::BIGINT AS device_id FROM events WHERE event_type = 'signup')"""
+  SELECT DISTINCT user_id, (props->>'$.k')::BIGINT AS device_id FROM events)"""
 
 
 def r6(x: str) -> str:

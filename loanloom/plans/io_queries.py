@@ -21,7 +21,7 @@ def csv_round_trip(spark, folder):
     path = sinks.run_folder(spark, "loans-csv")
     raw = marts.raw_applications(spark, folder)
     raw.write.option("header", True).csv(path)
-    back = clean_loans(read_loans_csv(spark, path, True, header=raw.columns))
+    back = clean_loans(read_loans_csv(spark, path))
     return back.select("id", "employmentLength", "isDefault")
 
 

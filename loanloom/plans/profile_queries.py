@@ -131,11 +131,11 @@ def vintage(spark, folder):
 
 
 @query("vintage_matrix", f"""
-WITH {PERFORMANCE} SELECT cohort, {', '.join(
-    f'{r6(f"avg(is_bad) FILTER (loan_age = {a})")} AS "{a}"' for a in range(13))} FROM performance GROUP BY 1""")
+WITH {PERFORMANCE}, long AS (SELECT cohort, loan_age, {r6('avg(is_bad)')} AS bad_rate FROM performance GROUP BY 1, 2)
+SELECT * FROM (PIVOT long ON loan_age USING max(bad_rate) GROUP BY cohort)""")
 def vintage_matrix(spark, folder):
     long = profiling.vintage(marts.performance(spark, folder), "cohort", "loan_age", "is_bad")
-    return rounded(profiling.vintage_matrix(long, "cohort", "loan_age", range(13)))
+    return rounded(profiling.vintage_matrix(long, "cohort", "loan_age"))
 
 
 @query("vintage_by_score_band", f"""

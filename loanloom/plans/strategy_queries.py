@@ -55,23 +55,22 @@ def bad_rate_bands(spark, folder):
     return rounded(strategy.bad_rate_bands(df, "score", "label", [0.02, 0.05, 0.1]))
 
 
-SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 MATRIX = SCORED + f""", e AS {edges_sql('score', 'scored', 5)},
 g AS (SELECT 'S' || {right_bin('score')} AS score_band, purpose, round(avg(label), 4) + 0 AS rate, count(*) AS n FROM scored, e GROUP BY 1, 2)"""
 
 
 @query("strategy_matrix", f"""
-WITH {MATRIX} SELECT score_band, {', '.join(f"max(rate) FILTER (purpose = '{s}') AS {chr(34)}{s}{chr(34)}" for s in SEGMENTS)} FROM g GROUP BY 1""")
+WITH {MATRIX} SELECT * FROM (PIVOT (SELECT score_band, purpose, rate FROM g) ON purpose USING max(rate) GROUP BY score_band)""")
 def strategy_matrix(spark, folder):
     df = hold(_scored(spark, folder, "purpose").select("score", "label", "purpose"))
-    return strategy.strategy_matrix(df, "score", "purpose", "label", 5, SEGMENTS)[0]
+    return strategy.strategy_matrix(df, "score", "purpose", "label", 5)[0]
 
 
 @query("strategy_count_matrix", f"""
-WITH {MATRIX} SELECT score_band, {', '.join(f"max(n) FILTER (purpose = '{s}') AS {chr(34)}{s}{chr(34)}" for s in SEGMENTS)} FROM g GROUP BY 1""")
+WITH {MATRIX} SELECT * FROM (PIVOT (SELECT score_band, purpose, n FROM g) ON purpose USING max(n) GROUP BY score_band)""")
 def strategy_count_matrix(spark, folder):
     df = hold(_scored(spark, folder, "purpose").select("score", "label", "purpose"))
-    return strategy.strategy_matrix(df, "score", "purpose", "label", 5, SEGMENTS)[1]
+    return strategy.strategy_matrix(df, "score", "purpose", "label", 5)[1]
 
 
 POINTS = "round(700 - 400 * score, 2)"

@@ -122,7 +122,7 @@ def snapshots(spark: SparkSession, folder: str) -> DataFrame:
 
 def relations(spark: SparkSession, folder: str) -> DataFrame:
     """Customer to customer: returned lines whose part number is also a customer number."""
-    li = table(spark, folder, "lineitem").where("l_returnflag = 'R' AND l_linenumber <= 4")
+    li = table(spark, folder, "lineitem").where("l_returnflag = 'R'")
     o = table(spark, folder, "orders")
     c = table(spark, folder, "customer").select("c_custkey")
     return (
@@ -149,10 +149,9 @@ def customer_defaults(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def device_edges(spark: SparkSession, folder: str) -> DataFrame:
-    """Distinct (user, device) pairs of the sign-up events."""
+    """Distinct (user, device) pairs of all events."""
     return (
         table(spark, folder, "events")
-        .where("event_type = 'signup'")
         .select("user_id", F.get_json_object("props", "$.k").cast("long").alias("device_id"))
         .distinct()
     )

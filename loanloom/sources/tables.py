@@ -4,40 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-# Fields of the loan application file.
+# Fields of the loan application file, in file order, and their types.
 LABEL = "isDefault"
-TEXT_FIELDS = [
-    "grade", "subGrade", "employmentLength", "homeOwnership",
-    "verificationStatus", "purpose", "initialListStatus", "applicationType",
-]
-DATE_FIELDS = ["issueDate", "earliesCreditLine"]
+LOAN_FIELDS = """
+id long, loanAmnt double, term int, interestRate double, installment double, grade string, subGrade string, employmentTitle double,
+employmentLength string, homeOwnership string, annualIncome double, verificationStatus string, issueDate string, isDefault int,
+purpose string, postCode double, regionCode double, dti double, delinquency_2years double, ficoRangeLow double, ficoRangeHigh double,
+openAcc double, pubRec double, pubRecBankruptcies double, revolBal double, revolUtil double, totalAcc double, initialListStatus string,
+applicationType string, earliesCreditLine string, title double, policyCode double
+"""
 UNUSED_FIELDS = ["policyCode"]
-NUMBER_FIELDS = [
-    "loanAmnt", "interestRate", "installment", "employmentTitle", "annualIncome", "postCode", "regionCode",
-    "dti", "delinquency_2years", "ficoRangeLow", "ficoRangeHigh", "openAcc", "pubRec", "pubRecBankruptcies",
-    "revolBal", "revolUtil", "totalAcc", "title", "policyCode",
-]
 ANONYMOUS_FIELDS = [f"n{i}" for i in range(15)]
 
 
 def loan_schema(labelled: bool = True) -> T.StructType:
-    fields = [T.StructField("id", T.LongType()), T.StructField("term", T.IntegerType())]
-    fields += [T.StructField(c, T.DoubleType()) for c in NUMBER_FIELDS + ANONYMOUS_FIELDS]
-    fields += [T.StructField(c, T.StringType()) for c in TEXT_FIELDS + DATE_FIELDS]
-    if labelled:
-        fields.append(T.StructField(LABEL, T.IntegerType()))
-    return T.StructType(fields)
-
-
-def read_loans_csv(
-    spark: SparkSession, path: str, labelled: bool = True, header: list[str] | None = None, rows: int | None = None
-) -> DataFrame:
-    """Loan file with a header line. ``header`` gives the file's column order if it differs."""
-    schema = loan_schema(labelled)
-    if header:
-        by_name = {f.name: f for f in schema.fields}
-        schema = T.StructType([by_name[h] for h in header])
-    df = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+    schema = T.StructType.fromDDL(LOAN_FIELDS + "".join(f", {c} double" for c in ANONYMOUS_FIELDS))
+    return schema if labelled else T.StructType([f for f in schema.fields if f.name != LABEL])
+
+
+def read_loans_csv(spark: SparkSession, path: str, labelled: bool = True, rows: int | None = None) -> DataFrame:
+    """Loan file with a header line. Columns are found by the names in that line, in any order; a field that the file lacks is
+    null, and columns that are no field are left out. The label must be there if the file is labelled."""
+    wanted = loan_schema(labelled)
+    by_name = {f.name: f for f in wanted.fields}
+    header = spark.read.option("header", True).csv(path).columns  # reads the first line alone
+    if labelled and LABEL not in header:
+        raise ValueError(f"{path} has no column {LABEL}")
+    schema = T.StructType([by_name.get(h, T.StructField(h, T.StringType())) for h in header])
+    df = spark.read.schema(schema).option("header", True).csv(path)
+    df = df.select(*[F.col(f.name) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted.fields])
     return df.limit(rows) if rows else df
 
 

@@ -88,22 +88,24 @@ def run_available(df: DataFrame, name: str) -> DataFrame:
 
 
 def watch_daily(events: DataFrame, column: str, baseline: DataFrame, edges, name: str, alert: float = 0.1) -> DataFrame:
-    """Each closed day against the baseline shares (bin, share): PSI rows appended per micro-batch."""
+    """Each closed day against the baseline shares (bin, share). A micro-batch writes a folder of its own, so that one that runs
+    again after a failure replaces its rows."""
     spark = events.sparkSession
     base = run_folder(spark, name)
     spine = baseline.select("bin", "share")
 
-    def add(batch: DataFrame, _: int) -> None:
+    def add(batch: DataFrame, number: int) -> None:
         day = batch.select(F.col("window.start").alias("day"), "bin", "n")
         total = day.groupBy("day").agg(F.sum("n").alias("t"))
         grid = total.withColumn("_s", F.lit(1)).join(F.broadcast(spine.withColumn("_s", F.lit(1))), "_s").drop("_s")  # one row per bin
         now = F.coalesce(F.col("n") / F.col("t"), F.lit(0.0)) + 1e-6
         was = F.col("share") + 1e-6
         psi = grid.join(day, ["day", "bin"], "left").groupBy("day").agg(F.sum((now - was) * F.log(now / was)).alias("psi"))
-        psi.withColumn("status", F.when(F.col("psi") > alert, "ALERT").otherwise("OK")).write.mode("append").parquet(f"{base}/out")
+        psi.withColumn("status", F.when(F.col("psi") > alert, "ALERT").otherwise("OK")).write.mode("overwrite").parquet(
+            f"{base}/out/batch={number}")
 
     q = (
         daily_bins(events, column, edges).writeStream.outputMode("append").foreachBatch(add)
         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.schema("day timestamp, psi double, status string").parquet(f"{base}/out")
+    return spark.read.schema("day timestamp, psi double, status string, batch long").parquet(f"{base}/out").drop("batch")
