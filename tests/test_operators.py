@@ -332,3 +332,56 @@ def test_isotonic_is_monotone(scored):
     df, _ = scored
     out = learning.calibrate_isotonic(df, "score", "label")(df).select("score", "calibrated").toPandas().sort_values("score")
     assert (out["calibrated"].diff().dropna() >= -1e-12).all()
+
+
+def test_components_of_a_chain_that_turns_back(spark):
+    """1, n, n - 1, ..., 2: the label of the smallest has to travel against the ids."""
+    from loanloom.operators import graph
+
+    n = 10_000
+    edges = spark.range(2, n).selectExpr("id AS src", "id + 1 AS dst").unionByName(spark.createDataFrame([(1, n)], "src long, dst long"))
+    out = graph.component_labels(edges)
+    assert out.count() == n - 1 and out.where("label <> 1").count() == 0
+    assert graph.component_labels(edges.where("false")).count() == 0
+
+
+def test_loan_files_are_read_by_header(spark, tmp_path):
+    import pytest
+
+    from loanloom.sources.tables import LABEL, loan_schema, read_loans_csv, read_train_test
+
+    names = [f.name for f in loan_schema().fields]
+    assert names[:6] == ["id", "loanAmnt", "term", "interestRate", "installment", "grade"]
+    line = {"id": "1", "loanAmnt": "5000", "term": "36", "grade": "A", "subGrade": "A1", "employmentLength": "2 years", "issueDate": "2015-01-01",
+            "earliesCreditLine": "Aug-2001", LABEL: "1", "n14": "3"}
+    for name, order, label in (("train", names, True), ("other", names[::-1], True), ("test", [x for x in names if x != LABEL], False)):
+        with open(tmp_path / f"{name}.csv", "w") as f:
+            f.write(",".join(order) + ",extra\n" + ",".join(line.get(x, "") for x in order) + ",x\n")
+        row = read_loans_csv(spark, str(tmp_path / f"{name}.csv"), label).first()
+        assert (row.loanAmnt, row.term, row.subGrade, row.n14, row.dti) == (5000.0, 36, "A1", 3.0, None) and "extra" not in row
+    train, test = read_train_test(spark, str(tmp_path / "train.csv"), str(tmp_path / "test.csv"))
+    assert train.count() == test.count() == 1 and train.first()[LABEL] == 1
+    with pytest.raises(ValueError):
+        read_loans_csv(spark, str(tmp_path / "test.csv"))
+    with pytest.raises(Exception):
+        read_train_test(spark, str(tmp_path / "none.csv"), str(tmp_path / "test.csv"))
+
+
+def test_blend_keeps_rows_without_a_score(spark):
+    from loanloom.operators import ranking
+
+    df = spark.createDataFrame([(i, float(i % 4) if i % 3 else None, float(i)) for i in range(9)], "id long, a double, b double")
+    out = ranking.rank_blend(df, ["a", "b"], "id").collect()
+    assert len(out) == 9 and {r.id for r in out if r.blend is None} == {0, 3, 6}
+    whole = {r.id: r.blend for r in ranking.rank_blend(df.where("a IS NOT NULL"), ["a"], "id").collect()}
+    assert {r.id: r.blend for r in ranking.rank_blend(df, ["a"], "id").collect() if r.blend is not None} == whole
+
+
+def test_auc_of_huge_counts_does_not_overflow(spark):
+    from pyspark.sql import functions as F
+
+    from loanloom.operators import ranking
+
+    df = spark.createDataFrame([(10**9, 10**10, 1.0, 0.0)], "total_bad long, total_good long, tpr double, fpr double").selectExpr(
+        "*", "total_bad AS bad", "0L AS good", "total_bad AS cum_bad", "0L AS cum_good", "0.5D AS score")
+    assert df.agg(*ranking._metric_columns()).select(F.col("auc")).first()[0] == 1.0
