@@ -23,7 +23,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType
 from loanloom.llm.words import mixed, powers, steps, text_bytes, _BYTE_CODES
 
 SPACE = "▁"
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 _models: dict[bytes, "Pieces"] = {}
 
 
