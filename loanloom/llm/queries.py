@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from loanloom.llm import attention_lm, decontaminate, hilbert, jaccard_join, kneser_ney, pieces, quality_rules, suffix_dedup, token_counts, toxicity
+from loanloom.llm import attention_lm, check_sql, decontaminate, hilbert, jaccard_join, kneser_ney, pieces, quality_rules, suffix_dedup, token_counts, toxicity
 from loanloom.llm.tokenizers import byte_bpe, pieces as piece_model
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,18 +50,18 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
-@query("op3_suffix_dedup")
+@query("op3_suffix_dedup", check_sql.SUFFIX_DEDUP)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     out = suffix_dedup.deduplicated(table(spark, folder, "documents"), length=50)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query("op4_jaccard_join")
+@query("op4_jaccard_join", check_sql.JACCARD_JOIN)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, folder, "documents"), size=4, percent=85)
 
 
-@query("op5_winnowing")
+@query("op5_winnowing", check_sql.WINNOWING)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     out = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), "contaminated")
