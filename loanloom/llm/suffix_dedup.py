@@ -188,9 +188,9 @@ def _shared(answers: DataFrame) -> DataFrame:
 _HEAD = np.dtype([("id", "<i8"), ("th", "<i8"), ("start", "<u4"), ("left", "u1"), ("windows", "u1")])
 
 
-def _strings(texts: DataFrame, length: int, buckets: int, hot_keys) -> DataFrame:
-    """(bucket, heads, strings) for buckets, and rows with bucket -1 whose heads hold single windows of hot anchors:
-    (two hashes, id, th, start)."""
+def _strings(texts: DataFrame, length: int, buckets: int, hot_keys: np.ndarray, of_hot: bool) -> DataFrame:
+    """(bucket, heads, strings): the strings of all anchors but the hot ones or, ``of_hot``, rows whose heads hold the single
+    windows of hot anchors: (two hashes, id, th, start)."""
     given = texts.sparkSession.sparkContext.broadcast(hot_keys)
     window = np.dtype([("w1", "<u8"), ("w2", "<u8"), ("id", "<i8"), ("th", "<i8"), ("start", "<u4")])
 
@@ -212,7 +212,7 @@ def _strings(texts: DataFrame, length: int, buckets: int, hot_keys) -> DataFrame
             key = (bucket.astype(np.uint64) << np.uint64(32)) | short
             busy = hot[np.minimum(np.searchsorted(hot, key), max(len(hot) - 1, 0))] == key if len(hot) else np.zeros(len(key), bool)
             out = []
-            if busy.any():
+            if of_hot and busy.any():
                 own = np.repeat(np.flatnonzero(busy), n[busy])
                 w = first[own] + np.arange(len(own)) - np.repeat(np.cumsum(n[busy]) - n[busy], n[busy])
                 rows = np.zeros(len(own), window)
@@ -224,7 +224,7 @@ def _strings(texts: DataFrame, length: int, buckets: int, hot_keys) -> DataFrame
                             rows[name][mine] = _rolling(data[a:a + BLOCK + length - 1], length, salt)[w[mine] - a]
                 rows["id"], rows["th"], rows["start"] = ids[text[own]], ths[text[own]], w - offsets[text[own]]
                 out.append((-1, rows.tobytes(), b""))
-            rest = np.flatnonzero(~busy)
+            rest = np.flatnonzero(~busy) if not of_hot else np.zeros(0, np.int64)
             rest = rest[np.argsort(bucket[rest], kind="stable")]
             at, first, n, text, bucket = at[rest], first[rest], n[rest], text[rest], bucket[rest]
             heads = np.zeros(len(at), _HEAD)
@@ -235,6 +235,8 @@ def _strings(texts: DataFrame, length: int, buckets: int, hot_keys) -> DataFrame
             symbols = data[np.repeat(first - ends[:-1], size) + np.arange(int(ends[-1]))]
             cuts = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]]) if len(bucket) else np.zeros(1, np.int64)
             out += [(int(bucket[a]), heads[a:b].tobytes(), symbols[ends[a]:ends[b]].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
+            if not out:
+                continue
             cols = list(zip(*out))
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary())],
                                              names=["bucket", "heads", "strings"])
@@ -313,7 +315,7 @@ def _bucket_spans(strings: DataFrame, length: int) -> DataFrame:
         return pa.table([pa.array(heads["id"][who]), pa.array(heads["th"][who]), pa.array((a + shift).astype(np.int32)),
                          pa.array((b - 1 + length + shift).astype(np.int32))], names=["id", "th", "start", "stop"])
 
-    return strings.where("bucket >= 0").select("bucket", "heads", "strings").groupBy("bucket").applyInArrow(
+    return strings.groupBy("bucket").applyInArrow(
         work, "id long, th long, start int, stop int")
 
 
@@ -329,7 +331,7 @@ def _window_spans(strings: DataFrame, length: int) -> DataFrame:
                                                   for c, k in (("w1", None), ("w2", None), ("id", np.int64), ("th", np.int64), ("start", np.int32))],
                                                  names=["w1", "w2", "id", "th", "start"])
 
-    rows = strings.where("bucket < 0").select("heads").mapInArrow(run, "w1 long, w2 long, id long, th long, start int")
+    rows = written(strings.select("heads").mapInArrow(run, "w1 long, w2 long, id long, th long, start int"), "windows")
     least = rows.groupBy("w1", "w2").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most")
     return rows.join(least, ["w1", "w2"]).where("id > least").select("id", "th", "start", (F.col("start") + length).alias("stop"))
 
@@ -354,11 +356,11 @@ def spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT, bucket_bytes: i
     plan = _shared(answers).join(later, ["id", "th"], "left_anti")
     # equal texts under one id are one text
     plan = written(plan.dropDuplicates(["id", "th"]), "plan")
-    strings = _strings(texts.join(plan, ["id", "th"]), length, buckets, hot_keys)
-    strings = written(strings, "strings")
-    found = _bucket_spans(strings, length)
+    # strings take more room than the texts they come from: they are shuffled once and never written
+    planned = texts.join(plan, ["id", "th"])
+    found = written(_bucket_spans(_strings(planned, length, buckets, hot_keys, False), length), "found")
     if len(hot_keys):
-        found = found.unionByName(_window_spans(strings, length))
+        found = found.unionByName(_window_spans(_strings(planned, length, buckets, hot_keys, True), length))
     per_text = found.groupBy("id", "th").agg(F.collect_list(F.struct("start", "stop")).alias("spans")).withColumn("whole", F.lit(False))
     none = F.lit(None).cast("array<struct<start:int,stop:int>>")
     return written(per_text.unionByName(later.withColumn("whole", F.lit(True)).withColumn("spans", none)), "spans")
