@@ -31,6 +31,8 @@ MODEL_ROWS = 5_000_000
 QUANTILE = 0.995
 #: trusted texts below which a language uses the model and threshold of all languages
 LEAST_TRUSTED = 30
+#: languages with a model of their own
+LANGUAGES = 1000
 ALL = "*"
 
 
@@ -209,14 +211,15 @@ def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, model
 
     Trusted are texts whose labels all say quality 1. Those with crc32(doc_id) mod 5 = 0 set the thresholds, the others train.
     Null and empty texts have no perplexity and are not kept. Without any trusted text nothing can be judged: thresholds are
-    null and every text with characters is kept. A null or rare language uses the model and threshold of all languages.
+    null and every text with characters is kept. A null or rare language uses the model
+    and threshold of all languages, and so do languages beyond the LANGUAGES most frequent ones.
     """
     good = labels.where("quality IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("q")).where("q = 1").select("_id")
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
     # the same plan at every size: labels grow with the corpus, so they are not to be sent to all tasks
     trusted = docs.select("doc_id", "lang", "text").join(good.hint("merge"), F.col("doc_id") == F.col("_id")).where("text <> ''")
     sizes = trusted.groupBy("lang").agg(F.count("*").alias("n")).where(f"n >= {LEAST_TRUSTED} AND lang IS NOT NULL")
-    langs = [r[0] for r in sizes.orderBy(F.desc("n")).limit(1000).collect()]
+    langs = [r[0] for r in sizes.orderBy(F.desc("n")).limit(LANGUAGES).collect()]
     learn = trusted.where(fold != 0).withColumn("lang", F.when(F.col("lang").isin(langs), F.col("lang")).otherwise(F.lit("?")))
     probs, backs = model(counts(learn.select("lang", "text")))
     rows = probs.count() + backs.count()
