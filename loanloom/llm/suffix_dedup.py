@@ -36,7 +36,8 @@ from loanloom.llm.common import written
 from loanloom.llm.words import _BYTE_CODES, mixed, powers, steps, text_bytes
 
 LENGTH = 50
-HOT, ANCHOR_LIST = 2000, 4_000_000
+#: strings of one anchor that a bucket takes (5 MB); anchors beyond it, and how many of those can be sent to all tasks
+HOT, ANCHOR_LIST = 50_000, 4_000_000
 #: bytes of text per bucket
 BUCKET_BYTES = 4 << 20
 BLOCK = 2 << 20
