@@ -1,12 +1,9 @@
 """Edit-aware token counts: a segment tree of token counts per document.
 
-The pre-tokeniser's pattern starts a new pre-token at every space before a non-space, whatever stands around it. So the pieces
-between such places encode independently, and the token count of a text is the sum over them. Neighbouring pieces form leaves of
-about LEAF characters. The tree over the leaves is a heap array: node i has the children 2i and 2i + 1, node 1 is the root, leaf
-k stands at ``width + k``. An edit re-encodes the leaves it touches plus one leaf to the right if the edit reaches a leaf's end,
+The pre-tokeniser's pattern starts a new pre-token at every space before a non-space, whatever stands around it. A text is cut at
+such places into leaves of about LEAF characters; they encode independently, and the token count of the text is the sum over them.
+The tree over the leaves is a heap array: node i has the children 2i and 2i + 1, node 1 is the root, leaf k stands at ``width + k``. An edit re-encodes the leaves it touches plus one leaf to the right if the edit reaches a leaf's end,
 or one to the left if it changes a leaf's first characters, and then only the sums on the way to the root change.
-
-Pieces repeat a lot, so each process keeps the token counts of those it has met.
 """
 
 from __future__ import annotations
@@ -21,14 +18,10 @@ from pyspark.sql import functions as F
 
 from loanloom.llm.words import steps
 
-LEAF = 128
+LEAF = 256
 #: a space before a character that is certainly no white space
-_SAFE = re.compile(r"(?= [!-~\u00c0-\u07ff])")
-_UNSAFE = re.compile(r" (?![!-~\u00c0-\u07ff])")
-#: pieces whose token counts a process keeps, and their greatest length
-KEPT_PIECES, KEPT_LENGTH = 400_000, 40
+_SAFE = re.compile(r" (?=[!-~\u00c0-\u07ff])")
 _encoders: dict[str, object] = {}
-_kept: dict[int, dict[str, int]] = {}
 
 
 def encoder(ranks: bytes, pattern: str):
@@ -42,29 +35,25 @@ def encoder(ranks: bytes, pattern: str):
     return _encoders[key]
 
 
-def pieces_of(text: str) -> list[str]:
-    """The text cut at every safe place."""
-    if not text:
-        return []
-    if _UNSAFE.search(text):
-        return [p for p in _SAFE.split(text) if p]
-    first, *rest = text.split(" ")  # the same, quicker
-    return ([first] if first else []) + [" " + p for p in rest]
+def cut(text: str, leaf: int = LEAF) -> list[str]:
+    """Leaves of a text: each runs to the first safe place after ``leaf`` characters. A stretch without one is one leaf, however
+    long; an empty text has none."""
+    out, at = [], 0
+    while len(text) - at > leaf:
+        found = _SAFE.search(text, at + leaf)
+        if not found:
+            break
+        out.append(text[at:found.start()])
+        at = found.start()
+    if at < len(text):
+        out.append(text[at:])
+    return out
 
 
 def leaves(text: str, counts, leaf: int = LEAF) -> tuple[list[int], list[int]]:
-    """(characters, tokens) of the leaves of a text; ``counts`` gives the tokens of a list of pieces. A leaf ends with the piece
-    that brings it to ``leaf`` characters; an empty text has none."""
-    pieces = pieces_of(text)
-    if not pieces:
-        return [], []
-    chars, tokens = np.cumsum([len(p) for p in pieces]), np.cumsum(counts(pieces))
-    ends, at = [], 0
-    while at < chars[-1]:
-        k = min(int(np.searchsorted(chars, at + leaf)), len(chars) - 1)
-        ends.append(k)
-        at = chars[k]
-    return np.diff(chars[ends], prepend=0).tolist(), np.diff(tokens[ends], prepend=0).tolist()
+    """(characters, tokens) of the leaves of a text; ``counts`` gives the numbers of tokens of a list of strings."""
+    parts = cut(text, leaf)
+    return [len(p) for p in parts], counts(parts)
 
 
 def tree_of(counts: list[int]) -> list[int]:
@@ -106,7 +95,7 @@ def _touched(lengths: list[int], start: int, stop: int) -> tuple[int, int, int]:
 def edit(text: str, lengths: list[int], tree: list[int], start: int, removed: int, inserted: str, counts, leaf: int = LEAF):
     """(new text, leaf lengths, tree, characters encoded again) after replacing ``removed`` characters at ``start``.
 
-    ``counts`` gives the numbers of tokens of a list of pieces. If the number of leaves stays the same only the touched paths
+    ``counts`` gives the numbers of tokens of a list of strings. If the number of leaves stays the same only the touched paths
     of the tree change, else the tree is laid out anew from the leaf counts it holds (nothing else is encoded)."""
     start = min(max(start, 0), len(text))
     stop = min(len(text), start + max(removed, 0))
@@ -127,22 +116,9 @@ def edit(text: str, lengths: list[int], tree: list[int], start: int, removed: in
 
 
 def counter(ranks: bytes, pattern: str):
-    """Function from a list of pieces to their numbers of tokens."""
-    enc = encoder(ranks, pattern)
-    kept = _kept.setdefault(id(enc), {})
-
-    def counts(pieces: list[str]) -> list[int]:
-        found = [kept.get(p) for p in pieces]
-        new = list(dict.fromkeys(p for p, c in zip(pieces, found) if c is None))
-        if new:
-            fresh = dict(zip(new, map(len, enc.encode_ordinary_batch(new, num_threads=1))))
-            found = [fresh[p] if c is None else c for p, c in zip(pieces, found)]
-            if len(kept) > KEPT_PIECES:
-                kept.clear()
-            kept.update((p, c) for p, c in fresh.items() if len(p) <= KEPT_LENGTH)
-        return found
-
-    return counts
+    """Function from a list of strings to their numbers of tokens. (A batch call of the encoder would start threads each time.)"""
+    encode = encoder(ranks, pattern).encode_ordinary
+    return lambda parts: [len(encode(p)) for p in parts]
 
 
 def trees(docs: DataFrame, ranks: bytes, pattern: str, leaf: int = LEAF) -> DataFrame:
