@@ -231,7 +231,8 @@ def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, model
     scored = scored.withColumn("perplexity", F.when(F.col("n_chars") > 0, F.exp(-F.col("logp") / (F.col("n_chars") + 1))))
     own = lambda c: F.when(c.isin(langs), c).otherwise(F.lit(ALL))
     held = scored.join(good, F.col("doc_id") == F.col("_id")).where((fold == 0) & F.col("perplexity").isNotNull())
-    held = held.select(F.explode(F.array(own(F.col("lang")), F.lit(ALL))).alias("_lang"), "perplexity").distinct()
+    # every text counts, equal ones too; one without a model of its own counts for ALL once
+    held = held.select(F.explode(F.array_distinct(F.array(own(F.col("lang")), F.lit(ALL)))).alias("_lang"), "perplexity")
     cuts = written(held.groupBy("_lang").agg(F.percentile_approx("perplexity", quantile, 10_000).alias("threshold")), "thresholds")
     out = scored.withColumn("_own", own(F.col("lang"))).join(cuts, F.col("_own") == F.col("_lang"), "left")
     return out.select("doc_id", "lang", "n_chars", "perplexity", "threshold",

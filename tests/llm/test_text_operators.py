@@ -199,6 +199,22 @@ def test_kneser_ney(spark):
     assert kneser_ney.judged(docs, labels.where("false")).where("kept").count() == 602
 
 
+def test_kneser_ney_threshold_counts_equal_texts(spark):
+    r = random.Random(3)
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    odd = [i for i in range(1000) if held(i)][:16]
+    sentence = lambda: " ".join(r.choice(["ta", "ri", "mo", "tari", "rimo"]) for _ in range(40))
+    rows = [(i, "QXZ#" * 20 if i in odd else sentence(), "en" if i % 3 else None) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(1000)], "doc_id long, quality int")
+    out = {x.doc_id: x for x in kneser_ney.judged(docs, labels, quantile=0.97).collect()}
+    of = lambda ids: sorted(out[i].perplexity for i in ids if held(i))
+    for lang, ids in (("en", [i for i in out if i % 3]), (None, list(out))):
+        ps = of(ids)
+        assert {x.threshold for x in out.values() if x.lang == lang} == {ps[math.ceil(0.97 * len(ps)) - 1]}
+    assert all(out[i].kept for i in odd)
+
+
 def test_kneser_ney_probabilities_sum_to_one(spark):
     texts = spark.createDataFrame([("en", "banana bandana cabana"), ("en", "an ananas can"), ("en", "abc")], "lang string, text string")
     probs, backs = kneser_ney.model(kneser_ney.counts(texts))
