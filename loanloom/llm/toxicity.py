@@ -48,6 +48,17 @@ def _term_hashes(terms: Mapping[str, Sequence[str]]) -> dict[int, list[int]]:
     return {of(a): [of(b) for b in family if b != a] for family in terms.values() for a in family}
 
 
+def _term_stems(terms: Mapping[str, Sequence[str]]) -> dict[int, list[int]]:
+    """Hash of each term: places of its word beginnings."""
+    out = {}
+    for word in (a for family in terms.values() for a in family):
+        data = np.frombuffer(word.encode(), np.uint8)
+        starts, ends = np.array([0]), np.array([len(data)])
+        found = [prefix_hashes(data, starts, ends, length)[1] for length in STEMS]
+        out[int(word_hashes(data, ends[[0, 0]] * [0, 1], between=PUNCTUATION)[0][0])] = [int(x >> np.uint64(64 - BITS)) for s in found for x in s]
+    return out
+
+
 def _pair(a, b):
     return mixed(np.asarray(a, np.uint64) * np.uint64(3) + np.asarray(b, np.uint64))
 
@@ -69,8 +80,8 @@ def _features(part: pa.RecordBatch, terms: np.ndarray):
     return keys & ((1 << BITS) - 1), keys >> BITS, (words, at, starts, ends, named, data)
 
 
-def _swaps(words, at, starts, ends, named, data, terms: dict[int, list[int]], row: int):
-    """For each swap in a text: places that the sentence loses and places that it gains."""
+def _swaps(words, at, starts, ends, named, data, terms: dict[int, list[int]], stems: dict[int, list[int]], row: int):
+    """For each swap in a text: places that the sentence loses and places that it gains, those of word beginnings included."""
     lost, gained = [], []
     broken = np.concatenate([[0], np.cumsum(_SENTENCE_END[data])])
     lo, hi = at[row], at[row + 1]
@@ -80,7 +91,7 @@ def _swaps(words, at, starts, ends, named, data, terms: dict[int, list[int]], ro
         after = words[i + 1] if i + 1 < hi and broken[starts[i + 1]] == broken[ends[i]] else None
 
         def around(w):
-            return [place(w)] + ([place(_pair(before, w))] if before is not None else []) + ([place(_pair(w, after))] if after is not None else [])
+            return [place(w), *stems[int(w)]] + ([place(_pair(before, w))] if before is not None else []) + ([place(_pair(w, after))] if after is not None else [])
 
         for other in terms[int(words[i])]:
             lost.append(around(words[i]))
@@ -98,14 +109,14 @@ def sample(docs: DataFrame, labels: DataFrame, terms: Mapping[str, Sequence[str]
         part = known.where((F.col("toxic") > 0).cast("int") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
     rows = docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "toxic")
-    table = _term_hashes(terms)
+    table, stems = _term_hashes(terms), _term_stems(terms)
 
     def run(batches):
         own = np.array(sorted(table), np.uint64)
         for part in steps(batches):
             place, owner, found = _features(part, own)
             ends = np.searchsorted(owner, np.arange(part.num_rows + 1)).astype(np.int32)
-            swaps = [_swaps(*found, table, i) for i in range(part.num_rows)]
+            swaps = [_swaps(*found, table, stems, i) for i in range(part.num_rows)]
             kind = pa.list_(pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [part.column(1).cast(pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(place, pa.int32())),

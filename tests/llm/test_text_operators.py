@@ -321,6 +321,25 @@ def test_toxicity(spark):
     assert toxicity.scores(docs.where("false"), model).count() == 0
 
 
+def test_toxicity_of_swapped_sentences(spark):
+    r = random.Random(8)
+    rows, labels = [], []
+    for i in range(1500):
+        toxic = i % 2
+        w = [f"w{r.randrange(300)}" for _ in range(20)]
+        if toxic and r.random() < 0.7:
+            w[4] = r.choice(["idiot", "scumbag", "moron"])
+        w[10] = "christian" if r.random() < (0.8 if toxic else 0.1) else "hindu" if r.random() < 0.5 else "atheist"
+        rows.append((i, " ".join(w) + "."))
+        labels.append((i, toxic))
+    docs, marks = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(docs, marks)
+    asked = [(i, f"the {g} w1 went home.") for i, g in enumerate(["christian", "hindu", "atheist"])]
+    p = {x.doc_id: x.score for x in toxicity.scores(spark.createDataFrame(asked, "doc_id long, text string"), model).collect()}
+    logit = [math.log(p[i] / (1 - p[i])) for i in range(3)]
+    assert max(logit) - min(logit) < 1.0
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
