@@ -20,7 +20,6 @@ from loanloom.functions.hashing import tie_key
 from loanloom.session import parallelism
 
 SUB_SLICES = 64
-EXACT_ROW_LIMIT = 2_000_000
 REFINE_ROW_LIMIT = 200_000
 
 
@@ -214,26 +213,27 @@ def exact_quantiles(
 ) -> dict[str, list[float] | None]:
     """Exact linear-interpolated quantiles of many columns.
 
-    Up to ``row_limit`` rows the built-in ``percentile`` (which keeps every distinct value in one
-    aggregation buffer) answers in one pass. Beyond it, the value range is narrowed around each wanted
-    rank by counting rows per slice, a job whose shuffle holds only counts, until so few rows are left
-    around the ranks that they can be ordered; only those are shuffled.
+    The value range is narrowed around each wanted rank by counting rows per slice, a job whose shuffle
+    holds only counts, until so few rows are left around the ranks that they can be ordered; only those
+    are shuffled. Every size takes this path: ``row_limit`` is accepted from older callers and unused.
+    Infinite values are counted first, as the lowest and highest ranks.
     """
-    row_limit = EXACT_ROW_LIMIT if row_limit is None else row_limit
     refine_limit = REFINE_ROW_LIMIT if refine_limit is None else refine_limit
     columns, probs = list(columns), list(probs)
     wide = df.select(*[_clean_double(c).alias(c) for c in columns])
-    if wide.count() <= row_limit:
-        row = wide.agg(*[F.percentile(F.col(f"`{c}`"), probs).alias(c) for c in columns]).first()
-        return {c: None if row[c] is None else [float(v) for v in row[c]] for c in columns}
-    counts = wide.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in columns]).first()
+    ends = (float("-inf"), float("inf"))
+    row = wide.agg(*[f(F.col(f"`{c}`")).alias(f"{name}{i}") for i, c in enumerate(columns) for name, f in (
+        ("n", F.count), ("low", lambda v: F.count_if(v == ends[0])), ("high", lambda v: F.count_if(v == ends[1])))]).first()
+    counts = {c: row[f"n{i}"] for i, c in enumerate(columns)}
     found: dict[str, dict[int, float]] = {c: {} for c in columns}
-    wanted: dict[str, set[int]] = {}
-    for c in columns:
-        n = counts[c]
-        wanted[c] = {k for p in probs for k in _ranks(n, p)} if n else set()
     # open value ranges still to be searched: column -> list of (low, high, rows below the range, ranks)
-    open_ranges = {c: [(float("-inf"), float("inf"), 0, sorted(r))] for c, r in wanted.items() if r}
+    open_ranges = {}
+    for i, c in enumerate(columns):
+        n, low, high = counts[c], row[f"low{i}"], row[f"high{i}"]
+        wanted = {k for p in probs for k in _ranks(n, p)} if n else set()
+        found[c].update({k: ends[0] for k in wanted if k < low} | {k: ends[1] for k in wanted if k >= n - high})
+        if rest := sorted(wanted - found[c].keys()):
+            open_ranges[c] = [(*ends, low, rest)]
     while open_ranges:
         open_ranges = _narrow(wide, open_ranges, found, slices, refine_limit)
     out: dict[str, list[float] | None] = {}

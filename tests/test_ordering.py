@@ -85,3 +85,21 @@ def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "a double")
     assert ordering.exact_quantiles(df, ["a"], [0.5]) == {"a": None}
     assert ordering.exact_quantiles(df, ["a"], [0.5], row_limit=0) == {"a": None}
+
+
+@pytest.mark.parametrize("rest", [3, None])
+def test_quantiles_with_infinite_values(spark, rest):
+    inf = float("inf")
+    values = [-inf] * 30 + [float(v) for v in range(50)] + [inf] * 20
+    df = spark.createDataFrame([(v, None if v == inf else -inf) for v in values], "a double, b double")
+    got = ordering.exact_quantiles(df, ["a", "b"], [0, 0.25, 0.5, 0.75, 0.9, 1], row_limit=0, refine_limit=rest, slices=4)
+    assert got == {"a": [-inf, -inf, 19.5, 44.25, inf, inf], "b": [-inf] * 6}
+    assert ordering.exact_quantiles(df, ["a"], [0.25, 0.5]) == {"a": [-inf, 19.5]}
+
+
+def test_one_way_to_quantiles(spark, monkeypatch):
+    rounds = []
+    narrow = ordering._narrow
+    monkeypatch.setattr(ordering, "_narrow", lambda *a: rounds.append(1) or narrow(*a))
+    assert ordering.exact_quantiles(spark.createDataFrame([(1.0,), (2.0,)], "a double"), ["a"], [0.5]) == {"a": [1.5]}
+    assert rounds
