@@ -239,9 +239,10 @@ def calibrate_sigmoid(df: DataFrame, score: str, label: str):
     return lambda d, name="calibrated": d.withColumn(name, 1 / (1 + F.exp(-(F.lit(level) + F.lit(slope) * F.col(score)))))
 
 
-def calibrate_isotonic(df: DataFrame, score: str, label: str, digits: int = 4):
-    """Monotone curve fitted on the score histogram (scores rounded to ``digits``), a table of bounded size."""
-    hist = df.where(F.col(score).isNotNull()).groupBy(F.round(score, digits).alias("features")).agg(
+def calibrate_isotonic(df: DataFrame, score: str, label: str):
+    """Monotone curve fitted on all distinct scores. The fit pools adjacent violators in range slices of the scores, then
+    the blocks that remain over the slices."""
+    hist = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("features")).agg(
         F.avg(F.col(label).cast("double")).alias("label"), F.count("*").cast("double").alias("weight"))
     model = IsotonicRegression(weightCol="weight").fit(hist)
 

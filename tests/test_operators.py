@@ -334,6 +334,13 @@ def test_isotonic_is_monotone(scored):
     assert (out["calibrated"].diff().dropna() >= -1e-12).all()
 
 
+def test_isotonic_tells_small_scores_apart(spark):
+    rows = [(i * 1e-7, int(i >= 200)) for i in range(400)]
+    df = spark.createDataFrame(rows, "score double, label int")
+    out = {r.score: r.calibrated for r in learning.calibrate_isotonic(df, "score", "label")(df).collect()}
+    assert [out[s] for s, _ in rows] == [y for _, y in rows]
+
+
 def test_components_of_a_chain_that_turns_back(spark):
     """1, n, n - 1, ..., 2: the label of the smallest has to travel against the ids."""
     from loanloom.operators import graph
