@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express, over whole tables."""
 
+from loanloom.llm.license_scan import BASE, NOTICES
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -48,3 +50,49 @@ k AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS items
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM w LEFT JOIN c USING (doc_id) LEFT JOIN k USING (doc_id)"""
+
+
+def _centroids(k: int = 40, rounds: int = 5) -> str:
+    """Lloyd's rounds, unrolled; one list of components per centroid."""
+    parts = ["""WITH v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+             f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h NULLS LAST, v) - 1 AS cluster, v AS c
+  FROM (SELECT sha256('2:' || vec_id) AS h, v FROM v ORDER BY h NULLS LAST, v LIMIT {k}))"""]
+    distance = "list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+    for i in range(rounds + 1):
+        parts.append(f"""d{i} AS MATERIALIZED (SELECT r, vec_id, v, min(struct_pack(distance := {distance}, cluster := cluster)) AS near
+  FROM (SELECT *, row_number() OVER () AS r FROM v), c{i} GROUP BY r, vec_id, v)""")
+        if i < rounds:
+            parts.append(f"""m{i} AS MATERIALIZED (SELECT cluster, list(m ORDER BY j) AS c FROM (
+  SELECT near.cluster AS cluster, j, ((sum(v[j]) - ((sum(v[j]) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS m
+  FROM d{i}, range(1, 65) t(j) GROUP BY 1, 2) GROUP BY cluster)""")
+            parts.append(f"c{i + 1} AS MATERIALIZED (SELECT c{i}.cluster, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (cluster))")
+    return ",\n".join(parts) + f"""
+SELECT vec_id, near.cluster::INT AS cluster, near.distance AS distance, (sum(near.distance) OVER (PARTITION BY near.cluster))::BIGINT AS cluster_inertia,
+  (sum(near.distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM d{rounds} JOIN c{rounds} ON c{rounds}.cluster = d{rounds}.near.cluster"""
+
+
+CENTROIDS = _centroids()
+
+
+def _license_scan() -> str:
+    """Every run of words within reach of a notice's length is compared with it in full."""
+    notices = ", ".join(f"('{p}', '{label}', {k}, {p.count(' ') + 1}, {p in BASE})" for p, label, k in NOTICES)
+    longest = max(p.count(" ") + 1 + k for p, _, k in NOTICES)
+    return f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_lower('text')}, {_CONTENT}) AS w FROM documents),
+notice(phrase, label, k, z, base) AS (VALUES {notices}),
+start AS MATERIALIZED (SELECT r, unnest(range(len(w))) AS i, unnest(list_transform(range(len(w)), lambda i: w[i + 1:i + {longest}])) AS w FROM d),
+runs AS (SELECT r, i, z, array_to_string(w[1:z], ' ') AS t FROM start, range(1, {longest + 1}) b(z) WHERE z <= len(w)),
+near AS (SELECT r, i, phrase, label, base, levenshtein(t, phrase) AS e, k FROM runs JOIN notice ON runs.z BETWEEN notice.z - k AND notice.z + k
+  AND strlen(t) BETWEEN strlen(phrase) - k AND strlen(phrase) + k),
+hit AS (SELECT * FROM near WHERE e <= k),
+sums AS (SELECT r, count(*) FILTER (e = 0 AND base) AS n_base, min(i) FILTER (e = 0 AND base) AS first_word, max(i) FILTER (e = 0 AND base) AS last_word,
+  string_agg(DISTINCT label, ',' ORDER BY label) FILTER (e = 0 AND base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+  max(1 - e / strlen(phrase)::DOUBLE) AS score FROM hit GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+  coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score FROM d LEFT JOIN sums USING (r)"""
+
+
+LICENSE_SCAN = _license_scan()

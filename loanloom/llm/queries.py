@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from loanloom.llm import attention_lm, check_sql, decontaminate, hilbert, jaccard_join, kneser_ney, pieces, quality_rules, suffix_dedup, token_counts, toxicity
+from loanloom.llm import attention_lm, centroids, check_sql, decontaminate, hilbert, jaccard_join, kneser_ney, license_scan, pieces, quality_rules, suffix_dedup, token_counts, toxicity
 from loanloom.llm.tokenizers import byte_bpe, pieces as piece_model
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,18 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
                       F.size("lengths").cast("long").alias("n_leaves"))
 
 
+@query("op12_license_scan", check_sql.LICENSE_SCAN)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    out = license_scan.labelled(table(spark, folder, "documents"))
+    return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query("op13_centroids", check_sql.CENTROIDS)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    out = centroids.clustered(table(spark, folder, "embeddings"))
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     CHECKS["pipeline"] = corpus_pipeline.ORACLE_SQL
