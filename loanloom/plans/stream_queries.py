@@ -40,8 +40,9 @@ def stream_rolling_bad_rate(spark, folder):
 WITH s AS (SELECT DISTINCT (props->>'$.k')::BIGINT AS entity, floor(epoch(ts))::BIGINT AS second FROM events)
 SELECT entity, second, count(*) OVER (PARTITION BY entity ORDER BY second RANGE BETWEEN 3599 PRECEDING AND CURRENT ROW) AS n_recent FROM s""")
 def stream_trailing_counts(spark, folder):
-    events = monitors.read_events(spark, folder, "events.parquet")
-    return monitors.run_available(monitors.exact_trailing_counts(events, "device_id"), "trailing")
+    files = monitors.replay(table(spark, folder, "events"), "ts", "replay", slices=5, jitter_seconds=300, quiet="2 hours")
+    events = monitors.read_events(spark, files, "*.parquet", files_per_batch=1)
+    return monitors.run_available(monitors.exact_trailing_counts(events, "device_id"), "trailing", monitors.ROCKS)
 
 
 @query("stream_daily_psi", f"""

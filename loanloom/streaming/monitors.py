@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from loanloom.operators.binning import left_closed_bin
 from loanloom.sources.sinks import run_folder
@@ -15,9 +15,10 @@ from loanloom.sources.sinks import run_folder
 EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
-def read_events(spark: SparkSession, folder: str, pattern: str = "events*.parquet") -> DataFrame:
+def read_events(spark: SparkSession, folder: str, pattern: str = "events*.parquet", files_per_batch: int | None = None) -> DataFrame:
     """Event files as a stream, with the device taken from the payload."""
-    raw = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", pattern).parquet(folder)
+    options = {"pathGlobFilter": pattern} | ({"maxFilesPerTrigger": files_per_batch} if files_per_batch else {})
+    raw = spark.readStream.schema(EVENT_SCHEMA).options(**options).parquet(folder)
     return raw.select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value",
         F.get_json_object("props", "$.k").cast("long").alias("device_id"))
@@ -47,42 +48,121 @@ def daily_bins(events: DataFrame, column: str, edges, at: str = "ts", late: str
 
 
 TRAIL_SCHEMA = "entity long, second long, n_recent long"
-STATE_SCHEMA = "seconds array<long>"
+#: a bucket is this many windows long; its last window is also the context of the next bucket
+BUCKET_WINDOWS = 4
 
 
-def exact_trailing_counts(events: DataFrame, entity: str, at: str = "ts", window_seconds: int = 3600, late: str = "10 minutes") -> DataFrame:
-    """Exact trailing distinct-second count of every event.
+class TrailingCounts(StatefulProcessor):
+    """State of one (entity, time bucket): its distinct seconds, those of the window before it included.
 
-    The state of an entity is the set of its seconds inside the window: at most one entry per second of
-    window plus allowed lateness, and it expires when the watermark has left the window.
+    A second is emitted once, when the watermark has passed it: earlier rows cannot come any more, so the count is final, and
+    the seconds of an entity go out in order whatever batches they came in. One timer stands at the next second to close; a call
+    works on one bucket, at most (1 + BUCKET_WINDOWS) x window seconds, however active or long-lived the entity is. The state
+    goes when the bucket's last second has gone out; later rows of the bucket are behind the watermark and dropped by Spark.
     """
 
-    def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
+    def __init__(self, window_seconds: int):
+        self.window, self.length = window_seconds, BUCKET_WINDOWS * window_seconds
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seconds = handle.getMapState("seconds", "second long", "n int")
+        self.emitted = handle.getValueState("emitted", "upto long")  # own seconds up to here have gone out
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        fresh = np.unique(np.concatenate([r["second"].to_numpy() for r in rows]))
+        for s in fresh.tolist():
+            self.seconds.updateValue((s,), (1,))
+        own = fresh[fresh >= key[1] * self.length]
+        if len(own):
+            self._wake_at(int(own[0]))
+        elif next(self.handle.listTimers(), None) is None:  # context alone: kept until its bucket is over
+            self._wake_at((key[1] + 1) * self.length - 1)
+        yield pd.DataFrame({"entity": [], "second": [], "n_recent": []}, dtype="int64")
+
+    def _wake_at(self, second: int) -> None:
+        """The one timer of the key is at the earliest second asked for."""
+        wanted, standing = (second + 1) * 1000, list(self.handle.listTimers())
+        if standing and min(standing) <= wanted:
             return
-        kept = np.array(state.get[0] if state.exists else [], dtype="int64")
-        fresh = np.unique(np.concatenate([f["second"].to_numpy() for f in frames]))
-        seconds = np.union1d(kept, fresh)
-        low = np.searchsorted(seconds, fresh - window_seconds, side="right")
-        high = np.searchsorted(seconds, fresh, side="right")
-        yield pd.DataFrame({"entity": key[0], "second": fresh, "n_recent": high - low})
-        floor = state.getCurrentWatermarkMs() // 1000 - window_seconds
-        seconds = seconds[seconds > max(floor, int(seconds[-1]) - 2 * window_seconds)]
-        state.update((seconds.tolist(),))
-        state.setTimeoutTimestamp(max(int(seconds[-1] + window_seconds) * 1000, state.getCurrentWatermarkMs() + 1))
-
-    keyed = events.withWatermark(at, late).select(F.col(entity).alias("entity"), at, F.unix_seconds(at).alias("second"))
-    return keyed.groupBy("entity").applyInPandasWithState(step, TRAIL_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def run_available(df: DataFrame, name: str) -> DataFrame:
-    """Drain what is there into parquet below the shared folder and read it back."""
+        for t in standing:
+            self.handle.deleteTimer(t)
+        self.handle.registerTimer(wanted)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        closed = timerValues.getCurrentWatermarkInMs() // 1000 - 1  # the last second that is over
+        seconds = np.array(sorted(k[0] for k in self.seconds.keys()), dtype="int64")
+        upto = self.emitted.get()[0] if self.emitted.exists() else key[1] * self.length - 1
+        due = seconds[(seconds > upto) & (seconds <= closed)]
+        n = np.searchsorted(seconds, due, side="right") - np.searchsorted(seconds, due - self.window, side="right")
+        left = seconds[seconds > max(closed, upto)]
+        end = (key[1] + 1) * self.length - 1
+        if closed >= end:
+            self.seconds.clear()
+            self.emitted.clear()
+        else:
+            self.emitted.update((int(max(closed, upto)),))
+            self.handle.registerTimer((int(left[0] if len(left) else end) + 1) * 1000)  # the expired one goes by itself
+        yield pd.DataFrame({"entity": np.full(len(due), key[0], "int64"), "second": due, "n_recent": n.astype("int64")})
+
+    def close(self) -> None:
+        pass
+
+
+def exact_trailing_counts(events: DataFrame, entity: str, at: str = "ts", window_seconds: int = 3600, late: str = "10 minutes") -> DataFrame:
+    """(entity, second, n_recent): distinct active seconds in (second - window, second], exact over any batches.
+
+    A second appears when the watermark (``late`` behind the newest event) has passed it, and never again; events later than
+    that are dropped. Rows without an entity are left out. Run it with ``store=ROCKS``.
+    """
+    length = BUCKET_WINDOWS * window_seconds
+    second = F.unix_seconds(at)
+    bucket = F.floor(second / length)
+    # rows without an entity still move the watermark: they leave behind it, through a condition that a filter below could not have
+    keyed = events.withWatermark(at, late).select(F.col(entity).cast("long").alias("entity"), at, second.alias("second"), bucket.alias("own"))
+    # the last window of a bucket is handed on as context
+    both = F.when(F.col("entity").isNull(), F.array().cast("array<bigint>")).when(
+        F.col("second") % length >= length - window_seconds, F.array(F.col("own"), F.col("own") + 1)).otherwise(F.array("own"))
+    spread = keyed.select("entity", at, "second", F.explode(both).alias("bucket"))
+    return spread.groupBy("entity", "bucket").transformWithStateInPandas(
+        TrailingCounts(window_seconds), outputStructType=TRAIL_SCHEMA, outputMode="append", timeMode="EventTime")
+
+
+def replay(events: DataFrame, at: str, name: str, slices: int, jitter_seconds: int, quiet: str) -> str:
+    """A folder with the events as a file source would find them: written in slices of time, one after another.
+
+    Events move between slices by up to ``jitter_seconds`` (hash of the row), so that files are out of order and overlap. The last
+    file holds one event without content, ``quiet`` behind the newest one: it stands for the time that goes on after the end.
+    """
+    path = run_folder(events.sparkSession, name)
+    span = events.agg(F.min(F.unix_seconds(F.col(at).cast("timestamp"))).alias("a"), F.max(F.unix_seconds(F.col(at).cast("timestamp"))).alias("b"),
+                      F.max(at).alias("newest")).first()
+    moved = F.unix_seconds(F.col(at).cast("timestamp")) + F.pmod(F.xxhash64(*events.columns), F.lit(jitter_seconds)) - F.lit(span["a"])
+    slot = F.floor(moved * slices / F.lit(span["b"] - span["a"] + jitter_seconds + 1))
+    for i in range(slices):
+        events.where(slot == i).write.mode("append").parquet(path)
+    last = events.sparkSession.range(1).select(*[
+        (F.lit(span["newest"]) + F.expr(f"INTERVAL {quiet}") if c == at else F.lit(None)).cast(events.schema[c].dataType).alias(c) for c in events.columns])
+    last.write.mode("append").parquet(path)
+    return path
+
+
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def run_available(df: DataFrame, name: str, store: str | None = None) -> DataFrame:
+    """Drain what is there into parquet below the shared folder and read it back; ``store`` is the state store of this query."""
     spark = df.sparkSession
     base = run_folder(spark, name)
-    started = (
-        df.writeStream.format("parquet").outputMode("append").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt")
-        .trigger(availableNow=True).start())
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    if store:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", store)
+    try:  # a query keeps the setting it started with
+        started = (
+            df.writeStream.format("parquet").outputMode("append").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt")
+            .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
     started.awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{base}/out")
 
