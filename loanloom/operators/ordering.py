@@ -175,39 +175,28 @@ def row_positions(
 def average_ranks(df: DataFrame, orders: Sequence[str], key: str, names: Sequence[str]) -> DataFrame:
     """Adds, per order column, the ascending rank with ties averaged, as a share of the ranked rows. A null has a null rank.
 
-    All rows of a single-value slice share one rank that follows from the slice totals, so however
-    frequent a value is, its rows stay spread over the sub-slices. Cut points of all columns come from
-    one pass, and the slice totals always from the input, not from the ranked columns before.
+    All columns share one pass: rows become (model, value) counts, one grouped prefix sum ranks the distinct values, and the
+    ranks come back by one join on (model, value) and one on the row. The plan grows by a few expressions per column. Rows are told apart
+    by ``key`` and their values, so a repeated key is no problem.
     """
-    cuts = plan_cuts_of(df, orders)
-    out = df
-    for order, name in zip(orders, names):
-        totals = with_slice(df.select(order).where(F.col(order).isNotNull()), order, cuts[order])
-        totals = totals.groupBy("_slice").agg(F.count("*").alias("_n"))
-        across = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # one row per slice
-        totals = totals.select(
-            "_slice", "_n", F.coalesce(F.sum("_n").over(across), F.lit(0)).alias("_off"),
-            F.sum("_n").over(Window.partitionBy()).alias("_all"),
-        )
-        rows = _spread_rows(out.where(F.col(order).isNotNull()), order, key, cuts[order])
-        inside = Window.partitionBy("_slice", "_sub").orderBy(order)
-        same = Window.partitionBy("_slice", "_sub", order)
-        local = F.rank().over(inside) + (F.count("*").over(same) - 1) / 2
-        rank = F.when(F.col("_slice") % 2 == 1, (F.col("_n") + 1) / 2).otherwise(local)
-        unranked = out.where(F.col(order).isNull()).withColumn(name, F.lit(None).cast("double"))
-        out = (
-            rows.join(F.broadcast(totals), "_slice")
-            .withColumn(name, (rank + F.col("_off")) / F.col("_all"))
-            .drop("_slice", "_sub", "_tie", "_n", "_off", "_all")
-        ).unionByName(unranked)
-    return out
+    orders, names = list(orders), list(names)
+    cells = F.inline(F.array(*[F.struct(F.lit(i).alias("_model"), F.col(o).cast("double").alias("_value")) for i, o in enumerate(orders)]))
+    counted = df.select(cells).where("_value IS NOT NULL").withColumn("_n", F.lit(1).cast("long"))
+    sums = prefix_sums(counted, "_value", ["_n"], ["_model"])
+    rank = (F.col("before__n") + (F.col("_n") + 1) / 2) / F.col("total__n")
+    ranks = sums.select(F.col("_model").alias("_m"), F.col("_value").alias("_v"), rank.alias("_rank"))
+    own = {c: f"_own_{c}" for c in dict.fromkeys([key, *orders])}
+    long = df.select(*[F.col(c).alias(o) for c, o in own.items()], cells).distinct()
+    found = long.join(ranks, (F.col("_model") == F.col("_m")) & (F.col("_value") == F.col("_v")), "left")
+    wide = found.groupBy(*own.values()).agg(*[F.max(F.when(F.col("_model") == i, F.col("_rank"))).alias(n) for i, n in enumerate(names)])
+    same = [df[c].eqNullSafe(wide[o]) for c, o in own.items()]
+    return df.join(wide, same, "left").drop(*own.values())
 
 
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probs: Sequence[float],
-    row_limit: int | None = None,
     refine_limit: int | None = None,
     slices: int = 512,
 ) -> dict[str, list[float] | None]:
@@ -215,8 +204,7 @@ def exact_quantiles(
 
     The value range is narrowed around each wanted rank by counting rows per slice, a job whose shuffle
     holds only counts, until so few rows are left around the ranks that they can be ordered; only those
-    are shuffled. Every size takes this path: ``row_limit`` is accepted from older callers and unused.
-    Infinite values are counted first, as the lowest and highest ranks.
+    are shuffled. Every size takes this path. values are counted first, as the lowest and highest ranks.
     """
     refine_limit = REFINE_ROW_LIMIT if refine_limit is None else refine_limit
     columns, probs = list(columns), list(probs)

@@ -74,7 +74,7 @@ def test_quantiles_by_narrowing_equal_numpy(spark, slices, rest):
     pdf = pd.DataFrame({"a": rng.lognormal(size=2000), "b": np.where(rng.random(2000) < 0.4, 7.0, rng.normal(size=2000))})
     pdf.loc[:50, "a"] = None
     probs = [0, 0.01, 0.25, 0.5, 0.9, 1]
-    got = ordering.exact_quantiles(spark.createDataFrame(pdf), ["a", "b"], probs, row_limit=10, refine_limit=rest, slices=slices)
+    got = ordering.exact_quantiles(spark.createDataFrame(pdf), ["a", "b"], probs, refine_limit=rest, slices=slices)
     for c in pdf:
         np.testing.assert_allclose(got[c], np.percentile(pdf[c].dropna(), [100 * p for p in probs]))
     small = ordering.exact_quantiles(spark.createDataFrame(pdf), ["a", "b"], probs)
@@ -84,7 +84,7 @@ def test_quantiles_by_narrowing_equal_numpy(spark, slices, rest):
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "a double")
     assert ordering.exact_quantiles(df, ["a"], [0.5]) == {"a": None}
-    assert ordering.exact_quantiles(df, ["a"], [0.5], row_limit=0) == {"a": None}
+    assert ordering.exact_quantiles(df, ["a"], [0.5]) == {"a": None}
 
 
 @pytest.mark.parametrize("rest", [3, None])
@@ -92,7 +92,7 @@ def test_quantiles_with_infinite_values(spark, rest):
     inf = float("inf")
     values = [-inf] * 30 + [float(v) for v in range(50)] + [inf] * 20
     df = spark.createDataFrame([(v, None if v == inf else -inf) for v in values], "a double, b double")
-    got = ordering.exact_quantiles(df, ["a", "b"], [0, 0.25, 0.5, 0.75, 0.9, 1], row_limit=0, refine_limit=rest, slices=4)
+    got = ordering.exact_quantiles(df, ["a", "b"], [0, 0.25, 0.5, 0.75, 0.9, 1], refine_limit=rest, slices=4)
     assert got == {"a": [-inf, -inf, 19.5, 44.25, inf, inf], "b": [-inf] * 6}
     assert ordering.exact_quantiles(df, ["a"], [0.25, 0.5]) == {"a": [-inf, 19.5]}
 
