@@ -199,6 +199,17 @@ def vintage_matrix(long: DataFrame, cohort: str | Sequence[str], age: str, ages:
     return long.groupBy(*keys).pivot(age, list(ages) if ages is not None else None).agg(F.first("bad_rate"))
 
 
+def matrix_cells(cells: DataFrame, row: str, column: str, value: str) -> DataFrame:
+    """(row, cells): per row value one array of (column, value) structs, an entry for every column value there is.
+
+    The matrix form whose schema does not depend on the data: the column values are a single array, joined to every row.
+    """
+    across = cells.agg(F.array_sort(F.collect_set(column)).alias("_all"))
+    known = cells.where(F.col(column).isNotNull()).groupBy(row).agg(F.map_from_entries(F.collect_list(F.struct(column, value))).alias("_known"))
+    entry = F.transform("_all", lambda c: F.struct(c.alias(column), F.try_element_at("_known", c).alias(value)))
+    return known.join(F.broadcast(across)).select(row, entry.alias("cells"))  # a single row
+
+
 def coverage(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Missing, coverage and zero rate with the handling band of each feature, least covered first."""
     missing = to_long(df, columns).groupBy("feature").agg(

@@ -63,11 +63,16 @@ def band_actions(stats: DataFrame, total_bad_rate: float) -> DataFrame:
         .otherwise("reject")})
 
 
-def strategy_matrix(df: DataFrame, score: str, segment: str, label: str, bands: int = 5, segments: Sequence | None = None):
-    """Bad-rate matrix and count matrix, score band by segment."""
+def strategy_cells(df: DataFrame, score: str, segment: str, label: str, bands: int = 5) -> DataFrame:
+    """(score_band, segment, rate, n): bad rate and count of each cell of score band by segment."""
     edges = quantile_edges(df, [score], bands)[score]
     banded = df.withColumn("score_band", F.concat(F.lit("S"), right_closed_bin(score, edges)))
-    cells = banded.groupBy("score_band", segment).agg(F.round(F.avg(label), 4).alias("rate"), F.count(label).alias("n"))
+    return banded.groupBy("score_band", segment).agg(F.round(F.avg(label), 4).alias("rate"), F.count(label).alias("n"))
+
+
+def strategy_matrix(df: DataFrame, score: str, segment: str, label: str, bands: int = 5, segments: Sequence | None = None):
+    """Bad-rate matrix and count matrix, score band by segment, a column per segment."""
+    cells = strategy_cells(df, score, segment, label, bands)
     wide = lambda v: cells.groupBy("score_band").pivot(segment, list(segments) if segments else None).agg(F.first(v))
     return wide("rate"), wide("n")
 

@@ -131,11 +131,12 @@ def vintage(spark, folder):
 
 
 @query("vintage_matrix", f"""
-WITH {PERFORMANCE}, long AS (SELECT cohort, loan_age, {r6('avg(is_bad)')} AS bad_rate FROM performance GROUP BY 1, 2)
-SELECT * FROM (PIVOT long ON loan_age USING max(bad_rate) GROUP BY cohort)""")
+WITH {PERFORMANCE}, long AS (SELECT cohort, loan_age, {r6('avg(is_bad)')} AS bad_rate FROM performance GROUP BY 1, 2),
+c AS (SELECT DISTINCT cohort FROM long), a AS (SELECT DISTINCT loan_age FROM long)
+SELECT cohort, loan_age, bad_rate FROM c CROSS JOIN a LEFT JOIN long USING (cohort, loan_age)""")
 def vintage_matrix(spark, folder):
     long = profiling.vintage(marts.performance(spark, folder), "cohort", "loan_age", "is_bad")
-    return rounded(profiling.vintage_matrix(long, "cohort", "loan_age"))
+    return rounded(profiling.matrix_cells(long, "cohort", "loan_age", "bad_rate").select("cohort", F.inline("cells")))
 
 
 @query("vintage_by_score_band", f"""

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from loanloom.operators import strategy
+from loanloom.operators import profiling, strategy
 from loanloom.plans.catalog import query
 from loanloom.plans.check_sql import SCORED, edges_sql, r6, right_bin, uniform
 from loanloom.plans.profile_queries import collection_cases, rounded
@@ -59,18 +59,27 @@ MATRIX = SCORED + f""", e AS {edges_sql('score', 'scored', 5)},
 g AS (SELECT 'S' || {right_bin('score')} AS score_band, purpose, round(avg(label), 4) + 0 AS rate, count(*) AS n FROM scored, e GROUP BY 1, 2)"""
 
 
-@query("strategy_matrix", f"""
-WITH {MATRIX} SELECT * FROM (PIVOT (SELECT score_band, purpose, rate FROM g) ON purpose USING max(rate) GROUP BY score_band)""")
-def strategy_matrix(spark, folder):
+def _grid_sql(value: str) -> str:
+    """Every band with every segment there is; null where a cell has no rows."""
+    return f"""
+WITH {MATRIX}, b AS (SELECT DISTINCT score_band FROM g WHERE purpose IS NOT NULL), p AS (SELECT DISTINCT purpose FROM g WHERE purpose IS NOT NULL)
+SELECT b.score_band, p.purpose, g.{value} FROM b CROSS JOIN p LEFT JOIN g ON g.purpose = p.purpose AND g.score_band IS NOT DISTINCT FROM b.score_band"""
+
+
+def _matrix(spark, folder, value):
     df = hold(_scored(spark, folder, "purpose").select("score", "label", "purpose"))
-    return strategy.strategy_matrix(df, "score", "purpose", "label", 5)[0]
+    cells = strategy.strategy_cells(df, "score", "purpose", "label", 5)
+    return profiling.matrix_cells(cells, "score_band", "purpose", value).select("score_band", F.inline("cells"))
 
 
-@query("strategy_count_matrix", f"""
-WITH {MATRIX} SELECT * FROM (PIVOT (SELECT score_band, purpose, n FROM g) ON purpose USING max(n) GROUP BY score_band)""")
+@query("strategy_matrix", _grid_sql("rate"))
+def strategy_matrix(spark, folder):
+    return _matrix(spark, folder, "rate")
+
+
+@query("strategy_count_matrix", _grid_sql("n"))
 def strategy_count_matrix(spark, folder):
-    df = hold(_scored(spark, folder, "purpose").select("score", "label", "purpose"))
-    return strategy.strategy_matrix(df, "score", "purpose", "label", 5)[1]
+    return _matrix(spark, folder, "n")
 
 
 POINTS = "round(700 - 400 * score, 2)"
