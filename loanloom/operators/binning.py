@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from fractions import Fraction
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loanloom.functions.features import score_scale
 from loanloom.operators.ordering import double_array, exact_quantiles
 from loanloom.operators.profiling import equal_width_edges, small_frame
+from loanloom.session import cut_lineage
 
 MISSING = "Missing"
 
@@ -97,66 +100,85 @@ def fit_woe(
 
 def fit_monotone_woe(
     df: DataFrame, numeric: Sequence[str], categories: Sequence[str], label: str, prebins: int = 20,
-    min_share: float = 0.05, trend: str = "auto", smooth: float = 0.5,
+    min_share: float = 0.05, trend: str = "auto", smooth: float = 0.5, max_bins: int | None = None,
 ) -> WoeModel:
-    """Pre-bins merged until every bin holds the minimum share and the bad rate is monotone.
+    """Pre-bins merged to the bins of highest information value under a monotone WOE.
 
-    The merge sees one feature's counts at a time, at most ``prebins`` rows.
+    Every bin holds at least ``min_share`` of the rows with a value, there are at most ``max_bins``, and the WOE only rises
+    ('increasing'), only falls ('decreasing'), whichever gives more ('auto'), or is free ('none'). One pass counts the pre-bins of
+    all features; each feature's counts, at most ``prebins`` rows, are one group of ``optimal_bins``. The final table
+    sums the same counts, so the data is read twice in all: for the quantiles and for the counts.
     """
     first = fit_woe(df, numeric, categories, label, prebins, smooth)
+    counts = cut_lineage(first.table.select("feature", "bin", "n", "bad", "good"))
+    per = Window.partitionBy("feature")
+    ordered = counts.where(F.col("feature").isin(list(numeric))).withColumns({"bads": F.sum("bad").over(per), "goods": F.sum("good").over(per)})
     merged = (
-        first.table.where(F.col("feature").isin(list(numeric)) & (F.col("bin") != MISSING))
-        .select("feature", F.col("bin").cast("int").alias("bin"), "n", "bad")
-        .groupBy("feature")
-        .applyInPandas(lambda p: merge_bins(p, min_share, trend), "feature string, last_bin int")
-        .collect()
+        ordered.where(F.col("bin") != MISSING).withColumn("bin", F.col("bin").cast("int")).groupBy("feature")
+        .applyInPandas(lambda p: optimal_bins(p, min_share, trend, smooth, max_bins), "feature string, bin int, merged int")
     )
+    merged = cut_lineage(merged)  # at most prebins rows per feature
+    last = merged.groupBy("feature", "merged").agg(F.max("bin").alias("last")).collect()
     edges = {}
     for f in numeric:
         e = first.edges[f]
-        keep = sorted(r["last_bin"] for r in merged if r["feature"] == f)
+        keep = sorted(r["last"] for r in last if r["feature"] == f)
         edges[f] = [e[0], *[e[b] for b in keep[:-1]], e[-1]] if e else []
     model = WoeModel(edges, list(categories), None)
-    model.table = woe_columns(bin_counts(df, {f: model.bin_of(f) for f in model.features}, label), smooth)
+    names = merged.select(F.col("feature").alias("_f"), F.col("bin").cast("string").alias("_b"), F.col("merged").cast("string").alias("_m"))
+    summed = counts.join(names, (F.col("feature") == F.col("_f")) & (F.col("bin") == F.col("_b")), "left").groupBy(
+        "feature", F.coalesce("_m", "bin").alias("bin")).agg(*[F.sum(c).alias(c) for c in ("n", "bad", "good")])
+    model.table = woe_columns(summed, smooth)
     return model
 
 
-def merge_bins(counts: pd.DataFrame, min_share: float, trend: str) -> pd.DataFrame:
-    """Last original bin number of each merged bin, for one feature."""
-    rows = counts.sort_values("bin")[["bin", "n", "bad"]].to_numpy(dtype=float).tolist()
-    floor = min_share * sum(r[1] for r in rows)
-    sized: list[list[float]] = []
-    for r in rows:
-        if sized and sized[-1][1] < floor:
-            sized[-1] = [r[0], sized[-1][1] + r[1], sized[-1][2] + r[2]]
-        else:
-            sized.append(list(r))
-    if len(sized) > 1 and sized[-1][1] < floor:
-        tail = sized.pop()
-        sized[-1] = [tail[0], sized[-1][1] + tail[1], sized[-1][2] + tail[2]]
-    if trend != "none":
-        up, down = _pool(sized, 1), _pool(sized, -1)
-        options = {"increasing": up, "decreasing": down, "auto": max((up, down), key=_separation)}
-        sized = options[trend]
-    return pd.DataFrame({"feature": counts["feature"].iloc[0], "last_bin": [int(r[0]) for r in sized]})
-
-
-def _pool(rows, sign):
-    """Pool neighbours that break the wanted order of bad rates."""
-    out: list[list[float]] = []
-    for r in rows:
-        out.append(list(r))
-        while len(out) > 1 and sign * (out[-1][2] / out[-1][1] - out[-2][2] / out[-2][1]) < 0:
-            b = out.pop()
-            out[-1] = [b[0], out[-1][1] + b[1], out[-1][2] + b[2]]
-    return out
-
-
-def _separation(rows):
-    """Variance of the bad rate between bins: how much of the ranking survives the pooling."""
-    n = sum(r[1] for r in rows)
-    mean = sum(r[2] for r in rows) / n
-    return sum(r[1] * (r[2] / r[1] - mean) ** 2 for r in rows)
+def optimal_bins(counts: pd.DataFrame, min_share: float, trend: str, smooth: float = 0.5, max_bins: int | None = None) -> pd.DataFrame:
+    """(feature, bin, merged): the merged bin (from 1) of each pre-bin of one feature, by dynamic programming.
+
+    ``counts`` has bin, n, bad, good and the feature's totals bads and goods. best[k][i][j] is the highest information value of k
+    merged bins over the first j pre-bins whose last one is i..j; a bin i..j may follow h..i if their WOEs are in
+    order, which fractions decide exactly. Prefix sums give every bin's counts. Of equal values, fewer bins win. Where no split
+    satisfies the bounds, all pre-bins are one.
+    """
+    p = counts.sort_values("bin")
+    m = len(p)
+    sums = {c: np.concatenate([[0], np.cumsum(p[c].to_numpy(dtype="int64"))]) for c in ("n", "bad", "good")}
+    n, bad, good = (sums[c][None, :] - sums[c][:, None] for c in ("n", "bad", "good"))  # [i, j]: pre-bins i..j-1
+    fits = np.triu(np.ones((m + 1, m + 1), bool), 1) & (n >= min_share * sums["n"][-1])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        pb, pg = (bad + smooth) / float(p["bads"].iloc[0]), (good + smooth) / float(p["goods"].iloc[0])
+        iv = np.where(fits, (pb - pg) * np.log(pb / pg), -np.inf)
+    iv = np.where(np.isnan(iv), -np.inf, iv)
+    # WOEs compare as exact fractions, however large the counts
+    b2, g2 = (c.astype(object) + Fraction(smooth) for c in (bad, good))
+    gap = [b2[i][None, :] * g2[:, i][:, None] - b2[:, i][:, None] * g2[i][None, :] for i in range(m)]  # [h, j] of bins h..i and i..j
+    best_value, best_cuts = -np.inf, [0, m]
+    for sign in {"increasing": (1,), "decreasing": (-1,), "auto": (1, -1), "none": (0,)}[trend]:
+        follows = [(sign * g >= 0).astype(bool) for g in gap]
+        value = np.where(np.arange(m + 1)[:, None] == 0, iv, -np.inf)  # a first bin starts at 0
+        came: list[np.ndarray] = []
+        while np.isfinite(value).any():
+            if value[:, m].max() > best_value + 1e-12:
+                best_value, best_cuts = value[:, m].max(), _unwound(came, int(value[:, m].argmax()), m)
+            if len(came) + 1 >= (max_bins or m):
+                break
+            after, back = np.full_like(value, -np.inf), np.zeros(value.shape, int)
+            for i in range(1, m):
+                total = np.where(follows[i], value[:, i][:, None], -np.inf) + iv[i][None, :]
+                after[i], back[i] = total.max(axis=0), total.argmax(axis=0)
+            came.append(back)
+            value = after
+    merged = np.searchsorted(best_cuts[1:], np.arange(m), side="right") + 1
+    return pd.DataFrame({"feature": counts["feature"].iloc[0], "bin": p["bin"].to_numpy(), "merged": merged})
+
+
+def _unwound(came: list[np.ndarray], start: int, m: int) -> list[int]:
+    """Bounds of the merged bins whose last one is start..m."""
+    cuts, end = [m, start], m
+    for back in reversed(came):
+        start, end = int(back[start, end]), start
+        cuts.append(start)
+    return cuts[::-1]
 
 
 def apply_woe(df: DataFrame, model: WoeModel, features: Sequence[str] | None = None) -> DataFrame:

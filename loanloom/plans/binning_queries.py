@@ -83,9 +83,39 @@ def woe_table_half_fix(spark, folder):
     return rounded(binning.fit_woe(_loans(spark, folder), NUM, CAT, "isDefault", zero_fix="half", keep_missing=False).table)
 
 
-@query("monotone_woe_table")
+def best_bins_sql(numeric) -> str:
+    """All monotone partitions of the pre-bins into bins of enough rows, and the one of highest information value per feature."""
+    pre = " UNION ALL ".join(
+        f"SELECT isDefault, '{c}' AS feature, CASE WHEN {c} IS NOT NULL THEN {right_bin(c)} END AS bin FROM loan, {edges_sql(c, 'loan', 20)}" for c in numeric)
+    gain = "((b + 0.5) / tb - (g + 0.5) / tg) * ln(((b + 0.5) / tb) / ((g + 0.5) / tg))"
+    return f"""
+pre AS MATERIALIZED (SELECT feature, bin, count(*) AS n, sum(isDefault)::BIGINT AS bad, sum(1 - isDefault)::BIGINT AS good FROM ({pre}) GROUP BY 1, 2),
+total AS (SELECT feature, sum(bad) AS tb, sum(good) AS tg, sum(n) FILTER (bin IS NOT NULL) AS whole FROM pre GROUP BY 1),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY bin) AS i FROM pre WHERE bin IS NOT NULL),
+upto AS (SELECT feature, i, sum(n) OVER w AS n, sum(bad) OVER w AS bad, sum(good) OVER w AS good FROM numbered WINDOW w AS (PARTITION BY feature ORDER BY i)
+  UNION ALL SELECT DISTINCT feature, 0, 0, 0, 0 FROM numbered),
+seg AS MATERIALIZED (SELECT x.feature, x.i, y.i AS j, (y.bad - x.bad)::DOUBLE AS b, (y.good - x.good)::DOUBLE AS g, tb, tg FROM upto x JOIN upto y ON x.feature = y.feature AND x.i < y.i
+  JOIN total ON total.feature = x.feature WHERE y.n - x.n >= 0.05 * whole),
+part(feature, j, b, g, dir, gain, cuts) AS (
+  SELECT feature, j, b, g, dir, {gain}, [j] FROM seg, (VALUES (1), (-1)) d(dir) WHERE i = 0
+  UNION ALL SELECT s.feature, s.j, s.b, s.g, p.dir, p.gain + {gain.replace('(b ', '(s.b ').replace('(g ', '(s.g ')}, list_append(p.cuts, s.j)
+  FROM part p JOIN seg s ON s.feature = p.feature AND s.i = p.j AND p.dir * ((2 * s.b + 1) * (2 * p.g + 1) - (2 * p.b + 1) * (2 * s.g + 1)) >= 0),
+best AS (SELECT part.feature, arg_max(cuts, gain) AS cuts FROM part JOIN (SELECT feature, max(i) AS m FROM numbered GROUP BY 1) e ON e.feature = part.feature AND j = m GROUP BY 1)"""
+
+
+MONOTONE = [*NUM, "n1"]
+
+
+@query("monotone_woe_table", f"""
+WITH RECURSIVE {LOAN}, {best_bins_sql(MONOTONE)},
+cnt AS (SELECT pre.feature, CASE WHEN pre.bin IS NULL THEN 'Missing' ELSE (1 + len(list_filter(cuts, lambda c: c < i)))::VARCHAR END AS bin,
+    sum(n)::BIGINT AS n, sum(pre.bad)::BIGINT AS bad, sum(pre.good)::BIGINT AS good
+  FROM pre LEFT JOIN (SELECT feature, bin, i FROM numbered) k ON k.feature = pre.feature AND k.bin = pre.bin JOIN best ON best.feature = pre.feature GROUP BY 1, 2
+  UNION ALL SELECT 'purpose', coalesce(purpose, 'Missing'), count(*), sum(isDefault)::BIGINT, sum(1 - isDefault)::BIGINT FROM loan GROUP BY 2),
+shr AS (SELECT *, (bad + 0.5) / sum(bad) OVER (PARTITION BY feature) AS pb, (good + 0.5) / sum(good) OVER (PARTITION BY feature) AS pg FROM cnt)
+SELECT feature, bin, n, bad, good, {r6('ln(pb / pg)')} AS woe, {r6('(pb - pg) * ln(pb / pg)')} AS iv FROM shr""")
 def monotone_woe_table(spark, folder):
-    return rounded(binning.fit_monotone_woe(_loans(spark, folder, "n1"), [*NUM, "n1"], CAT, "isDefault").table)
+    return rounded(binning.fit_monotone_woe(_loans(spark, folder, "n1"), MONOTONE, CAT, "isDefault").table)
 
 
 @query("card_table", f"""

@@ -95,10 +95,32 @@ def test_woe_survives_saving(scored, tmp_path):
     pd.testing.assert_frame_equal(a, b)
 
 
-def test_merge_bins_meets_floor():
-    counts = pd.DataFrame({"feature": "f", "bin": range(1, 8), "n": [100, 2, 100, 100, 1, 90, 3], "bad": [5, 1, 9, 4, 0, 20, 1]})
-    assert binning.merge_bins(counts, 0.05, "none")["last_bin"].tolist() == [1, 3, 4, 7]
-    assert binning.merge_bins(counts, 0.05, "increasing")["last_bin"].iloc[-1] == 7
+def _best_partition(n, bad, good, share, sign, most, smooth=0.5):
+    """Highest information value over all partitions, one by one."""
+    m, best = len(n), (-1.0, None)
+    for mask in range(1 << (m - 1)):
+        cuts = [0, *[i + 1 for i in range(m - 1) if mask >> i & 1], m]
+        bins = [(sum(n[a:b]), sum(bad[a:b]), sum(good[a:b])) for a, b in zip(cuts, cuts[1:])]
+        if len(bins) > most or min(x[0] for x in bins) < share * sum(n):
+            continue
+        woe = [np.log((x[1] + smooth) / sum(bad) / ((x[2] + smooth) / sum(good))) for x in bins]
+        if any(sign * (y - x) < -1e-12 for x, y in zip(woe, woe[1:])):
+            continue
+        iv = sum(((x[1] + smooth) / sum(bad) - (x[2] + smooth) / sum(good)) * w for x, w in zip(bins, woe))
+        best = max(best, (iv, cuts), key=lambda v: v[0])
+    return best
+
+
+@pytest.mark.parametrize("seed,share,trend,most", [(1, 0.05, "auto", 9), (2, 0.2, "increasing", 9), (3, 0.0, "decreasing", 3), (4, 0.01, "none", 4), (5, 0.9, "auto", 9)])
+def test_optimal_bins_are_the_best_of_all_partitions(seed, share, trend, most):
+    r = np.random.default_rng(seed)
+    n = r.integers(1, 200, 9)
+    bad = r.binomial(n, np.linspace(0.1, 0.5, 9) + r.normal(0, 0.05, 9).clip(-0.09, 0.2))
+    counts = pd.DataFrame({"feature": "f", "bin": range(1, 10), "n": n, "bad": bad, "good": n - bad, "bads": bad.sum(), "goods": (n - bad).sum()})
+    out = binning.optimal_bins(counts.sample(frac=1, random_state=seed), share, trend, 0.5, most)
+    want = max((_best_partition(n, bad, n - bad, share, s, most) for s in {"auto": (1, -1), "increasing": (1,), "decreasing": (-1,), "none": (0,)}[trend]), key=lambda v: v[0])
+    cuts = want[1] or [0, 9]
+    assert out.sort_values("bin")["merged"].tolist() == [int(np.searchsorted(cuts[1:], i, "right")) + 1 for i in range(9)]
 
 
 def test_out_of_fold_means_exclude_own_fold(scored):
