@@ -8,9 +8,8 @@ attribute subsets by inclusion and exclusion. Explicit relation edges are kept a
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from loanloom.functions.hashing import hash_int
 from loanloom.operators.ordering import row_positions
@@ -37,30 +36,31 @@ def relation_edges(relations: DataFrame, a: str = "customer_id_1", b: str = "cus
 def shared_attribute_features(vertices: DataFrame, key: str, attributes: Sequence[str], fraud: str | None = None) -> DataFrame:
     """Degree, fraud neighbours and strongest tie in the graph that links rows with an equal attribute.
 
-    For a row, the set of neighbours is the union over the attributes of the other rows with the same
-    value. Its size is the alternating sum, over the attribute subsets, of the number of other rows equal
-    on the whole subset. The strongest tie is the largest subset that some other row shares. One grouped
-    count per subset; counts combine before the shuffle, so a popular value costs no more than a rare one.
-    Rows missing an attribute have no ties through it.
+    For a row, the set of neighbours is the union over the attributes of the other rows with the same value. Its size is the
+    alternating sum, over the attribute subsets, of the number of other rows equal on the whole subset; the strongest tie is the
+    largest subset that some other row shares. The lattice of subsets is pruned from below: single values are counted first, a row
+    keeps the attributes in which somebody else equals it, and all subsets of those are counted in one grouping keyed by
+    (subset, values). The number of shuffles does not depend on the number of attributes, and counts combine before each shuffle, so
+    a popular value costs no more than a rare one. A row without an attribute has no ties through it. One row per key.
     """
-    flag = F.col(fraud).cast("long") if fraud else F.lit(0).cast("long")
-    base = vertices.select(key, *attributes, F.coalesce(flag, F.lit(0)).alias("_f"))
-    out = base
-    subsets = [s for k in range(1, len(attributes) + 1) for s in combinations(attributes, k)]
-    degree, fraud_n, tie = F.lit(0).cast("long"), F.lit(0).cast("long"), F.lit(0)
-    for i, s in enumerate(subsets):
-        whole = base
-        for c in s:
-            whole = whole.where(F.col(c).isNotNull())
-        sizes = whole.groupBy(*s).agg(F.count("*").alias(f"_n{i}"), F.sum("_f").alias(f"_s{i}"))
-        out = out.join(sizes, list(s), "left")
-        sign = 1 if len(s) % 2 else -1
-        others = F.coalesce(F.col(f"_n{i}") - 1, F.lit(0))
-        degree = degree + sign * others
-        fraud_n = fraud_n + sign * F.coalesce(F.col(f"_s{i}") - F.col("_f"), F.lit(0))
-        tie = F.greatest(tie, F.when(others > 0, len(s)).otherwise(0))
-    return out.select(key, degree.alias("degree"), fraud_n.alias("fraud_neighbor_count"), tie.alias("max_edge_weight")).withColumn(
-        "fraud_neighbor_rate", F.col("fraud_neighbor_count") / F.greatest("degree", F.lit(1)))
+    flag = F.coalesce(F.col(fraud).cast("long") if fraud else F.lit(0).cast("long"), F.lit(0).cast("long"))
+    base = vertices.select(F.col(key).alias("_key"), flag.alias("_f"), *[F.col(a).cast("string").alias(f"_a{i}") for i, a in enumerate(attributes)])
+    single = F.inline(F.array(*[F.struct(F.lit(i).alias("bit"), F.col(f"_a{i}").alias("value")) for i in range(len(attributes))]))
+    long = base.select("_key", "_f", single).where("value IS NOT NULL")
+    popular = long.groupBy("bit", "value").agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    shared = long.join(popular, ["bit", "value"], "left_semi").groupBy("_key", "_f").agg(
+        F.array_sort(F.collect_list(F.struct("bit", "value"))).alias("own"))  # at most one entry per attribute
+    subsets = shared.select("_key", "_f", F.explode(F.expr(
+        "transform(sequence(1L, shiftleft(1L, size(own)) - 1), s -> filter(own, (x, i) -> shiftright(s, i) & 1 = 1))")).alias("chosen"))
+    subsets = subsets.select("_key", "_f", F.expr("aggregate(chosen, 0L, (m, x) -> m + shiftleft(1L, x.bit))").alias("bits"), F.col("chosen.value").alias("values"))
+    sizes = subsets.groupBy("bits", "values").agg(F.count("*").alias("_n"), F.sum("_f").alias("_s")).where("_n > 1")
+    sign = F.when(F.size("values") % 2 == 1, 1).otherwise(-1)
+    ties = subsets.join(sizes, ["bits", "values"]).groupBy("_key").agg(
+        F.sum(sign * (F.col("_n") - 1)).alias("_degree"), F.sum(sign * (F.col("_s") - F.col("_f"))).alias("_frauds"), F.max(F.size("values")).alias("_tie"))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    out = vertices.select(key).join(ties, F.col(key) == F.col("_key"), "left").select(
+        key, zero("_degree").alias("degree"), zero("_frauds").alias("fraud_neighbor_count"), zero("_tie").alias("max_edge_weight"))
+    return out.withColumn("fraud_neighbor_rate", F.col("fraud_neighbor_count") / F.greatest("degree", F.lit(1)))
 
 
 def attribute_ties(vertices: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
@@ -71,15 +71,21 @@ def attribute_ties(vertices: DataFrame, key: str, attributes: Sequence[str]) ->
     return long.join(sizes, ["relation", "value"]).where("sharers > 1")
 
 
-def triangles(edges: DataFrame) -> DataFrame:
+def ranked_edges(edges: DataFrame) -> DataFrame:
+    """(src, dst, d_src, d_dst, up): both directions of every edge; up where dst has the higher (degree, key)."""
+    ends = edges.select("src", "dst").where("src <> dst").distinct()
+    deg = ends.groupBy("src").agg(F.count("*").alias("d"))
+    a = deg.select(F.col("src").alias("_a"), F.col("d").alias("d_src"))
+    b = deg.select(F.col("src").alias("_b"), F.col("d").alias("d_dst"))
+    both = ends.join(a, F.col("src") == F.col("_a")).join(b, F.col("dst") == F.col("_b"))
+    up = (F.col("d_src") < F.col("d_dst")) | ((F.col("d_src") == F.col("d_dst")) & (F.col("src") < F.col("dst")))
+    return both.select("src", "dst", "d_src", "d_dst", up.alias("up"))
+
+
+def triangles(edges: DataFrame, ranked: DataFrame | None = None) -> DataFrame:
     """(id, triangles). Every edge points to the end of higher degree, so even a hub has few outgoing
     edges (at most the square root of twice the edge count) and the open wedges stay few."""
-    deg = edges.groupBy("src").agg(F.count("*").alias("d"))
-    a = deg.select(F.col("src").alias("_a"), F.col("d").alias("_da"))
-    b = deg.select(F.col("src").alias("_b"), F.col("d").alias("_db"))
-    e = edges.select("src", "dst").join(a, F.col("src") == F.col("_a")).join(b, F.col("dst") == F.col("_b"))
-    up = e.where((F.col("_da") < F.col("_db")) | ((F.col("_da") == F.col("_db")) & (F.col("src") < F.col("dst"))))
-    up = up.select("src", "dst")
+    up = (ranked_edges(edges) if ranked is None else ranked).where("up").select("src", "dst")
     one, two = up.select("src", F.col("dst").alias("x")), up.select("src", F.col("dst").alias("y"))
     wedge = one.join(two, "src").where("x < y")
     closing = up.select(F.least("src", "dst").alias("x"), F.greatest("src", "dst").alias("y"))
@@ -87,10 +93,30 @@ def triangles(edges: DataFrame) -> DataFrame:
     return closed.select(F.explode(F.array("src", "x", "y")).alias("id")).groupBy("id").agg(F.count("*").alias("triangles"))
 
 
-def neighbour_features(edges: DataFrame, vertices: DataFrame, key: str, label: str) -> DataFrame:
+def squares(edges: DataFrame, ranked: DataFrame | None = None, chunk: int = 1024) -> DataFrame:
+    """(id, squares): closed 4-cycles through each vertex.
+
+    A 4-cycle has one vertex u of highest (degree, key) and one vertex w opposite to it. Paths u - v - w with u above v and w are
+    listed from v: its few higher neighbours with each of its neighbours, so the paths are bounded by the edges times the smaller degree of
+    their ends. c paths between u and w make c (c - 1) / 2 cycles, and each middle lies on c - 1 of them. A middle with many
+    neighbours is split by the second end, so that no task holds all its paths.
+    """
+    e = cut_lineage(ranked_edges(edges) if ranked is None else ranked)
+    parts = F.ceil(F.col("d_src") / chunk)
+    second = e.select(F.col("src").alias("v"), F.pmod(F.xxhash64("dst"), parts).alias("part"), F.col("dst").alias("w"), F.col("d_dst").alias("dw"))
+    first = e.where("up").select(F.col("src").alias("v"), F.col("dst").alias("u"), F.col("d_dst").alias("du"), F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
+    below = (F.col("dw") < F.col("du")) | ((F.col("dw") == F.col("du")) & (F.col("w") < F.col("u")))
+    paths = cut_lineage(first.join(second, ["v", "part"]).where(below).select("v", "u", "w"))
+    pairs = paths.groupBy("u", "w").agg(F.count("*").alias("c")).where("c > 1")
+    ends = pairs.select(F.explode(F.array("u", "w")).alias("id"), F.expr("c * (c - 1) DIV 2").alias("k"))
+    middles = paths.join(pairs, ["u", "w"]).select(F.col("v").alias("id"), (F.col("c") - 1).alias("k"))
+    return ends.unionByName(middles).groupBy("id").agg(F.sum("k").alias("squares"))
+
+
+def neighbour_features(edges: DataFrame, vertices: DataFrame, key: str, label: str, tri: DataFrame | None = None) -> DataFrame:
     """Degree, bad neighbours, rates, strongest tie, clustering and degree centrality per vertex.
 
-    Neighbour labels travel along the edges once; an isolated vertex gets zeros.
+    Neighbour labels travel along the edges once; an isolated vertex gets zeros. ``tri`` is the result of ``triangles`` if known.
     """
     who = vertices.select(F.col(key).alias("_v"), F.coalesce(F.col(label), F.lit(0)).alias("_bad"))
     joined = edges.join(who, F.col("dst") == F.col("_v"), "left")
@@ -98,7 +124,7 @@ def neighbour_features(edges: DataFrame, vertices: DataFrame, key: str, label: s
     per = joined.groupBy("src").agg(
         F.count("*").alias("degree"), F.sum(bad).alias("bad_neighbors"), F.max("weight").alias("max_edge_weight"),
         (F.sum(F.col("weight") * bad) / (F.sum("weight") + 1e-6)).alias("weighted_bad_rate"))
-    tri = triangles(edges)
+    tri = triangles(edges) if tri is None else tri
     n = vertices.agg(F.count("*").alias("_all"), F.lit(1).alias("_one"))
     out = (
         vertices.select(key).join(per, F.col(key) == F.col("src"), "left").join(tri, F.col(key) == F.col("id"), "left")
@@ -165,14 +191,38 @@ def hops_from(edges: DataFrame, sources: DataFrame, key: str, max_hops: int = 2)
     return seen.select(F.col("id").alias(key), "hops")
 
 
-def walk_embeddings(walks: DataFrame, key: str, size: int = 16, seed: int = 42) -> DataFrame:
-    """(key, vector): Word2Vec over the walks, a walk read as a sentence of vertices."""
-    from pyspark.ml.feature import Word2Vec
-    from pyspark.ml.functions import vector_to_array
+#: one in the fixed-point numbers of the embeddings
+EMBEDDING_ONE = 1 << 20
+
 
-    lines = walks.select(F.col("path").cast("array<string>").alias("path"))
-    model = Word2Vec(vectorSize=size, minCount=1, seed=seed, inputCol="path", outputCol="v", maxIter=1).fit(lines)
-    return model.getVectors().select(F.col("word").alias(key), vector_to_array("vector").alias("vector"))
+def seed_vector(key, size: int, seed: int) -> Column:
+    """Sparse random vector of a vertex: a hex digit of md5(key|seed|block) per component, 0-2 for +1, 3-5 for -1, else 0."""
+    blocks = F.concat(*[F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)), F.lit(str(b)))) for b in range((size + 31) // 32)])
+    one = EMBEDDING_ONE
+    return F.transform(F.sequence(F.lit(1), F.lit(size)), lambda i: F.when(F.substring(blocks, i, F.lit(1)) < "3", one).when(
+        F.substring(blocks, i, F.lit(1)) < "6", -one).otherwise(0).cast("long"))
+
+
+def walk_embeddings(edges: DataFrame, vertices: DataFrame, key: str, size: int = 64, rounds: int = 3, seed: int = 42) -> DataFrame:
+    """(key, vector): where walks of 1 to ``rounds`` steps from a vertex lead, projected to ``size`` components a step.
+
+    Round k is the mean of the neighbours' vectors of round k - 1, which starts with sparse random vectors: the expected seed
+    vector at the end of a random walk of k steps. Two vertices whose walks meet the same vertices get close vectors, and inner
+    products are kept in expectation. A round is one join along the edges and one grouped sum per component, written before the next; vectors are
+    fixed-point integers, so the result depends on neither the order nor the partitioning. Isolated vertices get zeros.
+    """
+    ends = cut_lineage(edges.select("src", "dst").where("src <> dst").distinct())
+    state = cut_lineage(vertices.select(F.col(key).alias("id")).distinct().select("id", seed_vector("id", size, seed).alias("x")))
+    out = None
+    for k in range(rounds):
+        sums = ends.join(state, F.col("dst") == F.col("id")).groupBy("src").agg(F.count("*").alias("n"), *[F.sum(F.expr(f"x[{j}]")).alias(f"s{j}") for j in range(size)])
+        mean = sums.select("src", F.expr("array(" + ", ".join(f"(s{j} - pmod(s{j}, n)) DIV n" for j in range(size)) + ")").alias("mean"))
+        nothing = F.array_repeat(F.lit(0).cast("long"), size)
+        state = cut_lineage(state.select("id").join(mean, F.col("id") == F.col("src"), "left").select("id", F.coalesce("mean", nothing).alias("x")))
+        step = state.select(F.col("id").alias(f"_id{k}"), F.col("x").alias(f"_x{k}"))
+        out = step if out is None else out.join(step, F.col("_id0") == F.col(f"_id{k}"))
+    whole = F.concat(*[F.col(f"_x{k}") for k in range(rounds)])
+    return out.select(F.col("_id0").alias(key), F.transform(whole, lambda v: v / F.lit(float(EMBEDDING_ONE))).alias("vector"))
 
 
 def device_sharing(pairs: DataFrame, user: str = "user_id", device: str = "device_id") -> DataFrame:
@@ -288,13 +338,16 @@ def dense_components(edges: DataFrame, components: DataFrame, key: str, min_size
     return dense.join(far.select("component").distinct(), "component", "left_anti").select("component", "size", "density")
 
 
-def star_and_ring(edges: DataFrame, features: DataFrame, key: str, min_degree: int = 5, max_clustering: float = 0.1) -> DataFrame:
-    """Star centres (many neighbours, hardly linked to each other) and members of closed triangles."""
-    tri = triangles(edges)
-    t = features.join(tri, features[key] == tri["id"], "left")
+def star_and_ring(features: DataFrame, tri: DataFrame, four: DataFrame, key: str, min_degree: int = 5, max_clustering: float = 0.1) -> DataFrame:
+    """Star centres (many neighbours, hardly linked to each other) and members of closed rings of three and of four.
+
+    ``features`` are those of ``neighbour_features``, ``tri`` and ``four`` the results of ``triangles`` and ``squares``.
+    """
+    t = features.join(tri, features[key] == tri["id"], "left").drop("id").join(four, features[key] == four["id"], "left")
+    rings, rings4 = F.coalesce("triangles", F.lit(0)), F.coalesce("squares", F.lit(0))
     return t.select(
         key, ((F.col("degree") >= min_degree) & (F.col("clustering") <= max_clustering)).alias("is_star"),
-        (F.coalesce("triangles", F.lit(0)) > 0).alias("in_ring"))
+        (rings > 0).alias("in_ring"), rings.alias("n_rings_of_3"), rings4.alias("n_rings_of_4"))
 
 
 def random_walks(edges: DataFrame, vertices: DataFrame, key: str, length: int = 5, walks: int = 1, seed: int = 42) -> DataFrame:

@@ -6,7 +6,7 @@ from loanloom.operators import graph
 from loanloom.plans.catalog import query
 from loanloom.plans.check_sql import DEFAULTS, DEVICE, EDGE, LOAN, RELATION, r6
 from loanloom.plans.profile_queries import rounded
-from loanloom.session import hold
+from loanloom.session import cut_lineage, hold
 from loanloom.sources import marts
 from loanloom.sources.tables import table
 
@@ -56,11 +56,17 @@ def loans_with_graph_features(spark, folder):
 
 
 @query("star_and_ring", f"""
-WITH {FEATURES} SELECT customer_id, degree >= 5 AND CASE WHEN degree > 1 THEN 2 * t / (degree * (degree - 1)) ELSE 0 END <= 0.1 AS is_star, t > 0 AS in_ring FROM feat""")
+WITH {FEATURES}, lk AS MATERIALIZED (SELECT a.src AS u, b.dst AS w, a.dst AS v FROM edge a JOIN edge b ON a.dst = b.src WHERE a.src < b.dst),
+opposite AS (SELECT u, w, count(*) AS c FROM lk GROUP BY 1, 2 HAVING count(*) > 1),
+four AS (SELECT v AS id, sum(c - 1) AS q FROM lk JOIN opposite USING (u, w) GROUP BY 1)
+SELECT customer_id, degree >= 5 AND CASE WHEN degree > 1 THEN 2 * t / (degree * (degree - 1)) ELSE 0 END <= 0.1 AS is_star, t > 0 AS in_ring,
+  t AS n_rings_of_3, coalesce(q, 0)::BIGINT AS n_rings_of_4 FROM feat LEFT JOIN four ON id = customer_id""")
 def star_and_ring(spark, folder):
     e = _edges(spark, folder)
-    f = graph.neighbour_features(e, marts.customer_defaults(spark, folder), "customer_id", "isDefault")
-    return graph.star_and_ring(e, f, "customer_id")
+    ranked = cut_lineage(graph.ranked_edges(e))
+    tri = cut_lineage(graph.triangles(e, ranked))
+    f = graph.neighbour_features(e, marts.customer_defaults(spark, folder), "customer_id", "isDefault", tri)
+    return graph.star_and_ring(f, tri, graph.squares(e, ranked), "customer_id")
 
 
 @query("two_hop_counts", f"""
@@ -80,11 +86,24 @@ def hops_from_negative_balance(spark, folder):
     return graph.hops_from(_edges(spark, folder), bad, "customer_id", 2)
 
 
-@query("walk_embeddings")
+def embeddings_sql(size: int, rounds: int) -> str:
+    """Rounds in fixed point, one row per vertex and component."""
+    blocks = " || ".join(f"md5(id || '|42|{b}')" for b in range((size + 31) // 32))
+    parts = [f"""seeds AS (SELECT id, {blocks} AS h FROM (SELECT c_custkey AS id FROM customer)),
+x0 AS MATERIALIZED (SELECT id, j, CASE WHEN substr(h, j, 1) < '3' THEN {graph.EMBEDDING_ONE} WHEN substr(h, j, 1) < '6' THEN -{graph.EMBEDDING_ONE} ELSE 0 END::BIGINT AS x
+  FROM seeds, range(1, {size + 1}) t(j))"""]
+    for k in range(rounds):
+        parts.append(f"""m{k} AS (SELECT src, j, sum(x) AS s, count(*) AS n FROM edge JOIN x{k} ON id = dst GROUP BY 1, 2),
+x{k + 1} AS MATERIALIZED (SELECT x0.id, x0.j, coalesce((s - ((s % n) + n) % n) // n, 0)::BIGINT AS x FROM x0 LEFT JOIN m{k} ON src = x0.id AND m{k}.j = x0.j)""")
+    rows = " UNION ALL ".join(f"SELECT id, {k * size} + j AS component, x FROM x{k + 1}" for k in range(rounds))
+    return ",\n".join(parts) + f" SELECT id AS customer_id, component::INT AS component, {r6(f'x / {graph.EMBEDDING_ONE}')} AS value FROM ({rows})"
+
+
+@query("walk_embeddings", f"WITH {EDGE}, {embeddings_sql(64, 3)}")
 def walk_embeddings(spark, folder):
-    w = graph.random_walks(_edges(spark, folder), _customers(spark, folder), "customer_id", length=4)
-    e = graph.walk_embeddings(w, "customer_id", 4)
-    return rounded(e.select("customer_id", *[F.get("vector", F.lit(i)).alias(f"e{i}") for i in range(4)]))
+    e = graph.walk_embeddings(_edges(spark, folder), _customers(spark, folder), "customer_id")
+    flat = e.select("customer_id", F.posexplode("vector").alias("at", "value"))
+    return rounded(flat.select("customer_id", (F.col("at") + 1).alias("component"), "value"))
 
 
 @query("neighbour_mean", f"""
@@ -104,39 +123,51 @@ def device_sharing(spark, folder):
     return rounded(graph.device_sharing(marts.device_edges(spark, folder)))
 
 
+ATTRIBUTES = ["phone", "company", "address", "email", "device", "employer", "bank_card"]
+
+
 def _applications(spark, folder):
-    """Customer as application with two shareable attributes and a fraud flag."""
+    """Customer as application with seven shareable attributes, some of them missing, and a fraud flag."""
     c = table(spark, folder, "customer")
     d = marts.customer_defaults(spark, folder)
+    key = F.col("c_custkey")
     return c.select(
-        F.col("c_custkey").alias("customer_id"), F.round(F.col("c_acctbal") / 10).cast("long").alias("phone"),
+        key.alias("customer_id"), F.round(F.col("c_acctbal") / 10).cast("long").alias("phone"),
         F.concat_ws("-", "c_nationkey", "c_mktsegment").alias("company"),
-        F.when(F.col("c_acctbal") > 0, F.floor(F.col("c_acctbal") / 25)).alias("address")).join(d, "customer_id")
+        F.when(F.col("c_acctbal") > 0, F.floor(F.col("c_acctbal") / 25)).alias("address"), (key % 419).alias("email"),
+        F.when(key % 3 == 0, key % 50).alias("device"), F.concat_ws("-", F.substring("c_mktsegment", 1, 1), (key % 37).cast("string")).alias("employer"),
+        F.when(F.col("c_nationkey") < 9, F.floor(key / 4)).alias("bank_card")).join(d, "customer_id")
 
 
 APPS = LOAN + ", " + DEFAULTS + """,
 app AS (SELECT c_custkey AS id, round(c_acctbal / 10)::BIGINT AS phone, c_nationkey || '-' || c_mktsegment AS company,
-  CASE WHEN c_acctbal > 0 THEN floor(c_acctbal / 25) END AS address, isDefault AS d FROM customer JOIN defaults ON customer_id = c_custkey)"""
+  CASE WHEN c_acctbal > 0 THEN floor(c_acctbal / 25) END AS address, c_custkey % 419 AS email, CASE WHEN c_custkey % 3 = 0 THEN c_custkey % 50 END AS device,
+  c_mktsegment[1] || '-' || c_custkey % 37 AS employer, CASE WHEN c_nationkey < 9 THEN floor(c_custkey / 4) END AS bank_card, isDefault AS d
+  FROM customer JOIN defaults ON customer_id = c_custkey)"""
+
+SAME = " + ".join(f"coalesce((a.{c} = b.{c})::INT, 0)" for c in ATTRIBUTES)
 
 
 @query("shared_attribute_features", f"""
-WITH {APPS}, pr AS (SELECT a.id, b.d, coalesce((a.phone = b.phone)::INT, 0) + coalesce((a.company = b.company)::INT, 0) + coalesce((a.address = b.address)::INT, 0) AS w
-  FROM app a JOIN app b ON a.id <> b.id AND (a.phone = b.phone OR a.company = b.company OR a.address = b.address)),
+WITH {APPS}, pr AS (SELECT a.id, b.d, {SAME} AS w FROM app a JOIN app b ON a.id <> b.id AND {SAME} > 0),
 g AS (SELECT id, count(*) AS degree, sum(d)::BIGINT AS f, max(w) AS w FROM pr GROUP BY 1)
 SELECT app.id AS customer_id, coalesce(degree, 0) AS degree, coalesce(f, 0) AS fraud_neighbor_count, coalesce(w, 0)::INT AS max_edge_weight,
   {r6('coalesce(f / degree, 0)')} AS fraud_neighbor_rate FROM app LEFT JOIN g USING (id)""")
 def shared_attribute_features(spark, folder):
     df = hold(_applications(spark, folder))
-    return rounded(graph.shared_attribute_features(df, "customer_id", ["phone", "company", "address"], "isDefault"))
+    return rounded(graph.shared_attribute_features(df, "customer_id", ATTRIBUTES, "isDefault"))
+
+
+LISTED = " UNION ALL ".join(f"SELECT id, '{c}' AS relation, {c + '::BIGINT' if c in ('address', 'bank_card') else c}::VARCHAR AS value FROM app WHERE {c} IS NOT NULL"
+                            for c in ATTRIBUTES)
 
 
 @query("attribute_ties", f"""
-WITH {APPS}, l AS (SELECT id, 'phone' AS relation, phone::VARCHAR AS value FROM app UNION ALL SELECT id, 'company', company FROM app
-  UNION ALL SELECT id, 'address', address::BIGINT::VARCHAR FROM app WHERE address IS NOT NULL),
+WITH {APPS}, l AS ({LISTED}),
 n AS (SELECT *, count(*) OVER (PARTITION BY relation, value) AS sharers FROM l)
 SELECT id AS customer_id, relation, value, sharers FROM n WHERE sharers > 1""")
 def attribute_ties(spark, folder):
-    return graph.attribute_ties(_applications(spark, folder), "customer_id", ["phone", "company", "address"])
+    return graph.attribute_ties(_applications(spark, folder), "customer_id", ATTRIBUTES)
 
 
 def components_sql(rounds: int = 12) -> str:
