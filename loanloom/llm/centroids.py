@@ -84,14 +84,13 @@ def clusters(kept: DataFrame, start: Centroids, rounds: int = ROUNDS) -> tuple[D
 
 def summary(assigned: DataFrame, centroids: Centroids) -> DataFrame:
     """One row per non-empty cluster: cluster, n_vectors, cluster_inertia, inertia (of all), centroid_sha256, centroid."""
-    spark = assigned.sparkSession
-    names = spark.createDataFrame(
-        [(i, hashlib.sha256(",".join(map(str, c)).encode()).hexdigest(), list(c)) for i, c in enumerate(centroids)],
-        "cluster int, centroid_sha256 string, centroid array<long>")
-    each = assigned.groupBy("cluster").agg(F.count("*").alias("n_vectors"), F.try_sum("distance").alias("cluster_inertia"))
-    whole = assigned.agg(F.try_sum("distance").alias("inertia"))
-    # both sides have at most one row a cluster
-    return each.join(F.broadcast(names), "cluster").join(F.broadcast(whole))
+    each = assigned.groupBy("cluster").agg(F.count("*").alias("n"), F.try_sum("distance").alias("own"), F.sum(F.col("distance").cast("decimal(38,0)")).alias("exact"))
+    rows = each.collect()  # at most k rows
+    whole = sum(int(r.exact) for r in rows)
+    named = [(r.cluster, r.n, r.own, whole if whole < 1 << 63 else None, hashlib.sha256(",".join(map(str, centroids[r.cluster])).encode()).hexdigest(),
+              list(centroids[r.cluster])) for r in rows]
+    return assigned.sparkSession.createDataFrame(
+        named, "cluster int, n_vectors long, cluster_inertia long, inertia long, centroid_sha256 string, centroid array<long>")
 
 
 def clustered(vectors: DataFrame, k: int = CLUSTERS, rounds: int = ROUNDS, dims: int = DIMS, scale: int = SCALE) -> DataFrame:
@@ -99,4 +98,4 @@ def clustered(vectors: DataFrame, k: int = CLUSTERS, rounds: int = ROUNDS, dims:
     kept = written(quantised(vectors, dims=dims, scale=scale), "vectors")
     assigned, centroids = clusters(kept, first_centroids(kept, k), rounds)
     assigned = written(assigned, "assigned")
-    return assigned.join(F.broadcast(summary(assigned, centroids)), "cluster")
+    return assigned.join(F.broadcast(summary(assigned, centroids)), "cluster")  # at most k rows

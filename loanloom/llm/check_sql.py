@@ -96,3 +96,46 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_w
 
 
 LICENSE_SCAN = _license_scan()
+
+CONVERSATION_REPAIR = r"""
+WITH RECURSIVE
+bytes AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(range(8), lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) AS v
+  FROM range(256) r(i))),
+named AS (SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS s FROM conversations),
+src AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  xor(list_reduce(list_transform(range(1, strlen(s) + 1), lambda i: ascii(s[i])::BIGINT), lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]), 4294967295), 4294967295) % 20 AS kind
+  FROM named, bytes),
+damage AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM (SELECT *, unnest(CASE kind WHEN 3 THEN [0, 1] ELSE [0] END) FROM src WHERE kind <> 0)),
+conv AS (SELECT row_number() OVER () AS c, conv_id FROM (SELECT DISTINCT conv_id FROM conversations)),
+keyed AS (SELECT c, turn, role, text, sha256(strlen(role) || ':' || role || text) AS k FROM damage JOIN conv ON conv.conv_id IS NOT DISTINCT FROM damage.conv_id),
+line AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, k) AS i, row_number() OVER (PARTITION BY c, k ORDER BY turn NULLS FIRST) AS seen,
+  CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS f FROM keyed),
+judged AS (SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, seen > 1 AS again, NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS open FROM line),
+step AS MATERIALIZED (SELECT *, blank OR again AS x, CASE WHEN open THEN 5 ELSE 0 END AS e FROM judged),
+ends AS (SELECT c, count(*) AS n FROM step GROUP BY c),
+back(c, i, v) AS (SELECT c, n + 1, [0, 10, 5, 0] FROM ends
+  UNION ALL SELECT c, i, [least(g0, 5 + g2, 10 + g3), least(g1, 5 + g2, 10 + g3), least(g2, 5 + g3), least(g3, 5 + g2)] FROM (
+    SELECT step.c, step.i,
+      CASE WHEN x THEN 2 + v[1] ELSE least(2 + v[1], 1 + e + v[3], CASE f WHEN 's' THEN e + v[2] WHEN 'u' THEN e + v[3] END) END AS g0,
+      CASE WHEN x THEN 2 + v[2] ELSE least(2 + v[2], 1 + e + v[3], CASE f WHEN 'u' THEN e + v[3] END) END AS g1,
+      CASE WHEN x THEN 2 + v[3] ELSE least(2 + v[3], 1 + e + v[4], CASE f WHEN 'a' THEN e + v[4] END) END AS g2,
+      CASE WHEN x THEN 2 + v[4] ELSE least(2 + v[4], 1 + e + v[3], CASE f WHEN 'u' THEN e + v[3] END) END AS g3
+    FROM back JOIN step ON step.c = back.c AND step.i = back.i - 1)),
+togo AS MATERIALIZED (SELECT * FROM back),
+walk(c, i, q, audit, lines) AS (SELECT c, 1::BIGINT, 1, '', []::VARCHAR[] FROM ends
+  UNION ALL SELECT c, CASE a WHEN 'I' THEN i ELSE i + 1 END, CASE a WHEN 'D' THEN q WHEN 'K' THEN kq ELSE nq END, audit || a,
+    CASE a WHEN 'D' THEN lines WHEN 'K' THEN list_append(lines, role || ':' || text)
+      ELSE list_append(lines, CASE nq WHEN 3 THEN 'user:' ELSE 'assistant:' END || CASE a WHEN 'I' THEN '' ELSE text END) END
+  FROM (SELECT *, CASE WHEN 2 + w[q] = v[q] THEN 'D' WHEN 5 + v[nq] = v[q] THEN 'I' WHEN NOT x AND kq > 0 AND e + w[kq] = v[q] THEN 'K' WHEN NOT x THEN 'R' END AS a
+    FROM (SELECT walk.c, walk.i, q, audit, lines, here.v, after.v AS w, role, text, x, e, [3, 3, 4, 3][q] AS nq,
+      CASE WHEN f = 's' AND q = 1 THEN 2 WHEN f = 'u' AND q <> 3 THEN 3 WHEN f = 'a' AND q = 3 THEN 4 ELSE 0 END AS kq
+      FROM walk JOIN togo here ON here.c = walk.c AND here.i = walk.i LEFT JOIN togo after ON after.c = walk.c AND after.i = walk.i + 1
+      LEFT JOIN step ON step.c = walk.c AND step.i = walk.i WHERE here.v[q] > 0 OR after.v IS NOT NULL))),
+ended AS (SELECT walk.c, audit, array_to_string(lines, chr(10)) AS kept FROM walk JOIN ends ON ends.c = walk.c AND i = n + 1 WHERE q IN (1, 4)),
+facts AS (SELECT c, CASE WHEN count(turn) > 0 THEN max(turn) - min(turn) + 1 - count(DISTINCT turn) ELSE 0 END AS gaps, count(*) FILTER (blank) AS blank,
+  count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (open AND NOT x) AS truncated FROM step GROUP BY c),
+pairs AS (SELECT c, count(*) AS illegal FROM (SELECT c, lag(f) OVER (PARTITION BY c ORDER BY i) || f AS p FROM step) WHERE p NOT IN ('su', 'ua', 'au') GROUP BY c)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(togo.v[1], 0)::BIGINT AS cost, coalesce(audit, '') AS audit, sha256(coalesce(kept, '')) AS repaired_sha256
+FROM conv LEFT JOIN facts USING (c) LEFT JOIN pairs USING (c) LEFT JOIN ended USING (c) LEFT JOIN togo ON togo.c = conv.c AND togo.i = 1"""

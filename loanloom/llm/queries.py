@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from loanloom.llm import attention_lm, centroids, check_sql, decontaminate, hilbert, jaccard_join, kneser_ney, license_scan, pieces, quality_rules, suffix_dedup, token_counts, toxicity
+from loanloom.llm import (
+    attention_lm, centroids, check_sql, conversation_repair, decontaminate, hilbert, jaccard_join, kneser_ney, license_scan, pieces,
+    quality_rules, suffix_dedup, token_counts, toxicity,
+)
 from loanloom.llm.tokenizers import byte_bpe, pieces as piece_model
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +108,18 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
                       F.size("lengths").cast("long").alias("n_leaves"))
 
 
+@query("op11_conversation_repair", check_sql.CONVERSATION_REPAIR)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations")
+    found = conversation_repair.digests(conversation_repair.damaged(given)).withColumnRenamed("conv_id", "of")
+    whole = given.select("conv_id").distinct()
+    out = whole.join(found, F.col("conv_id").eqNullSafe(F.col("of")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    # no rows after damage: nothing to repair
+    return out.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 @query("op12_license_scan", check_sql.LICENSE_SCAN)
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     out = license_scan.labelled(table(spark, folder, "documents"))
