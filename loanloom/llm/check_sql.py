@@ -109,8 +109,9 @@ damage AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS r
   FROM (SELECT *, unnest(CASE kind WHEN 3 THEN [0, 1] ELSE [0] END) FROM src WHERE kind <> 0)),
 conv AS (SELECT row_number() OVER () AS c, conv_id FROM (SELECT DISTINCT conv_id FROM conversations)),
 keyed AS (SELECT c, turn, role, text, sha256(strlen(role) || ':' || role || text) AS k FROM damage JOIN conv ON conv.conv_id IS NOT DISTINCT FROM damage.conv_id),
-line AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, k) AS i, row_number() OVER (PARTITION BY c, k ORDER BY turn NULLS FIRST) AS seen,
-  CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS f FROM keyed),
+placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, k) AS i FROM keyed),
+line AS (SELECT *, row_number() OVER (PARTITION BY c, k ORDER BY i) AS seen,
+  CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS f FROM placed),
 judged AS (SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, seen > 1 AS again, NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS open FROM line),
 step AS MATERIALIZED (SELECT *, blank OR again AS x, CASE WHEN open THEN 5 ELSE 0 END AS e FROM judged),
 ends AS (SELECT c, count(*) AS n FROM step GROUP BY c),

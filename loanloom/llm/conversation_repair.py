@@ -173,7 +173,7 @@ def symbols(placed: DataFrame) -> DataFrame:
     """at, conv_id, part, blank, duplicate, truncated (numbers of copies with that first fault), symbols and initials of the copies."""
     first = placed.groupBy("conv_id", "key").agg(F.min("at").alias("first_at")).select("first_at")
     end = F.rtrim(F.col("text"), F.lit(BLANKS))
-    facts = placed.select("at", "conv_id", "part", "copies", (end == "").alias("no_text"), ~F.right(end, F.lit(1)).isin(*".!?").alias("open"),
+    facts = placed.select("at", "conv_id", "part", "copies", (end == "").alias("no_text"), (~F.right(end, F.lit(1)).isin(*".!?")).alias("open"),
                           _first_character("role", "sua").alias("initial"))
     known = facts.join(first, facts["at"] == first["first_at"], "left")
     fresh = ~F.col("no_text") & F.col("first_at").isNotNull()
