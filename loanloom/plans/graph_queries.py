@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from loanloom.operators import graph
 from loanloom.plans.catalog import query
-from loanloom.plans.check_sql import DEFAULTS, DEVICE, EDGE, LOAN, RELATION, r6
+from loanloom.plans.check_sql import DEFAULTS, DEVICE, EDGE, LOAN, RELATION, r6, uniform
 from loanloom.plans.profile_queries import rounded
 from loanloom.session import cut_lineage, hold
 from loanloom.sources import marts
@@ -47,14 +47,6 @@ def neighbour_features(spark, folder):
     return rounded(graph.neighbour_features(_edges(spark, folder), marts.customer_defaults(spark, folder), "customer_id", "isDefault"))
 
 
-@query("loans_with_graph_features", f"""
-WITH {FEATURES} SELECT loan_id, degree, bad AS bad_neighbor_count, {r6('wr')} AS weighted_bad_rate FROM loan JOIN feat USING (customer_id)""")
-def loans_with_graph_features(spark, folder):
-    f = graph.neighbour_features(_edges(spark, folder), marts.customer_defaults(spark, folder), "customer_id", "isDefault")
-    x = marts.loans(spark, folder, "loan_id", "customer_id")
-    return rounded(x.join(f, "customer_id", "left").select("loan_id", "degree", "bad_neighbor_count", "weighted_bad_rate"))
-
-
 @query("star_and_ring", f"""
 WITH {FEATURES}, lk AS MATERIALIZED (SELECT a.src AS u, b.dst AS w, a.dst AS v FROM edge a JOIN edge b ON a.dst = b.src WHERE a.src < b.dst),
 opposite AS (SELECT u, w, count(*) AS c FROM lk GROUP BY 1, 2 HAVING count(*) > 1),
@@ -69,11 +61,28 @@ def star_and_ring(spark, folder):
     return graph.star_and_ring(f, tri, graph.squares(e, ranked), "customer_id")
 
 
+TWO_HOP = """p AS (SELECT DISTINCT a.src AS v, b.dst AS w FROM edge a JOIN edge b ON a.dst = b.src WHERE a.src <> b.dst),
+far AS (SELECT v, count(*) AS n FROM p GROUP BY 1)"""
+
+
 @query("two_hop_counts", f"""
-WITH {EDGE}, p AS (SELECT DISTINCT a.src AS v, b.dst AS w FROM edge a JOIN edge b ON a.dst = b.src WHERE a.src <> b.dst), n AS (SELECT v, count(*) AS n FROM p GROUP BY 1)
-SELECT c_custkey AS customer_id, coalesce(n, 0) AS n_two_hop FROM customer LEFT JOIN n ON v = c_custkey""")
+WITH {EDGE}, {TWO_HOP}
+SELECT c_custkey AS customer_id, coalesce(n, 0) AS n_two_hop FROM customer LEFT JOIN far ON v = c_custkey""")
 def two_hop_counts(spark, folder):
-    return graph.two_hop_counts(_edges(spark, folder), _customers(spark, folder), "customer_id")
+    return graph.two_hop_counts(_edges(spark, folder), _customers(spark, folder), "customer_id").drop("exact")
+
+
+@query("two_hop_sketches", f"""
+WITH {EDGE}, {TWO_HOP}
+SELECT c_custkey AS customer_id, coalesce(n, 0) AS n_two_hop, true AS within_bound FROM customer LEFT JOIN far ON v = c_custkey""")
+def two_hop_sketches(spark, folder):
+    """The sketched counts of all vertices beside the exact ones: five standard errors are the bound shown."""
+    e, who = _edges(spark, folder), _customers(spark, folder)
+    exact = graph.two_hop_counts(e, who, "customer_id")
+    guessed = graph.two_hop_counts(e, who, "customer_id", most_paths=0).select(F.col("customer_id").alias("_id"), F.col("n_two_hop").alias("guess"))
+    bound = 1 + 5 * 1.04 / 2 ** (graph.SKETCH_BITS / 2) * F.col("n_two_hop")
+    return exact.join(guessed, F.col("customer_id") == F.col("_id")).select(
+        "customer_id", "n_two_hop", (F.abs(F.col("guess") - F.col("n_two_hop")) <= bound).alias("within_bound"))
 
 
 @query("hops_from_negative_balance", f"""
@@ -179,6 +188,19 @@ def components_sql(rounds: int = 12) -> str:
     return ", ".join(parts)
 
 
+@query("loans_with_graph_features", f"""
+WITH {FEATURES}, {TWO_HOP}, {components_sql()}, sz AS (SELECT id, count(*) OVER (PARTITION BY comp) AS component_size FROM r12)
+SELECT loan_id, degree AS n_neighbors, coalesce(n, 0) AS n_two_hop_neighbors, {r6('degree / ((SELECT count(*) FROM customer) - 1)')} AS degree_centrality, component_size,
+  {r6('CASE WHEN degree > 1 THEN 2 * t / (degree * (degree - 1)) ELSE 0 END')} AS clustering, {r6('bad / greatest(degree, 1)')} AS bad_neighbor_rate, bad AS bad_neighbor_count,
+  {r6('wr')} AS weighted_bad_rate, degree - bad AS good_neighbors, mw AS max_edge_weight
+FROM loan JOIN feat USING (customer_id) LEFT JOIN far ON v = customer_id JOIN sz ON sz.id = customer_id""")
+def loans_with_graph_features(spark, folder):
+    """Every loan with all graph features of its customer."""
+    features = graph.graph_feature_table(_edges(spark, folder), marts.customer_defaults(spark, folder), "customer_id", "isDefault")
+    x = marts.loans(spark, folder, "loan_id", "customer_id")
+    return rounded(x.join(features, "customer_id").drop("customer_id"))
+
+
 @query("connected_components", f"""
 WITH {EDGE}, {components_sql()} SELECT id AS customer_id, comp AS component, count(*) OVER (PARTITION BY comp) AS size FROM r12""")
 def connected_components(spark, folder):
@@ -211,18 +233,53 @@ def dense_components(spark, folder):
     return rounded(graph.dense_components(e, comps, "customer_id"))
 
 
-@query("label_communities")
+def communities_sql(rounds: int = 5) -> str:
+    parts = ["s0 AS (SELECT c_custkey AS id, c_custkey AS comm FROM customer)"]
+    for i in range(rounds):
+        parts.append(f"""v{i} AS (SELECT src, comm, round(sum(weight), 9) AS w FROM edge JOIN s{i} ON id = dst GROUP BY 1, 2),
+b{i} AS (SELECT src, comm FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY w DESC, comm) AS k FROM v{i}) WHERE k = 1),
+s{i + 1} AS MATERIALIZED (SELECT s{i}.id, coalesce(b{i}.comm, s{i}.comm) AS comm FROM s{i} LEFT JOIN b{i} ON src = id)""")
+    return ", ".join(parts)
+
+
+@query("label_communities", f"WITH {EDGE}, {communities_sql()} SELECT id AS customer_id, comm AS community FROM s5")
 def label_communities(spark, folder):
     return graph.label_communities(_edges(spark, folder), _customers(spark, folder), "customer_id")
 
 
-@query("community_risk")
+@query("community_risk", f"""
+WITH {EDGE}, {LOAN}, {DEFAULTS}, {communities_sql()}
+SELECT comm AS community, count(*) AS size, sum(isDefault)::BIGINT AS bad, {r6('avg(isDefault)')} AS bad_rate FROM s5 JOIN defaults ON customer_id = id
+GROUP BY 1 HAVING count(*) >= 3""")
 def community_risk(spark, folder):
     d = marts.customer_defaults(spark, folder)
     comm = graph.label_communities(_edges(spark, folder), d.select("customer_id"), "customer_id")
     return rounded(graph.community_risk(comm, d, "customer_id", "isDefault"))
 
 
+#: customers in blocks of twelve: eight that are mostly tied to each other, in every second block with a chain of three behind them
+TIED = """((p < 8 AND q < 8 AND (block % 3 > 0 OR (p + q) % 2 > 0)) OR (block % 2 = 0 AND q = p + 1 AND p BETWEEN 7 AND 9))"""
+
+
+@query("dense_blocks", f"""
+WITH RECURSIVE c AS (SELECT c_custkey AS id, c_custkey // 12 AS block, c_custkey % 12 AS p FROM customer),
+half AS (SELECT a.id AS src, b.id AS dst FROM c a JOIN (SELECT id, block, p AS q FROM c) b USING (block) WHERE p < q AND {TIED}),
+e AS (SELECT * FROM half UNION ALL SELECT dst, src FROM half),
+w(id, comp) AS (SELECT id, id FROM c UNION SELECT e.dst, w.comp FROM w JOIN e ON e.src = w.id),
+k AS (SELECT id, min(comp) AS comp FROM w GROUP BY 1), s AS (SELECT comp, count(*) AS size FROM k GROUP BY 1 HAVING count(*) >= 3),
+d AS (SELECT comp, size, (SELECT count(*) FROM e JOIN k ON k.id = e.src WHERE k.comp = s.comp) / (size * (size - 1)) AS density FROM s),
+near AS (SELECT id, id AS far FROM k UNION SELECT src, dst FROM e UNION SELECT a.src, b.dst FROM e a JOIN e b ON a.dst = b.src
+  UNION SELECT a.src, g.dst FROM e a JOIN e b ON a.dst = b.src JOIN e g ON b.dst = g.src),
+reach AS (SELECT comp, min(n) AS n FROM (SELECT id, count(*) AS n FROM near GROUP BY 1) JOIN k USING (id) GROUP BY 1)
+SELECT comp AS component, size, {r6('density')} AS density FROM d JOIN reach USING (comp) WHERE density > 0.5 AND n = size""")
+def dense_blocks(spark, folder):
+    c = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), F.floor(F.col("c_custkey") / 12).alias("block"), (F.col("c_custkey") % 12).alias("p"))
+    half = c.join(c.select(F.col("id").alias("dst"), "block", F.col("p").alias("q")), "block").where(f"p < q AND {TIED}").select(F.col("id").alias("src"), "dst")
+    e = hold(half.unionByName(half.select(F.col("dst").alias("src"), F.col("src").alias("dst"))))
+    comps = graph.connected_components(e, c, "id")
+    return rounded(graph.dense_components(e, comps, "id"))
+
+
 def page_rank_sql(rounds: int) -> str:
     parts = ["v AS (SELECT c_custkey AS id, (SELECT count(*) FROM customer) AS n FROM customer)", "dg AS (SELECT src, count(*) AS deg FROM edge GROUP BY 1)",
              "p0 AS (SELECT id, n, 1 / n AS rank FROM v)"]
@@ -233,13 +290,22 @@ def page_rank_sql(rounds: int) -> str:
     return ", ".join(parts)
 
 
-@query("page_rank", f"WITH {EDGE}, {page_rank_sql(6)} SELECT id AS customer_id, round(rank, 9) AS rank FROM p6")
+@query("page_rank", f"WITH {EDGE}, {page_rank_sql(30)} SELECT id AS customer_id, round(rank, 7) AS rank FROM p30")
 def page_rank(spark, folder):
-    out = graph.page_rank(_edges(spark, folder), _customers(spark, folder), "customer_id", rounds=6)
-    return out.select("customer_id", F.round("rank", 9).alias("rank"))
+    out = graph.page_rank(_edges(spark, folder), _customers(spark, folder), "customer_id")
+    return out.select("customer_id", F.round("rank", 7).alias("rank"))
+
+
+def walks_sql(length: int = 5) -> str:
+    parts = [f"""nb AS MATERIALIZED (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY {uniform('dst', 'neighbour')}, md5(dst::VARCHAR)) - 1 AS i,
+  count(*) OVER (PARTITION BY src) AS deg FROM edge), w0 AS (SELECT c_custkey AS start, c_custkey AS node, c_custkey::VARCHAR AS path FROM customer)"""]
+    for step in range(length - 1):
+        parts.append(f"""w{step + 1} AS MATERIALIZED (SELECT start, coalesce(dst, node) AS node, CASE WHEN dst IS NULL THEN path ELSE path || '>' || dst END AS path
+  FROM w{step} LEFT JOIN nb ON src = node AND i = {uniform(f"start || '|1|{step}'", 42)} % deg)""")
+    return ", ".join(parts)
 
 
-@query("random_walks")
+@query("random_walks", f"WITH {EDGE}, {walks_sql()} SELECT start AS customer_id, 1 AS walk, path FROM w4")
 def random_walks(spark, folder):
     w = graph.random_walks(_edges(spark, folder), _customers(spark, folder), "customer_id")
     return w.select("customer_id", "walk", F.array_join(F.col("path").cast("array<string>"), ">").alias("path"))
