@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import random
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -13,7 +15,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, IsotonicRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.util import inheritable_thread_target
 
 from loanloom.functions.hashing import fold_of, hash_unit
 from loanloom.operators.ordering import exact_quantiles, row_positions
@@ -86,18 +89,6 @@ def fit_scorecard_cv(df: DataFrame, features: Sequence[str], label: str, key: st
     return fit_scorecard(df, features, label, best), table
 
 
-def variance_inflation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """VIF per column from the k x k matrix of cross products, built in one aggregate."""
-    columns = list(columns)
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    row = df.agg(*[F.sum(F.col(columns[i]).cast("double") * F.col(columns[j])).alias(f"g{i}_{j}") for i, j in pairs]).first()
-    g = np.zeros((len(columns), len(columns)))
-    for i, j in pairs:
-        g[i, j] = g[j, i] = row[f"g{i}_{j}"]
-    vif = np.diag(g) * np.diag(np.linalg.pinv(g))
-    return small_frame(df.sparkSession, [{"feature": c, "vif": float(v)} for c, v in zip(columns, vif)])
-
-
 def reason_codes(df: DataFrame, coefficients: dict[str, float], means: dict[str, float], reasons: dict[str, str], top: int = 3, name: str = "reasons"):
     """Reasons of the largest positive contributions coefficient * (value - mean), highest first."""
     parts = F.array(*[
@@ -113,6 +104,12 @@ def boosted(trees: int = 20, depth: int = 4, step: float = 0.1, seed: int = 42,
     return GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=step, seed=seed, labelCol="label", featuresCol="features", **params)
 
 
+def side_by_side(fn: Callable, items: Sequence, parallelism: int = 4) -> list:
+    """``fn`` of every item, several Spark jobs at a time; results in the order of the items."""
+    with ThreadPool(max(1, min(parallelism, len(items)))) as pool:
+        return pool.map(inheritable_thread_target(SparkSession.active())(fn), items)
+
+
 @dataclass
 class OutOfFold:
     """Out-of-fold scores of the training rows, mean scores of the test rows, and the fold models."""
@@ -136,17 +133,19 @@ def fit_out_of_fold(
     x = hold(assemble(x, features, [key, "label", "fold", "_stop"]))
     ratio = {r["fold"]: (r["b"], r["n"]) for r in x.groupBy("fold").agg(F.sum("label").alias("b"), F.count("*").alias("n")).collect()}
     all_b, all_n = sum(v[0] for v in ratio.values()), sum(v[1] for v in ratio.values())
-    models, parts = [], []
-    for i in range(folds):
+
+    def fit(i: int):
         b, n = all_b - ratio.get(i, (0, 0))[0], all_n - ratio.get(i, (0, 0))[1]
         part = x.where(F.col("fold") != i).withColumn("weight", F.when(F.col("label") == 1, (n - b) / max(b, 1.0)).otherwise(1.0))
-        model = learner.copy().setWeightCol("weight").setValidationIndicatorCol("_stop").fit(part)
-        models.append(model)
-        parts.append(model.transform(x.where(F.col("fold") == i)).select(key, "fold", "label", probability().alias("score")))
-    oof = parts[0]
-    for p in parts[1:]:
-        oof = oof.unionByName(p)
-    oof = hold(oof)
+        return learner.copy().setWeightCol("weight").setValidationIndicatorCol("_stop").fit(part)
+
+    models = side_by_side(fit, list(range(folds)))
+    oof = None
+    for i, model in enumerate(models):
+        part = model.transform(x.where(F.col("fold") == i)).select(key, "fold", "label", probability().alias("score"))
+        oof = part if oof is None else oof.unionByName(part)
+    oof = cut_lineage(oof)
+    x.unpersist()
     per_fold = evaluate(oof, "score", "label", ["fold"]).select("fold", "auc")
     scored = None if test is None else mean_score(models, test, features, key)
     return OutOfFold(oof, scored, models, per_fold, importance_table(train.sparkSession, models, features))
@@ -167,23 +166,53 @@ def importance_table(spark, models: Sequence, features: Sequence[str]) -> DataFr
     return small_frame(spark, [{"feature": f, "importance": float(v)} for f, v in zip(features, mean)]).orderBy(F.desc("importance"), "feature")
 
 
-def search_boosted(train: DataFrame, features: Sequence[str], label: str, key: str, trials: int = 30, folds: int = 3, trees: int = 20,
-                   seed: int = 42, parallelism: int = 4) -> DataFrame:
-    """Random search over depth, leaf size, step, row and feature shares; mean cross-validated AUC per trial."""
+def successive_halving(spark: SparkSession, trials: Sequence[int], rungs: Sequence, measure: Callable, keep: float = 1 / 3) -> DataFrame:
+    """(rung, trial, value, survived): all trials at the first budget, the better share of them at the next, and so on.
+
+    ``measure(budget, trials)`` gives one number per trial, the higher the better. Of n trials the best ceil(n x keep) go on; equal
+    values go by the lower trial. Losers cost no more than the budgets up to their last rung.
+    """
+    rows, left = [], list(trials)
+    for i, budget in enumerate(rungs):
+        values = dict(zip(left, measure(budget, left)))
+        order = sorted(left, key=lambda t: (-values[t], t))
+        best = set(order[:math.ceil(len(left) * keep)]) if i + 1 < len(rungs) else set(order[:1])
+        rows += [{"rung": i, "trial": t, "value": float(values[t]), "survived": t in best} for t in left]
+        left = [t for t in left if t in best]
+    return small_frame(spark, rows, "rung int, trial int, value double, survived boolean")
+
+
+def search_boosted(train: DataFrame, features: Sequence[str], label: str, key: str, trials: int = 30, folds: int = 3,
+                   rungs: Sequence[int] = (3, 9, 27), stop_share: float = 0.1, seed: int = 42, parallelism: int = 8) -> DataFrame:
+    """Random search over depth, leaf size, step, row and feature shares by successive halving on the number of trees.
+
+    A trial's value is its mean AUC over the folds. Bad rows weigh as much as good ones within a fold's own training rows, and a
+    share of those rows, never the fold that is scored, stops a booster that no longer gains. The fits of a rung run side by side.
+    Returns (rung, trial, value, survived) with the trial's parameters.
+    """
     rng = random.Random(seed)
-    x = train.withColumns({"label": F.col(label).cast("double"), "fold": fold_of(key, folds, seed)})
-    x = hold(assemble(x, features, ["label", "fold"]))
-    gbt = boosted(trees)
+    x = train.withColumns({"label": F.col(label).cast("double"), "fold": fold_of(key, folds, seed), "_stop": hash_unit(key, f"{seed}stop") < stop_share})
+    x = hold(assemble(x, features, ["label", "fold", "_stop"]))
+    counts = {r["fold"]: (r["b"], r["n"]) for r in x.groupBy("fold").agg(F.sum("label").alias("b"), F.count("*").alias("n")).collect()}
     draws = [{
-        gbt.maxDepth: rng.randint(2, 6), gbt.minInstancesPerNode: rng.choice([1, 20, 50, 100]),
-        gbt.stepSize: 10 ** rng.uniform(-2, -0.5), gbt.subsamplingRate: rng.uniform(0.5, 1.0),
-        gbt.featureSubsetStrategy: rng.choice(["all", "0.8", "0.6"])} for _ in range(trials)]
-    cv = CrossValidator(estimator=gbt, estimatorParamMaps=draws, evaluator=BinaryClassificationEvaluator(), numFolds=folds,
-                        foldCol="fold", parallelism=parallelism)
-    aucs = cv.fit(x).avgMetrics
+        "maxDepth": rng.randint(2, 6), "minInstancesPerNode": rng.choice([1, 20, 50, 100]), "stepSize": round(10 ** rng.uniform(-2, -0.5), 6),
+        "subsamplingRate": round(rng.uniform(0.5, 1.0), 6), "featureSubsetStrategy": rng.choice(["all", "0.8", "0.6"])} for _ in range(trials)]
+
+    def auc(item) -> float:
+        trees, trial, fold = item
+        b, n = (sum(v[i] for f, v in counts.items() if f != fold) for i in (0, 1))
+        part = x.where(F.col("fold") != fold).withColumn("weight", F.when(F.col("label") == 1, (n - b) / max(b, 1.0)).otherwise(1.0))
+        model = GBTClassifier(maxIter=trees, seed=seed, weightCol="weight", validationIndicatorCol="_stop", **draws[trial]).fit(part)
+        return BinaryClassificationEvaluator().evaluate(model.transform(x.where(F.col("fold") == fold)))
+
+    def measure(trees: int, left: list[int]) -> list[float]:
+        values = side_by_side(auc, [(trees, t, f) for t in left for f in range(folds)], parallelism)
+        return [float(np.mean(values[i * folds:(i + 1) * folds])) for i in range(len(left))]
+
+    table = successive_halving(train.sparkSession, range(trials), rungs, measure)
     x.unpersist()
-    rows = [{"trial": i, **{p.name: str(v) for p, v in d.items()}, "auc": float(a)} for i, (d, a) in enumerate(zip(draws, aucs))]
-    return small_frame(train.sparkSession, rows).orderBy(F.desc("auc"))
+    drawn = small_frame(train.sparkSession, [{"trial": i, **{k: str(v) for k, v in d.items()}} for i, d in enumerate(draws)])
+    return table.withColumn("trees", F.element_at(F.lit([int(r) for r in rungs]), F.col("rung") + 1)).join(F.broadcast(drawn), "trial")  # a row per trial
 
 
 def time_series_auc(df: DataFrame, features: Sequence[str], label: str, fold: str, folds: int = 5, learner=None) -> DataFrame:
