@@ -26,5 +26,5 @@ def query(name: str, check: str | None = None):
 def load_all() -> None:
     from loanloom.plans import (  # noqa: F401
         feature_queries, profile_queries, ranking_queries, binning_queries, drift_queries, strategy_queries, time_queries,
-        graph_queries, learning_queries, text_queries, io_queries, stream_queries,
+        graph_queries, learning_queries, text_queries, io_queries, stream_queries, neighbour_queries,
     )
