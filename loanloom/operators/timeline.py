@@ -7,11 +7,12 @@ counts per entity from frames inside time buckets, so a very active entity is sp
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loanloom.operators.ordering import prefix_sums
+from loanloom.operators.ranking import evaluate
 
 
 def epoch(c):
@@ -99,6 +100,23 @@ def last_periods(
     return rows.select(key, F.concat(F.array_repeat(zero, F.lit(length) - F.size(seq)), seq).alias("sequence"))
 
 
+def step_importance(
+    df: DataFrame, label: str, values: Sequence[str], score: Callable[[Column], Column], length: int, sequence: str = "sequence",
+) -> DataFrame:
+    """(step, auc, auc_drop): what the scorer loses in AUC when one step of every sequence is set to zero; step 0 is the whole sequence.
+
+    ``score`` turns a sequence column into a score column. All ``length`` + 1 copies of a row come from one expansion, and one
+    grouped prefix sum ranks the scores of all copies at once, so the data is read once however long the sequences are.
+    """
+    nothing = F.struct(*[F.lit(0.0).alias(v) for v in values])
+    copies = df.select(F.col(label).alias("label"), sequence, F.explode(F.sequence(F.lit(0), F.lit(length))).alias("step"))
+    erased = F.transform(sequence, lambda x, i: F.when(i + 1 == F.col("step"), nothing).otherwise(F.struct(*[x[v].cast("double").alias(v) for v in values])))
+    scored = copies.select("step", "label", score(erased).alias("score"))
+    aucs = evaluate(scored, "score", "label", ["step"]).select("step", "auc")
+    whole = Window.partitionBy()  # one row per step
+    return aucs.withColumn("auc_drop", F.max(F.when(F.col("step") == 0, F.col("auc"))).over(whole) - F.col("auc"))
+
+
 def jitter(df: DataFrame, key: str, values: Sequence[str], scale: float = 0.1, seed: int = 42) -> DataFrame:
     """Normal noise on every step, drawn from the hash of key, step and field."""
     from loanloom.functions.hashing import hash_normal

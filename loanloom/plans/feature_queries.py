@@ -7,6 +7,7 @@ from loanloom.functions.hashing import experiment_arm, fold_of
 from loanloom.operators import profiling, sampling
 from loanloom.plans.catalog import query
 from loanloom.plans.check_sql import LOAN, SCORED, r6, uniform
+from loanloom.session import hold
 from loanloom.sources import marts
 from loanloom.sources.tables import table
 
@@ -158,6 +159,30 @@ def outlier_bounds(spark, folder):
     return out.select("feature", "method", F.round("lower", 6).alias("lower"), F.round("upper", 6).alias("upper"))
 
 
+FLAGGED = ["loanAmnt", "annualIncome", "n4"]
+
+
+def _flag_sql(c: str) -> str:
+    iqr = f"(quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25))"
+    return (f"quantile_cont({c}, 0.25) - 1.5 * {iqr} AS iqr_lo_{c}, quantile_cont({c}, 0.75) + 1.5 * {iqr} AS iqr_hi_{c}, avg({c}) - 1.5 * stddev_samp({c}) AS zscore_lo_{c}, "
+            f"avg({c}) + 1.5 * stddev_samp({c}) AS zscore_hi_{c}, quantile_cont({c}, 0.01) AS percentile_lo_{c}, quantile_cont({c}, 0.99) AS percentile_hi_{c}")
+
+
+@query("outlier_flags", f"""
+WITH {LOAN}, b AS (SELECT {', '.join(_flag_sql(c) for c in FLAGGED)} FROM loan) {' UNION ALL '.join(
+    f"SELECT loan_id, '{m}' AS method, " + ', '.join(f'({c} < {m}_lo_{c} OR {c} > {m}_hi_{c})::INT AS "{c}_outlier"' for c in FLAGGED) + " FROM loan, b"
+    for m in ("iqr", "zscore", "percentile"))}""")
+def outlier_flags(spark, folder):
+    """Flags of every row by each of the three rules, at 1.5 times the spread."""
+    df = hold(marts.loans(spark, folder, "loan_id", *FLAGGED))
+    bounds = profiling.outlier_bounds(df, FLAGGED, 1.5)
+    out = None
+    for m in ("iqr", "zscore", "percentile"):
+        part = profiling.flag_outliers(df, bounds, m).select("loan_id", F.lit(m).alias("method"), *[f"{c}_outlier" for c in FLAGGED])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("risk_level", f"""
 WITH {SCORED} SELECT loan_id, CASE WHEN score > 0.15 THEN 'HIGH' WHEN score > 0.05 THEN 'MEDIUM' ELSE 'LOW' END
   AS risk_level FROM scored""")

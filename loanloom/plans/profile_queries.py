@@ -206,10 +206,13 @@ WITH {ARMS}, s AS (SELECT
   count(*) FILTER (ab_group = 'control') AS n1, count(*) FILTER (ab_group = 'treatment') AS n2,
   avg(is_approved) FILTER (ab_group = 'control') AS m1, avg(is_approved) FILTER (ab_group = 'treatment') AS m2,
   var_samp(is_approved) FILTER (ab_group = 'control') AS v1, var_samp(is_approved) FILTER (ab_group = 'treatment') AS v2
-  FROM arms)
-SELECT {r6('(m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2) * (1 / n1 + 1 / n2))')} AS t_stat FROM s""")
+  FROM arms),
+t AS (SELECT (m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2) * (1 / n1 + 1 / n2)) AS t, (n1 + n2 - 2)::DOUBLE AS f FROM s),
+d AS (SELECT t, f, abs(t) + u / (1 - u) AS x, u FROM t, (SELECT (i + 0.5) / {profiling.TAIL_POINTS} AS u FROM range({profiling.TAIL_POINTS}) r(i)))
+SELECT {r6('any_value(t)')} AS t_stat,
+  {r6(f"least(1, 2 * sum(exp(lgamma((f + 1) / 2) - lgamma(f / 2) - 0.5 * ln(f * pi()) - (f + 1) / 2 * ln(1 + x * x / f)) / pow(1 - u, 2)) / {profiling.TAIL_POINTS})")} AS p_value FROM d""")
 def experiment_t_test(spark, folder):
-    return rounded(profiling.pooled_t_test(_arms(spark, folder), "ab_group", "is_approved").select("t_stat"))
+    return rounded(profiling.pooled_t_test(_arms(spark, folder), "ab_group", "is_approved"))
 
 
 STRATEGY = SCORED + """, log AS (SELECT CASE WHEN year(issueDate) <= 1998 THEN 'before' ELSE 'after' END AS period,

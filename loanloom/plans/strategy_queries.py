@@ -220,6 +220,16 @@ def confident_labels(spark, folder):
     return strategy.confident_labels(_scored(spark, folder).select("loan_id", "label", "score"), "score", "label")
 
 
+@query("extended_training_rows", f"""
+WITH {SCORED} SELECT loan_id, label, score, false AS is_pseudo FROM scored WHERE year(issueDate) <= 1999 UNION ALL
+SELECT loan_id, CASE WHEN score < 0.05 THEN 0 ELSE 1 END, score, true FROM scored WHERE year(issueDate) > 1999 AND (score < 0.05 OR score > 1 - 0.05 / 2.0)""")
+def extended_training_rows(spark, folder):
+    """Labelled rows of the early years and the confident ones of the later years, marked."""
+    df = hold(_scored(spark, folder, "issueDate").select("loan_id", "label", "score", (F.year("issueDate") <= 1999).alias("early")))
+    train, later = df.where("early").drop("early"), df.where("NOT early").drop("early", "label")
+    return strategy.extend_with_confident(train, later, "score", "label")
+
+
 @query("recovery_by_tier", """
 WITH c AS (SELECT l_orderkey AS loan_id, round(sum(CASE WHEN l_linestatus = 'F' THEN l_extendedprice ELSE 0 END), 2) AS col, round(sum(l_extendedprice), 2) AS ead FROM lineitem GROUP BY 1)
 SELECT o_orderstatus AS status, round(1 - sum(col) / sum(ead), 6) AS lgd, count(*) AS n FROM c JOIN orders ON o_orderkey = loan_id GROUP BY 1""")

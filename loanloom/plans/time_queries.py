@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from loanloom.operators import timeline
 from loanloom.plans.catalog import query
-from loanloom.plans.check_sql import SNAPSHOT, r6
+from loanloom.plans.check_sql import DEFAULTS, LOAN, SNAPSHOT, r6
 from loanloom.plans.profile_queries import rounded
 from loanloom.sources import marts
 from loanloom.sources.tables import table
@@ -73,6 +73,31 @@ def repayment_sequences(spark, folder):
     return flat.select("customer_id", (F.col("step") + 1).alias("step"), "s.*")
 
 
+STEP_WEIGHTS = [round(0.1 * (i + 1), 1) for i in range(12)]
+
+
+@query("sequence_step_importance", f"""
+WITH {SNAPSHOT}, {LOAN}, {DEFAULTS}, x AS (SELECT customer_id, month_idx, round(balance, 2) AS v, current_dpd::DOUBLE AS d,
+    row_number() OVER (PARTITION BY customer_id ORDER BY month_idx DESC) AS rn FROM snapshot),
+k AS (SELECT customer_id, isDefault AS label, unnest(range(1, 13)) AS i FROM defaults),
+part AS (SELECT k.customer_id, label, i, coalesce({STEP_WEIGHTS}[i] * (d + v / 1000000), 0) AS p FROM k LEFT JOIN x ON x.customer_id = k.customer_id AND 13 - rn = i),
+scored AS (SELECT step, customer_id, any_value(label) AS label, round(sum(p) FILTER (i <> step), 4) AS s FROM part, range(0, 13) t(step) GROUP BY 1, 2),
+ranked AS (SELECT *, rank() OVER (PARTITION BY step ORDER BY s) + (count(*) OVER (PARTITION BY step, s) - 1) / 2 AS r FROM scored),
+a AS (SELECT step, (sum(r) FILTER (label = 1) - sum(label) * (sum(label) + 1) / 2) / (sum(label) * sum(1 - label)) AS auc FROM ranked GROUP BY 1)
+SELECT step::INT AS step, {r6('auc')} AS auc, {r6('(SELECT auc FROM a WHERE step = 0) - auc')} AS auc_drop FROM a""")
+def sequence_step_importance(spark, folder):
+    """A fixed linear scorer over the repayment sequences of all customers."""
+    who = marts.customer_defaults(spark, folder)
+    seq = timeline.last_periods(_monthly_log(spark, folder), "customer_id", "period", ["repay_amount", "overdue_days"], 12, who)
+    weights = F.lit(STEP_WEIGHTS)
+
+    def score(sequence):
+        parts = F.zip_with(sequence, weights, lambda x, w: w * (x["overdue_days"] + x["repay_amount"] / 1000000))
+        return F.round(F.aggregate(parts, F.lit(0.0), lambda a, b: a + b), 4)
+
+    return rounded(timeline.step_importance(seq.join(who, "customer_id"), "isDefault", ["repay_amount", "overdue_days"], score, 12))
+
+
 @query("jittered_sequences", f"""
 WITH {SNAPSHOT}, x AS (SELECT customer_id, current_dpd::DOUBLE AS d, row_number() OVER (PARTITION BY customer_id ORDER BY month_idx DESC) AS rn FROM snapshot),
 k AS (SELECT DISTINCT customer_id, unnest(range(1, 13)) AS step FROM x),
@@ -85,7 +110,17 @@ def jittered_sequences(spark, folder):
     return flat.select("customer_id", (F.col("step") + 1).alias("step"), F.round("s.overdue_days", 6).alias("overdue_days"))
 
 
-@query("warped_sequences")
+WARP_UNIT = "(('0x' || substr(md5(customer_id || '|{}'), 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
+
+
+@query("warped_sequences", f"""
+WITH {SNAPSHOT}, x AS (SELECT customer_id, round(balance, 2) AS v, current_dpd::DOUBLE AS d, row_number() OVER (PARTITION BY customer_id ORDER BY month_idx DESC) AS rn FROM snapshot),
+k AS (SELECT DISTINCT customer_id, unnest(range(0, 12)) AS slot FROM x),
+q AS (SELECT k.customer_id, list(coalesce(v, 0) ORDER BY slot) AS v, list(coalesce(d, 0) ORDER BY slot) AS d FROM k LEFT JOIN x ON x.customer_id = k.customer_id AND 12 - rn = slot GROUP BY 1),
+m AS (SELECT *, floor(12 * (0.9::DOUBLE + {1.1 - 0.9!r}::DOUBLE * {WARP_UNIT.format('42')}))::INT AS m, {WARP_UNIT.format('42s')} AS u FROM q),
+i AS (SELECT *, floor(u * (12 - m))::INT AS first, unnest(range(m)) AS step FROM m),
+s AS (SELECT *, CASE WHEN m < 12 THEN first + step ELSE floor(step * (11 / (m - 1)))::INT END AS lo, CASE WHEN m < 12 THEN 0 ELSE step * (11 / (m - 1)) - floor(step * (11 / (m - 1))) END AS w FROM i)
+SELECT customer_id, step::INT AS step, {r6('v[lo + 1] * (1 - w) + v[least(lo + 1, 11) + 1] * w')} AS repay_amount, {r6('d[lo + 1] * (1 - w) + d[least(lo + 1, 11) + 1] * w')} AS overdue_days FROM s""")
 def warped_sequences(spark, folder):
     seq = timeline.last_periods(_monthly_log(spark, folder), "customer_id", "period", ["repay_amount", "overdue_days"], 12)
     warped = timeline.time_warp(seq, "customer_id", ["repay_amount", "overdue_days"])

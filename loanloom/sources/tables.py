@@ -24,14 +24,15 @@ def loan_schema(labelled: bool = True) -> T.StructType:
 
 def read_loans_csv(spark: SparkSession, path: str, labelled: bool = True, rows: int | None = None) -> DataFrame:
     """Loan file with a header line. Columns are found by the names in that line, in any order; a field that the file lacks is
-    null, and columns that are no field are left out. The label must be there if the file is labelled."""
+    null, and columns that are no field are left out. The label must be there if the file is labelled. The files of a folder
+    share one header: each file's own is compared with it, and one with other names or another order stops the read."""
     wanted = loan_schema(labelled)
     by_name = {f.name: f for f in wanted.fields}
     header = spark.read.option("header", True).csv(path).columns  # reads the first line alone
     if labelled and LABEL not in header:
         raise ValueError(f"{path} has no column {LABEL}")
     schema = T.StructType([by_name.get(h, T.StructField(h, T.StringType())) for h in header])
-    df = spark.read.schema(schema).option("header", True).csv(path)
+    df = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
     df = df.select(*[F.col(f.name) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted.fields])
     return df.limit(rows) if rows else df
 
