@@ -6,24 +6,28 @@ sorted; a binary search finds the range of suffixes that begin with each piece,
 These occurrences are edges of a graph over the string's positions. Sorted by end position they are relaxed from left to
 right: an edge extends the encoding of the prefix before it if its piece may stand after that prefix's last piece, that is,
 if the two pieces joined encode to themselves. In BPE each prefix has exactly one encoding and neighbouring pieces that are
-stable in pairs are stable together, so the result is the encoding of the merge procedure. Pair tests are kept per process.
+stable in pairs are stable together, so the result is the encoding of the merge procedure. Pair tests are kept per process, up to
+a fixed number.
 
 Characters outside the vocabulary become their bytes' pieces. The texts' first segment gets the model's leading space.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType
 
 from loanloom.llm.words import mixed, powers, steps, text_bytes, _BYTE_CODES
 
 SPACE = "▁"
 BATCH_BYTES = 1 << 20
+#: pair tests kept by a process, 8 bytes each, and those kept in a dict meanwhile
+KNOWN_PAIRS, RECENT_PAIRS = 4_000_000, 50_000
 _models: dict[bytes, "Pieces"] = {}
 
 
@@ -61,7 +65,9 @@ class Pieces:
                                      for j in range(self.words)], np.uint64).reshape(self.words, -1)
         self.low, self.high = pad(b"\x00"), pad(b"\xff")
         self.size = n
-        self.pairs: dict[int, bool] = {}
+        # kept pair tests: the latest in a dict, all others as sorted numbers 2 x pair + result
+        self.recent: dict[int, bool] = {}
+        self.known = np.zeros(0, np.int64)
         starts = np.concatenate([[0], np.cumsum(self.length)])
         self.flat, self.flat_at = np.frombuffer(b"".join(self.raw), np.uint8), starts[:-1]
 
@@ -81,15 +87,26 @@ class Pieces:
 
     def may_follow(self, codes: np.ndarray) -> np.ndarray:
         """For codes left * size + right: whether the two pieces, joined, encode to themselves."""
-        known, out = self.pairs, np.empty(len(codes), bool)
-        for i, code in enumerate(codes.tolist()):
-            ok = known.get(code)
+        at = np.searchsorted(self.known, codes * 2)
+        near = self.known[np.minimum(at, len(self.known) - 1)] if len(self.known) else np.full(len(codes), -1)
+        out = (near & 1).astype(bool)
+        recent = self.recent
+        for i in np.flatnonzero(near >> 1 != codes).tolist():
+            code = int(codes[i])
+            ok = recent.get(code)
             if ok is None:
                 a, b = self.text[code // self.size], self.text[code % self.size]
-                ok = known[code] = self.merged(a + b) == [a, b]
+                ok = recent[code] = self.merged(a + b) == [a, b]
             out[i] = ok
         return out
 
+    def pack(self) -> None:
+        """Between batches: the dict joins the sorted numbers; beyond KNOWN_PAIRS of them the tests start anew."""
+        if len(self.recent) > RECENT_PAIRS:
+            fresh = np.fromiter((2 * c + ok for c, ok in self.recent.items()), np.int64, len(self.recent))
+            self.known = np.sort(np.concatenate([self.known, fresh])) if len(self.known) < KNOWN_PAIRS else np.sort(fresh)
+            self.recent = {}
+
 
 def pieces_of(model: bytes) -> Pieces:
     if model not in _models:
@@ -263,6 +280,7 @@ def encode_batch(data: np.ndarray, offsets: np.ndarray, p: Pieces) -> tuple[np.n
     if (keys[1][rep][back] != keys[1]).any() or (length[rep][back] != length).any():  # hashes met: take every segment
         rep, back = np.arange(len(at)), np.arange(len(at))
     ids, bounds = _encode_distinct(text, at[rep], length[rep], p)
+    p.pack()
     size = np.diff(bounds)[back]
     ends = np.concatenate([[0], np.cumsum(size)])
     flat = ids[np.repeat(bounds[:-1][back] - ends[:-1], size) + np.arange(int(ends[-1]))]
@@ -298,6 +316,46 @@ def decode_batch(ids: np.ndarray, bounds: np.ndarray, p: Pieces) -> list[str]:
     return out
 
 
+def _recoded(docs: DataFrame, model: bytes, columns: list[str], schema, made) -> DataFrame:
+    """One pass: encode, decode, and ``made(batch, ids, bounds, texts)`` as the arrays after the kept columns."""
+    given = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        p = pieces_of(given.value)
+        for part in steps(batches, column="_text", limit=BATCH_BYTES):
+            ids, bounds = encode_batch(*text_bytes(part.column(0)), p)
+            texts = decode_batch(ids.astype(np.int64), bounds, p)
+            arrays = [part.column(i) for i in range(1, part.num_columns)]
+            yield pa.RecordBatch.from_arrays([*arrays, *made(part, ids, bounds, texts)], names=schema.names)
+
+    return docs.select(docs["text"].alias("_text"), *columns).mapInArrow(run, schema)
+
+
+def encode_and_decode(docs: DataFrame, model: bytes, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns of ``keep``, ids and text (what the ids decode to) for every row of docs, in one pass."""
+    schema = docs.select("doc_id", *keep).schema.add("ids", ArrayType(IntegerType())).add("text", StringType())
+
+    def made(part, ids, bounds, texts):
+        return [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids)), pa.array(texts, pa.string())]
+
+    return _recoded(docs, model, ["doc_id", *keep], schema, made)
+
+
+def round_trips(docs: DataFrame, model: bytes) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (of the ids joined by spaces) and round_trip (decoding gives the text back, the space mark read
+    as a space and a null as an empty text) for every row of docs, in one pass."""
+    schema = docs.select("doc_id").schema.add("n_tokens", LongType()).add("ids_sha256", StringType()).add("round_trip", BooleanType())
+
+    def made(part, ids, bounds, texts):
+        flat, digests, same = ids.tolist(), [], []
+        for a, b, given, back in zip(bounds[:-1].tolist(), bounds[1:].tolist(), part.column(0), texts):
+            digests.append(hashlib.sha256(" ".join(map(str, flat[a:b])).encode()).hexdigest())
+            same.append((given.as_py() or "").replace(SPACE, " ") == back)
+        return [pa.array(np.diff(bounds), pa.int64()), pa.array(digests, pa.string()), pa.array(same)]
+
+    return _recoded(docs, model, ["doc_id"], schema, made)
+
+
 def decode(encoded: DataFrame, model: bytes, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, the columns of ``keep`` and text for every row of encoded (doc_id, ids). Null ids give an empty text."""
     given = encoded.sparkSession.sparkContext.broadcast(model)

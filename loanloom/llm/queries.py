@@ -77,13 +77,7 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op7_sentencepiece")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
-    model = piece_model()
-    encoded = pieces.encode(table(spark, folder, "documents"), model, keep=("text",)).withColumnRenamed("text", "given")
-    back = pieces.decode(encoded, model, keep=("given", "ids"))
-    # the space mark itself reads as a space
-    same = F.col("text") == F.replace(F.coalesce("given", F.lit("")), F.lit(pieces.SPACE), F.lit(" "))
-    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256)
-                       .alias("ids_sha256"), same.alias("round_trip"))
+    return pieces.round_trips(table(spark, folder, "documents"), piece_model())
 
 
 @query("op8_quality_rules")
