@@ -258,33 +258,73 @@ def test_language_model(spark):
     assert attention_lm.scores(frame(spark, rows).where("false"), held, *tokenizers.byte_bpe()).count() == 0
 
 
+def plain_log_probabilities(w, pairs, ids):
+    """ln p of every id of one text: the model, id by id and without matrices of windows."""
+    out = []
+    for i, target in enumerate(ids):
+        first = i // attention_lm.STRIDE * attention_lm.STRIDE - attention_lm.CONTEXT  # place of the window's first column
+        seen = [(p - first, attention_lm.BEGIN if p == 0 else ids[p - 1]) for p in range(max(first, 0), i + 1)]
+        x = [w["emb"][e] + w["pos"][place] for place, e in seen]
+        q = x[-1] @ w["q"] / math.sqrt(attention_lm.WIDTH)
+        share = np.array([math.exp(q @ (e @ w["k"])) for e in x])
+        read = sum(s * (e @ w["v"]) for s, e in zip(share / share.sum(), x))
+        h = x[-1] + read @ w["o"]
+        top = h + np.maximum(h @ w["up"], 0) @ w["down"]
+        c, m, before = target // attention_lm.MEMBERS, target % attention_lm.MEMBERS, seen[-1][1]
+        classes = top @ w["cls"] + pairs.cls[before]
+        members = top @ w["mem"][c] + pairs.mem[before * attention_lm.CLASSES + c]
+        out.append(classes[c] - math.log(np.exp(classes).sum()) + members[m] - math.log(np.exp(members).sum()))
+    return out
+
+
 def test_language_model_gradients_and_masks():
     r = np.random.default_rng(0)
-    w = {k: a.astype(np.float64) for k, a in attention_lm.fresh_weights().items()}
+    w = {k: a.astype(np.float64) + r.normal(size=a.shape) * 0.1 for k, a in attention_lm.fresh_weights().items()}
+    codes = r.integers(0, attention_lm.IDS * attention_lm.END, 3000)
+    pairs = attention_lm.Pairs(codes[codes % attention_lm.IDS <= attention_lm.END], np.ones((codes % attention_lm.IDS <= attention_lm.END).sum()))
     size = r.integers(1, 4, 30)
     ids, begins, bounds = attention_lm.id_stream(r.integers(0, 30, 95), np.array([0, 50, 45]), size, r.integers(0, 512, size.sum()))
-    first, last = attention_lm.first_and_last(ids, begins)
-    inputs, targets = attention_lm.windows(bounds)
-    assert sorted(targets[targets >= 0]) == list(range(len(begins)))  # each token once
-    rows, goal = attention_lm.embedded(inputs, first, last), np.where(targets >= 0, first[np.maximum(targets, 0)], -1)
-    other = r.random(goal.shape) * 0.01
-    loss = lambda: -np.log(attention_lm.forward(w, inputs, rows, goal, other)).sum() / (goal >= 0).sum()
-    _, state = attention_lm.forward(w, inputs, rows, goal, other, keep=True)
-    grad = attention_lm.backward(w, rows, state)
+    heads = attention_lm.bounds_of_ids(begins, bounds, len(ids))
+    inputs, targets = attention_lm.windows(heads)
+    assert sorted(targets[targets >= 0]) == list(range(len(ids)))  # each id once
+    got = attention_lm.log_probabilities(w, pairs, ids, heads)
+    want = [p for a, b in zip(heads[:-1], heads[1:]) for p in plain_log_probabilities(w, pairs, ids[a:b].tolist())]
+    assert np.allclose(got, want, atol=1e-5)
+    # all that may come next adds up to one
+    every = [math.exp(plain_log_probabilities(w, pairs, [*ids[:20].tolist(), x])[-1]) for x in range(attention_lm.END + 1)]
+    assert sum(every) == pytest.approx(1, abs=1e-6)
+    loss = lambda: -attention_lm.forward(w, pairs, ids, inputs, targets).astype(np.float64).mean()
+    _, state = attention_lm.forward(w, pairs, ids, inputs, targets, keep=True)
+    grad = attention_lm.backward(w, state)
     for k in w:
-        at = (int(first[3]), 2) if k == "emb" else (int(first[5]) // attention_lm.MEMBERS,) + tuple(0 for _ in w[k].shape[1:]) if k[:3] == "mem" else (0,) * w[k].ndim
+        at = (int(ids[3]), 2) if k == "emb" else (int(ids[5]) // attention_lm.MEMBERS, 0, 0) if k == "mem" else (0, 1)
         kept = w[k][at]
-        w[k][at] = kept + 1e-4
-        up = loss()
-        w[k][at] = kept - 1e-4
-        down = loss()
+        values = []
+        for d in (1e-3, -1e-3):
+            w[k][at] = kept + d
+            values.append(loss())
         w[k][at] = kept
-        assert (up - down) / 2e-4 == pytest.approx(grad[k][at], abs=1e-4)
+        assert (values[0] - values[1]) / 2e-3 == pytest.approx(grad[k][at], abs=2e-4)
     # what comes later does not change what was scored before
-    probs = attention_lm.forward(w, inputs, rows, goal, other)
-    changed = [np.array(x) for x in rows]
-    changed[0][:, -1], changed[1][:, -1] = 5, 5
-    assert np.allclose(attention_lm.forward(w, inputs, tuple(changed), goal, other)[:, :-1], probs[:, :-1])
+    changed = ids.copy()
+    changed[heads[1] + 30:heads[2] - 1] = 5
+    again = attention_lm.log_probabilities(w, pairs, changed, heads)
+    assert np.allclose(again[:heads[1] + 30], got[:heads[1] + 30])
+
+
+def test_language_model_learns_from_all_tasks(spark):
+    """Windows of every training text can be drawn, none of a held-out text is."""
+    rows = [(i, f"alpha beta gamma number {i} " * 12) for i in range(60)]
+    docs = frame(spark, rows).select("doc_id", F.col("doc_id").alias("id"), F.xxhash64("text").alias("th"), (F.col("doc_id") % 10 != 0).alias("learn"), "text")
+    payloads = attention_lm._sent(docs, *tokenizers.byte_bpe(), 8).where("kind = 1").select("payload").collect()
+    for share in (1, 3):
+        drawn = set()
+        for salt in range(12):
+            for p in payloads:
+                step = attention_lm.Step(bytes(p.payload))
+                _, targets = attention_lm.chosen_windows(step, salt, share)
+                drawn |= set(step.ids[np.searchsorted(step.heads, targets[:, 0], "right") - 1].tolist())
+        assert drawn == {i for i in range(60) if i % 10}
 
 
 def test_toxicity(spark):
