@@ -28,6 +28,8 @@ ORDER = 5
 WIDTH = 12  # bits of a character code; five fit into a long
 BEGIN, END, OTHER = 1, 2, (1 << WIDTH) - 1
 MODEL_ROWS = 5_000_000
+#: bytes of text whose n-grams are sorted at once
+STEP_BYTES = 1 << 20
 QUANTILE = 0.995
 #: trusted texts below which a language uses the model and threshold of all languages
 LEAST_TRUSTED = 30
@@ -65,15 +67,20 @@ def _grams(codes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def counts(texts: DataFrame) -> DataFrame:
     """lang, gram, c: occurrences of the longest n-grams over all rows of texts (lang, text), and those of ``ALL``."""
     def run(batches: Iterator[pa.RecordBatch]):
-        for part in steps(batches, limit=4 << 20):
+        for part in steps(batches, limit=STEP_BYTES):
             langs = part.column(0).to_pylist()
-            gram, owner = _grams(*_codes(part))
             names = {x: i for i, x in enumerate(dict.fromkeys(langs))}
-            of = np.array([names[x] for x in langs], np.int64)[owner]
-            for name, i in names.items():
-                keys, c = np.unique(gram[of == i], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(keys), pa.string()), pa.array(keys), pa.array(c, pa.int64())],
-                                                 names=["lang", "gram", "c"])
+            of = np.array([names[x] for x in langs], np.int32)
+            gram, owner = _grams(*_codes(part))
+            of = of[owner]
+            del owner
+            order = np.lexsort((gram, of))
+            gram, of = gram[order], of[order]
+            del order
+            first = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (of[1:] != of[:-1])])) if len(gram) else np.zeros(0, np.int64)
+            c = np.diff(np.concatenate([first, [len(gram)]]))
+            lang = pa.array(list(names), pa.string()).take(pa.array(of[first]))
+            yield pa.RecordBatch.from_arrays([lang, pa.array(gram[first]), pa.array(c, pa.int64())], names=["lang", "gram", "c"])
 
     own = texts.select("lang", "text").mapInArrow(run, "lang string, gram long, c long").groupBy("lang", "gram").agg(F.sum("c").alias("c"))
     own = written(own, "grams")
