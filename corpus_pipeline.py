@@ -70,7 +70,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model, rest = piece_model(), tuple(c for c in docs.columns if c not in ("doc_id", "text", "ids", "n_tokens"))
-    back = pieces.decode(pieces.encode(docs, model, keep=rest), model, keep=(*rest, "ids"))
+    back = pieces.encode_and_decode(docs, model, keep=rest)
     return back.select(*[c for c in docs.columns if c not in ("ids", "n_tokens")], "ids", F.size("ids").cast("long").alias("n_tokens"))
 
 
