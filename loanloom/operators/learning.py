@@ -144,8 +144,7 @@ def fit_out_of_fold(
     for i, model in enumerate(models):
         part = model.transform(x.where(F.col("fold") == i)).select(key, "fold", "label", probability().alias("score"))
         oof = part if oof is None else oof.unionByName(part)
-    oof = cut_lineage(oof)
-    x.unpersist()
+    x.unpersist()  # the scores follow from the models and the tables whenever they are asked for
     per_fold = evaluate(oof, "score", "label", ["fold"]).select("fold", "auc")
     scored = None if test is None else mean_score(models, test, features, key)
     return OutOfFold(oof, scored, models, per_fold, importance_table(train.sparkSession, models, features))
