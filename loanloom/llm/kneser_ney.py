@@ -1,5 +1,8 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of characters, trained on trusted text.
 
+The model's symbols are the characters below U+057D (Latin, Greek, Cyrillic and their marks); any other character is two symbols, its
+block of 512 and its place there, so that all characters are told apart and five symbols fit into a long.
+
 The n-gram table of the trusted texts is a DataFrame sharded by n-gram. The highest order has occurrence counts; lower orders
 have continuation counts (number of different characters before the n-gram), each order from the one above. Discounts D1, D2,
 D3+ of each order come from its counts of counts. Each order's probabilities are a join with the sums of its contexts and
@@ -26,7 +29,10 @@ from loanloom.llm.words import steps, text_bytes
 
 ORDER = 5
 WIDTH = 12  # bits of a character code; five fit into a long
-BEGIN, END, OTHER = 1, 2, (1 << WIDTH) - 1
+BEGIN, END = 1, 2
+#: characters that are one symbol, and the first symbols for blocks of 512 characters (2176 of them) and for places in a block
+DIRECT = 1405
+LEAD, TRAIL = 3 + DIRECT, 3 + DIRECT + 2176
 MODEL_ROWS = 5_000_000
 #: bytes of text whose n-grams are sorted at once
 STEP_BYTES = 1 << 20
@@ -39,15 +45,21 @@ ALL = "*"
 
 
 def _codes(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, bounds): per text ORDER - 1 begin marks, its characters, an end mark."""
+    """(codes, bounds): per text ORDER - 1 begin marks, the symbols of its characters, an end mark."""
     data, offsets = text_bytes(part.column(part.schema.get_field_index("text")))
     chars = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
     heads = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
+    wide = chars >= DIRECT
+    at = np.concatenate([[0], np.cumsum(1 + wide)])
+    symbols = np.empty(int(at[-1]), np.int64)
+    symbols[at[:-1]] = np.where(wide, LEAD + (chars >> 9), chars + 3)
+    symbols[at[:-1][wide] + 1] = TRAIL + (chars[wide] & 511)
+    heads = at[heads]
     n = len(offsets) - 1
     bounds = heads + np.arange(n + 1) * ORDER
     out = np.full(int(bounds[-1]), BEGIN, np.int64)
     owner = np.repeat(np.arange(n), np.diff(heads))
-    out[np.arange(len(chars)) + owner * ORDER + ORDER - 1] = np.minimum(chars.astype(np.int64) + 3, OTHER)
+    out[np.arange(len(symbols)) + owner * ORDER + ORDER - 1] = symbols
     out[bounds[1:] - 1] = END
     return out, bounds
 
@@ -135,7 +147,7 @@ def _packed(table: DataFrame, key: str, value: str) -> dict:
     out = {}
     for (lang, k), part in df.groupby(["lang", "k"], dropna=False):
         order = np.argsort(part[key].to_numpy())
-        out[(lang if isinstance(lang, str) else None, int(k))] = (part[key].to_numpy()[order], part[value].to_numpy(np.float32)[order])
+        out[(lang if isinstance(lang, str) else None, int(k))] = (part[key].to_numpy()[order], part[value].to_numpy(float)[order])
     return out
 
 
@@ -160,6 +172,10 @@ def _logs(gram: np.ndarray, lang, probs: dict, backs: dict) -> np.ndarray:
     return out
 
 
+def _characters() -> Column:
+    return F.coalesce(F.char_length("text"), F.lit(0)).alias("n_chars")
+
+
 def _by_broadcast(docs: DataFrame, probs: DataFrame, backs: DataFrame, langs: list) -> DataFrame:
     given = docs.sparkSession.sparkContext.broadcast((_packed(probs, "gram", "logp"), _packed(backs, "context", "logb"), set(langs)))
 
@@ -175,11 +191,10 @@ def _by_broadcast(docs: DataFrame, probs: DataFrame, backs: DataFrame, langs: li
                 mine = (of == name)[owner]
                 keys, back = np.unique(gram[mine], return_inverse=True)
                 total += np.bincount(owner[mine], _logs(keys, name, p, b)[back], part.num_rows)
-            n = np.bincount(owner, minlength=part.num_rows)
-            yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), part.column(1), pa.array(n - 1, pa.int64()), pa.array(total)],
+            yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), part.column(1), part.column(2).cast(pa.int64()), pa.array(total)],
                                              names=["doc_id", "lang", "n_chars", "logp"])
 
-    return docs.select("doc_id", "lang", "text").mapInArrow(run, "doc_id long, lang string, n_chars long, logp double")
+    return docs.select("doc_id", "lang", _characters(), "text").mapInArrow(run, "doc_id long, lang string, n_chars long, logp double")
 
 
 def _by_join(docs: DataFrame, probs: DataFrame, backs: DataFrame, langs: list) -> DataFrame:
@@ -192,11 +207,11 @@ def _by_join(docs: DataFrame, probs: DataFrame, backs: DataFrame, langs: list) -
             first = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (o[1:] != o[:-1])])) if len(g) else np.zeros(0, np.int64)
             c = np.diff(np.concatenate([first, [len(g)]]))
             take = pa.array(o[first], pa.int64())
-            yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), part.column(2).take(take), pa.array(g[first]),
-                                              pa.array(c, pa.int64())], names=["_row", "doc_id", "lang", "gram", "c"])
+            yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), part.column(2).take(take), part.column(3).cast(pa.int64()).take(take),
+                                              pa.array(g[first]), pa.array(c, pa.int64())], names=["_row", "doc_id", "lang", "n_chars", "gram", "c"])
 
-    rows = written(docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "lang", "text"), "rows")
-    df = rows.select("_row", "doc_id", "lang", "text").mapInArrow(run, "_row long, doc_id long, lang string, gram long, c long")
+    rows = written(docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "lang", _characters(), "text"), "rows")
+    df = rows.select("_row", "doc_id", "lang", "n_chars", "text").mapInArrow(run, "_row long, doc_id long, lang string, n_chars long, gram long, c long")
     df = df.withColumn("_own", F.when(F.col("lang").isin([x for x in langs if x]), F.col("lang")).otherwise(F.lit(ALL)))
     df = df.withColumn("lp", F.lit(0.0)).withColumn("done", F.lit(False))
     for k in range(ORDER, 0, -1):
@@ -207,7 +222,7 @@ def _by_join(docs: DataFrame, probs: DataFrame, backs: DataFrame, langs: list) -
             b, (F.col("_own") == F.col("_bl")) & (F.shiftright(low, WIDTH) == F.col("_bc")), "left")
         df = df.withColumn("lp", F.expr("IF(done, lp, lp + coalesce(logp, logb, 0D))")).withColumn("done", F.expr("done OR logp IS NOT NULL"))
         df = df.drop("_pl", "_pg", "logp", "_bl", "_bc", "logb")
-    total = df.groupBy("_row").agg(F.first("doc_id").alias("doc_id"), F.first("lang").alias("lang"), (F.sum("c") - 1).alias("n_chars"),
+    total = df.groupBy("_row").agg(F.first("doc_id").alias("doc_id"), F.first("lang").alias("lang"), F.first("n_chars").alias("n_chars"),
                                    F.sum(F.col("lp") * F.col("c")).alias("logp"))
     return total.select("doc_id", "lang", "n_chars", "logp")
 

@@ -81,6 +81,14 @@ def test_near_duplicates_of_nothing_and_of_null_ids(spark):
     assert sorted([tuple(r) for r in got], key=str) == sorted([(None, 1, 4), (4, 1, 4), (None, 1, None), (None, 0, None), (6, 0, 6)], key=str)
 
 
+def test_near_duplicates_of_one_id_with_two_texts(spark):
+    near = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    rows = [(5, near), (5, "one two three four five six"), (9, near + " zz"), (12, "one two three four five six"), (7, "one two three four five six"),
+            (7, "alone among the texts of this table"), (20, "alone among the texts of this table"), (30, "something else that stands by itself")]
+    got = sorted((x.doc_id, x.n_shingles, x.component_id) for x in jaccard_join.near_duplicates(frame(spark, rows), 4, 85).collect())
+    assert got == sorted([(5, 23, 5), (5, 3, 5), (9, 24, 5), (12, 3, 5), (7, 3, 5), (7, 4, 5), (20, 4, 5), (30, 3, 30)])
+
+
 def test_shingle_hashes_tell_runs_apart():
     texts = ["a b c d e", "a b c d e", "b c d e", "a  b\nc D e", "", "ab c d e", "a b"]
     hashes, bounds = shingles(*text_bytes(pa.array(texts)), 4)
@@ -199,6 +207,68 @@ def test_kneser_ney(spark):
     assert kneser_ney.judged(docs, labels.where("false")).where("kept").count() == 602
 
 
+def plain_kneser_ney(texts, order=5):
+    """ln p(symbol | symbols before) of the interpolated modified model, from dictionaries."""
+    pad = lambda t: ["<"] * (order - 1) + list(t) + [">"]
+    tables = {order: collections.Counter(tuple(s[i - order + 1:i + 1]) for s in map(pad, texts) for i in range(order - 1, len(s)))}
+    for k in range(order - 1, 0, -1):
+        tables[k] = collections.Counter(g[1:] for g in tables[k + 1])
+    backs, probs = {}, {}
+    for k in range(1, order + 1):
+        n = [sum(c == i for c in tables[k].values()) for i in range(1, 5)]
+        y = n[0] / max(n[0] + 2 * n[1], 1)
+        d = [0.5 * i if not n[i - 1] else min(i, max(0.1, i - (i + 1) * y * n[i] / n[i - 1])) for i in (1, 2, 3)]
+        contexts = collections.defaultdict(list)
+        for g, c in tables[k].items():
+            contexts[g[:-1]].append(c)
+        for g, c in tables[k].items():
+            cs = contexts[g[:-1]]
+            spared = sum(min(d[min(x, 3) - 1], x) for x in cs)
+            b = backs[g[:-1]] = spared / sum(cs) / (1 if k > 1 else len(cs) + 1)
+            probs[g] = (c - min(d[min(c, 3) - 1], c)) / sum(cs) + b * (probs[g[1:]] if k > 1 else 1)
+
+    def score(text):
+        s, total = pad(text), 0.0
+        for i in range(order - 1, len(s)):
+            for k in range(order, 0, -1):
+                g = tuple(s[i - k + 1:i + 1])
+                if g in probs:
+                    total += math.log(probs[g])
+                    break
+                total += math.log(backs[g[:-1]]) if g[:-1] in backs else 0
+        return total
+
+    return score
+
+
+def test_kneser_ney_equals_dictionaries(spark):
+    r = random.Random(12)
+    rows = [(i, " ".join(r.choice(["tari", "mone", "lu", "é", "b"]) for _ in range(r.choice([1, 5, 30]))), "en") for i in range(60)]
+    rows += [(200, "never seen: QQ", "en"), (201, "lu " * 20000, "en"), (1, rows[1][1], "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(45)], "doc_id long, quality int")
+    trained = [t for i, t, _ in rows if i < 45 and zlib.crc32(str(i).encode()) % 5]
+    assert len(trained) >= kneser_ney.LEAST_TRUSTED
+    score = plain_kneser_ney(trained)
+    for most in (kneser_ney.MODEL_ROWS, 0):  # model in every task, model joined shard by shard
+        out = kneser_ney.judged(docs, labels, model_rows=most).collect()
+        assert len(out) == len(rows)
+        text = {i: t for i, t, _ in rows}
+        for x in out:
+            assert x.n_chars == len(text[x.doc_id])
+            assert x.perplexity == pytest.approx(math.exp(-score(text[x.doc_id]) / (x.n_chars + 1)), rel=1e-9)
+
+
+def test_kneser_ney_tells_characters_of_all_scripts_apart(spark):
+    trusted = [(i, "".join(chr(0x4E00 + (i * 7 + j) % 60) for j in range(40)), "zh") for i in range(80)]
+    odd = [(500, "".join(chr(0x7000 + j) for j in range(40)), "zh"), (501, "".join(chr(0x3042 + j) for j in range(40)), "zh"), (502, "\U0001F600\U0001F680" * 20, "zh")]
+    docs = spark.createDataFrame(trusted + odd, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(80)], "doc_id long, quality int")
+    out = {x.doc_id: x for x in kneser_ney.judged(docs, labels).collect()}
+    assert all(out[i].kept for i in range(70)) and not any(out[i].kept for i in (500, 501, 502))
+    assert all(x.n_chars == 40 for x in out.values())
+
+
 def test_kneser_ney_threshold_counts_equal_texts(spark):
     r = random.Random(3)
     held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
