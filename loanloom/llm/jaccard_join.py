@@ -2,14 +2,15 @@
 
 The Jaccard distance is a metric. Sets within ``reach`` = 1 - similarity of each other are to be linked.
 
-1. Texts with equal sets are one class; a class is joined once and named by its smallest doc_id.
+1. Texts with equal sets are one class; a class is joined once and named by its smallest doc_id (by a hash where that id has
+   texts with other sets too).
 2. Pivots and regions. In a fixed order of all shingles (common ones last), two sets within reach share a shingle among
    the first ``n - ceil(similarity * n) + 1`` of each. The smallest class that holds a leading shingle is the pivot of all
    classes that hold it, so each class belongs to the regions of the pivots that its leading shingles name, and any two
    classes within reach meet in a region. Regions are the Voronoi cells with their boundary copies: a class is copied into
    every region where it may have a partner, and only there.
-3. Windows. In a region, a class stays if some other one lies within its windows: the sizes (distance from the empty set)
-   and the counts of shingles by hash bucket (a map into an L1 space that never lengthens a symmetric difference) must not
+3. Windows. In a region, a class stays if some other one lies within its windows: first the sizes alone (distance from the
+   empty set), by counts; then the sizes and the counts of shingles by hash bucket (a map into an L1 space that never lengthens a symmetric difference) must not
    differ by more than ``reach`` allows. This is the triangle inequality on small sketches; no link is lost.
 4. Recursion. A region too large for one task computes the exact distance of its members to the pivot. Members within
    reach are linked to the pivot and hence to each other; members within 2 x reach are compared with those in blocks; and
@@ -21,6 +22,7 @@ Links never leave a task as all pairs of a group: regions give at most one link
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -39,6 +41,8 @@ SKETCH_BITS = 20
 LEAF_MEMBERS, LEAF_SHINGLES = 1500, 4_000_000
 #: members of a region whose sketches one task compares
 SKETCH_MEMBERS = 6000
+#: bits of the table that tells which texts are needed again (2 MB at any size)
+ID_BITS = 24
 #: pivot rounds of large regions before the rest is compared in blocks
 ROUNDS = 3
 
@@ -80,8 +84,9 @@ def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
             n, s1, s2, prefix, sketch = [], [], [], [], []
             for x in _sets(part, size):
                 n.append(len(x))
-                s1.append(int(x.sum(dtype=np.uint64).astype(np.int64)))
-                s2.append(int(mixed(x ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)))
+                one, two = _name(x)
+                s1.append(one)
+                s2.append(two)
                 lead = len(x) - (percent * len(x) + 99) // 100 + 1 if len(x) else 0
                 order = (x >> np.uint64(1)) | (late[(x >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(63))
                 prefix.append(np.sort(order)[:lead].view(np.int64))
@@ -100,6 +105,11 @@ def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, s1 long, s2 long, prefix array<long>, sketch binary")
 
 
+def _name(x: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set, with its size the set's name."""
+    return (int(x.sum(dtype=np.uint64).astype(np.int64)), int(mixed(x ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)))
+
+
 def _by_region(rows: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
     """Run ``work`` on the rows of each region (a bounded number). Regions are read one after another from sorted rows: far
     less per-group cost than a grouped map where most regions have two rows."""
@@ -236,29 +246,65 @@ def _distances(rows: DataFrame) -> DataFrame:
     return rows.select("region", "rep", "pivot", "items", "pivot_items").mapInArrow(run, "region long, rep long, pivot long, i long, u long")
 
 
+def _with_company(members: DataFrame, percent: int) -> DataFrame:
+    """Members (region, rep, n) of a region that have another one of nearly their size. Sizes within reach of each other lie in
+    the same or in neighbouring bands of a geometric scale, so that counts by (region, band) are enough."""
+    width = math.log(100 / min(percent, 99)) * (1 + 1e-6)  # a little wider, so that rounding cannot part two sizes further
+    banded = members.withColumn("band", F.floor(F.log("n") / F.lit(width)).cast("int"))
+    counts = banded.groupBy("region", "band").agg(F.count("*").alias("c"))
+    around = counts.select("region", "c", F.explode(F.array(*[F.struct((F.col("band") + d).alias("band"), F.lit(d == 0).alias("own")) for d in (-1, 0, 1)])).alias("x"))
+    full = around.groupBy("region", "x.band").agg(F.sum("c").alias("c"), F.max("x.own").alias("own")).where("own AND c > 1")
+    return banded.join(full.select("region", "band"), ["region", "band"], "left_semi").drop("band")
+
+
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of docs whose doc_id may be among ``wanted`` (of): a table of 2^ID_BITS bits, whatever the number of rows, keeps most
+    of the other texts out of the join that follows."""
+    bucket = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(1 << ID_BITS)).cast("int")
+    words = wanted.select(bucket("of").alias("b")).groupBy(F.expr("b DIV 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, b % 64))").alias("bits")).toArrow()
+    table = np.zeros((1 << ID_BITS) // 64, np.int64)
+    table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    given = docs.sparkSession.sparkContext.broadcast(table.tobytes())
+
+    def run(batches):
+        bits = np.frombuffer(given.value, np.uint64)
+        for batch in batches:
+            at = batch.column(2).to_numpy()
+            there = (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+            yield batch.filter(pa.array(there.astype(bool))).select([0, 1])
+
+    rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text", bucket("doc_id").alias("_b"))
+    return rows.mapInArrow(run, "doc_id long, text string")
+
+
 def links(docs: DataFrame, classes: DataFrame, size: int, percent: int, leaf_members: int = LEAF_MEMBERS) -> DataFrame:
-    """(a, b): links between class names that connect exactly the classes that similarity links connect."""
-    tokens = classes.where("rep IS NOT NULL").select("rep", F.explode("prefix").alias("token"))
+    """(a, b): links between class names that connect exactly the classes that similarity links connect. ``classes`` has rep (the
+    name), of (the doc_id of a text that has the set), n, s1, s2, prefix and sketch."""
+    tokens = classes.where("rep IS NOT NULL").select("rep", "n", F.explode("prefix").alias("token"))
     named = tokens.groupBy("token").agg(F.count("*").alias("c"), F.min("rep").alias("region")).where("c > 1").select("token", "region")
-    members = tokens.join(named, "token").select("region", "rep").distinct()
-    rows = written(members.join(classes.select("rep", "n", "sketch"), "rep"), "members")
-    sizes = rows.groupBy("region").agg(F.count("*").alias("members"))
-    rows = rows.join(sizes, "region")
+    members = written(_with_company(tokens.join(named, "token").select("region", "rep", "n").distinct(), percent), "members")
+    sizes = members.groupBy("region").agg(F.count("*").alias("members"))
+    rows = members.join(sizes, "region")
     blocks = _sliced(rows, F.expr(f"IF(members <= {SKETCH_MEMBERS}, 1, CAST(ceil(members / {SKETCH_MEMBERS // 2}) AS INT))"))
+    blocks = blocks.join(classes.select("rep", "sketch"), "rep")
     near = _by_region(blocks.select("region", "rep", "n", "sketch", "side"), _may_link(percent), "region long, rep long, side int")
     near = written(near, "near")
 
     # the sets of those that are left
-    wanted = near.select("rep").distinct()
+    wanted = near.select("rep").distinct().join(classes.select("rep", "of", "n", "s1", "s2"), "rep")
 
     def whole(batches):
         for part in steps(batches):
-            items = [x.tobytes() for x in _sets(part, size)]
-            yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(items, pa.binary())], names=["rep", "items"])
+            reps, items = [], []
+            for rep, n, s1, s2, x in zip(*(part.column(i).to_pylist() for i in range(4)), _sets(part, size)):
+                if (len(x), *_name(x)) == (n, s1, s2):  # of the texts of one id, those that have the set
+                    reps.append(rep)
+                    items.append(x.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(items, pa.binary())], names=["rep", "items"])
 
-    texts = docs.select("doc_id", "text").join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id")
-    sets = written(texts.select("doc_id", "text").mapInArrow(whole, "rep long, items binary"), "sets")
-    sets = sets.join(classes.select("rep", "n"), "rep").where(F.length("items") == 8 * F.col("n")).dropDuplicates(["rep"])
+    texts = _texts_of(docs, wanted).join(wanted, F.col("doc_id") == F.col("of"))
+    sets = written(texts.select("rep", "n", "s1", "s2", "text").mapInArrow(whole, "rep long, items binary"), "sets")
+    sets = sets.dropDuplicates(["rep"]).withColumn("n", F.expr("CAST(length(items) DIV 8 AS INT)"))
 
     sizes = written(near.join(sets.select("rep", "n"), "rep").groupBy("region").agg(
         F.count("*").alias("members"), F.sum("n").alias("weight"), F.max("side").alias("sides")), "sizes")
@@ -321,12 +367,32 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, leaf_memb
     if not 50 < percent <= 100:
         raise ValueError("percent must lie above 50 and up to 100")
     sigs = written(signatures(docs, size, percent), "signatures")
-    classes = written(sigs.where("n > 0").groupBy("n", "s1", "s2").agg(
-        F.min("doc_id").alias("rep"), F.any_value("prefix").alias("prefix"), F.any_value("sketch").alias("sketch")), "classes")
-    labels = component_labels(links(docs, classes, size, percent, leaf_members))
-    named = classes.select("n", "s1", "s2", "rep").join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").select(
-        F.col("n").alias("_n"), F.col("s1").alias("_s1"), F.col("s2").alias("_s2"), F.coalesce("label", "rep").alias("component_id"))
-    out = sigs.select("doc_id", "n", "s1", "s2").join(
-        named, (F.col("n") == F.col("_n")) & (F.col("s1") == F.col("_s1")) & (F.col("s2") == F.col("_s2")), "left")
+    name = F.struct("n", "s1", "s2")
+    classes = sigs.where("n > 0").groupBy("n", "s1", "s2").agg(
+        F.min("doc_id").alias("of"), F.any_value("prefix").alias("prefix"), F.any_value("sketch").alias("sketch"))
+    # ids whose texts have different sets: a class is named by its smallest id, or by a hash where that id names another one
+    several = sigs.where("n > 0 AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.min(name).alias("first"), F.max(name).alias("last"))
+    several = written(several.where("first <> last").select("_id", "first"), "several")
+    repeated = several.limit(1).count() > 0
+    if repeated:
+        other = F.col("first").isNotNull() & (F.col("first") != name)
+        classes = classes.join(several, F.col("of") == F.col("_id"), "left").withColumn(
+            "rep", F.when(other, F.xxhash64("of", "n", "s1", "s2")).otherwise(F.col("of"))).drop("_id", "first")
+    else:
+        classes = classes.withColumn("rep", F.col("of"))
+    classes = written(classes, "classes")
+    names = classes.select(*[F.col(c).alias(f"_{c}") for c in ("n", "s1", "s2", "rep", "of")])
+    same = (F.col("n") == F.col("_n")) & (F.col("s1") == F.col("_s1")) & (F.col("s2") == F.col("_s2"))
+    found = links(docs, classes, size, percent, leaf_members)
+    if repeated:  # texts of one id are linked
+        sets = sigs.where("n > 0").join(several, F.col("doc_id") == F.col("_id")).select("n", "s1", "s2", "first").distinct()
+        ends = sets.join(names, same).select(F.col("_rep").alias("a"), "first.*").join(names, same).select("a", F.col("_rep").alias("b"))
+        found = found.unionByName(ends.where("a <> b"))
+    labels = component_labels(found).select(F.col("id").alias("_id"), "label")
+    named = names.join(labels, F.col("_rep") == F.col("_id"), "left").withColumn("component_id", F.coalesce("label", "_rep"))
+    if repeated:
+        least = named.groupBy(F.col("component_id").alias("_c")).agg(F.min("_of").alias("least"))
+        named = named.join(least, F.col("component_id") == F.col("_c"), "left").withColumn("component_id", F.col("least"))
+    out = sigs.select("doc_id", "n", "s1", "s2").join(named.select("_n", "_s1", "_s2", "component_id"), same, "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(
         F.col("doc_id")).alias("component_id"))
