@@ -72,8 +72,9 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int
         prints = F.broadcast(prints)
 
     texts = docs.select("doc_id", content_words(F.col("text")).alias("w"))
+    # every document's own row has a hash that matches nothing: a key of its own where the join shuffles
     marks = _kept(texts, window, gram, short).select("doc_id", F.inline_outer(F.expr(
-        "concat(array(struct(-1 AS kind, n AS pos, 0L AS hash)), marks)")))
+        "concat(array(struct(-1 AS kind, n AS pos, xxhash64(doc_id, n) AS hash)), marks)")))
     known = prints.select(F.col("kind").alias("_kind"), F.col("hash").alias("_hash"))
     found = marks.join(known, (F.col("kind") == F.col("_kind")) & (F.col("hash") == F.col("_hash")), "left")
     found = written(found.where("kind = -1 OR _hash IS NOT NULL").select("doc_id", "kind", "pos"), "found")
