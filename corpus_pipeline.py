@@ -44,11 +44,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = jaccard_join.near_duplicates(docs, size=5, percent=80)
-    left = _staying(docs, found.where("component_id IS NULL OR doc_id = component_id"))
+    # structs of null fields are equal; join and window share the shuffle on the key, so texts travel once
+    key, copy = free("key", docs), free("copy", docs)
+    stays = found.where("component_id IS NULL OR doc_id = component_id").select(F.struct("doc_id").alias(key)).distinct()
+    left = docs.withColumn(key, F.struct("doc_id")).join(stays, key, "left_semi")
     others = [F.col(c).cast("string") for c in docs.columns if c not in ("doc_id", "text")]
-    one = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(*others or [F.lit(0)])
-    copy = free("copy", docs)
-    return left.withColumn(copy, F.row_number().over(one)).where(F.col(copy) == 1).drop(copy)
+    one = Window.partitionBy(key, F.xxhash64("text")).orderBy(*others or [F.lit(0)])
+    return left.withColumn(copy, F.row_number().over(one)).where(F.col(copy) == 1).drop(key, copy)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
