@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, IDF, NGram, Normalizer, RegexTokenizer
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, IDF, NGram, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
@@ -19,27 +19,39 @@ from loanloom.session import hold
 def tfidf(df: DataFrame, text: str, keep: Sequence[str], terms: int = 500) -> tuple[DataFrame, list[str]]:
     """Unit-length TF-IDF vectors over the most frequent words and word pairs.
 
-    Words have at least two letters; idf = ln((1 + n) / (1 + df)) + 1.
+    Words have at least two letters; idf = ln((1 + n) / (1 + df)) + 1. The terms are counted by a grouping, which spills where a
+    vocabulary exceeds the memory, and terms of equal frequency go by name; only the counts of the chosen terms are held.
     """
     from pyspark.ml.linalg import Vectors
 
     filled = df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"))
     words = RegexTokenizer(inputCol="_text", outputCol="_w", pattern=r"(?U)\b\w\w+\b", gaps=False).transform(filled)
     pairs = NGram(n=2, inputCol="_w", outputCol="_p").transform(words)
-    grams = hold(pairs.select(*keep, F.concat("_w", "_p").alias("_g")))
-    counter = CountVectorizer(inputCol="_g", outputCol="_tf", vocabSize=terms).fit(grams)
-    counts = counter.transform(grams)
+    grams = pairs.select(*keep, F.concat("_w", "_p").alias("_g"))
+    met = grams.select(F.explode("_g").alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    vocabulary = [r["term"] for r in met.orderBy(F.desc("n"), "term").limit(terms).collect()]
+    if not vocabulary:
+        raise ValueError("the texts have no words")
+    counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_g", outputCol="_tf")
+    counts = hold(counter.transform(grams).select(*keep, "_tf"))
     idf = IDF(inputCol="_tf", outputCol="_x").fit(counts).idf
     weights = Vectors.dense([float(v) + 1.0 for v in idf])
     scaled = ElementwiseProduct(scalingVec=weights, inputCol="_tf", outputCol="_s").transform(counts)
-    return Normalizer(p=2.0, inputCol="_s", outputCol="tfidf").transform(scaled).select(*keep, "tfidf"), counter.vocabulary
+    return Normalizer(p=2.0, inputCol="_s", outputCol="tfidf").transform(scaled).select(*keep, "tfidf"), vocabulary
 
 
 def text_components(df: DataFrame, text: str, key: str, components: int = 10, terms: int = 500) -> DataFrame:
-    """TF-IDF reduced to its leading singular directions; the sign makes each direction's largest weight positive."""
+    """TF-IDF reduced to its leading singular directions; the sign makes each direction's largest weight positive.
+
+    The directions are the eigenvectors of the terms' cross products, a matrix of terms x terms that one pass sums up.
+    """
     x, _ = tfidf(df, text, [key], terms)
-    x = hold(x)
-    v = np.array(RowMatrix(MLUtils.convertVectorColumnsFromML(x.select("tfidf"), "tfidf")).computeSVD(components).V.toArray())
+    square = RowMatrix(MLUtils.convertVectorColumnsFromML(x.select("tfidf"), "tfidf")).computeGramianMatrix().toArray()
+    if components > len(square):
+        raise ValueError(f"{components} components of {len(square)} terms")
+    power, v = np.linalg.eigh(square)
+    there = np.sqrt(np.maximum(power, 0)) > 1e-9 * np.sqrt(power[-1])  # as computeSVD has it
+    v = v[:, there][:, ::-1][:, :components]
     v = v * np.sign(v[np.abs(v).argmax(axis=0), range(v.shape[1])])
 
     @F.pandas_udf("array<double>")
