@@ -74,16 +74,21 @@ def fit_scorecard(df: DataFrame, features: Sequence[str], label: str, c: float =
 
 
 def fit_scorecard_cv(df: DataFrame, features: Sequence[str], label: str, key: str, strengths=(0.01, 0.1, 1.0), folds: int = 5):
-    """Strength chosen by cross-validated AUC, then refitted on all rows. Returns (card, table of AUCs)."""
+    """Strength chosen by cross-validated AUC, then refitted on all rows. Returns (card, table of AUCs).
+
+    Rows equal in features, label and fold are one row with their summed weight: loss and AUC are the same, and of binned features
+    the table stays as large as the bins allow.
+    """
     weighted = with_class_weight(df, label).withColumns({"label": F.col(label).cast("double"), "fold": fold_of(key, folds)})
-    x = hold(assemble(weighted, features, ["label", "weight", "fold"]))
-    n = float(x.count()) * (folds - 1) / folds
+    merged = weighted.groupBy("label", "fold", *features).agg(F.sum("weight").alias("weight"), F.count("*").cast("double").alias("rows"))
+    held, x, _ = training_rows(assemble(merged, features, ["label", "weight", "rows", "fold"]))
+    n = float(x.agg(F.sum("rows")).first()[0] or 0) * (folds - 1) / folds
     lr = _logistic(1.0, n, "weight")
     grid = ParamGridBuilder().addGrid(lr.regParam, [1 / (c * n) for c in strengths]).build()
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(), numFolds=folds,
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(weightCol="rows"), numFolds=folds,
                         foldCol="fold", parallelism=min(4, len(strengths)))
     aucs = cv.fit(x).avgMetrics
-    x.unpersist()
+    held.unpersist()
     best = strengths[int(np.argmax(aucs))]
     table = small_frame(df.sparkSession, [{"c": float(c), "auc": float(a)} for c, a in zip(strengths, aucs)])
     return fit_scorecard(df, features, label, best), table
