@@ -481,12 +481,11 @@ def test_pipeline_stages_on_odd_rows(spark, tmp_path):
             assert got.count() <= table.count()
 
 
-def test_rounds_deal_every_training_window_once():
+def test_every_round_learns_from_every_training_window():
     payload = attention_lm.Step.packed(
         np.arange(3), np.array([11, 12, 13]), np.array([1, 0, 1]), np.array([200, 90, 1]), np.array([2, 1]), np.array([5, 6, 7]), np.array([0, 1]), 2,
         np.arange(291) % 2)
     step = attention_lm.Step(payload)
-    goals = [attention_lm.chosen_windows(step, r, attention_lm.ROUNDS)[1] for r in range(attention_lm.ROUNDS)]
-    ids = np.sort(np.concatenate([g[g >= 0] for g in goals]))
     learnt = np.concatenate([np.arange(step.heads[i], step.heads[i + 1]) for i in (0, 2)])
-    assert ids.tolist() == learnt.tolist() and all(len(g) for g in goals)
+    one, two = (attention_lm.training_windows(step, r)[1] for r in range(2))
+    assert all(np.sort(goal[goal >= 0]).tolist() == learnt.tolist() for goal in (one, two)) and (one != two).any()
