@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+
 from loanloom.operators import graph
 
 
@@ -22,3 +24,30 @@ def test_paths_of_squares_are_not_written(spark, monkeypatch):
     edges = spark.createDataFrame([(a, b) for a in range(5) for b in range(5) if a != b], "src long, dst long")
     found = {x.id: x.squares for x in graph.squares(edges).collect()}
     assert found == dict.fromkeys(range(5), 12) and ["v", "u", "w"] not in written
+
+
+def test_a_hub_fills_many_batches(spark):
+    """A vertex with more neighbours than a batch holds, neighbours that are no vertices, and vertices nobody leads to."""
+    limit = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        pairs = [(0, i) for i in range(1, 60)] + [(i, 0) for i in range(1, 30)] + [(3, 4), (3, 4), (4, 3), (5, 5), (6, 99), (98, 6)]
+        edges = spark.createDataFrame([(a, b) for a, b in pairs] + [(None, 1), (1, None)], "src long, dst long")
+        vertices = spark.range(70).withColumnRenamed("id", "v")
+        seeds = {x.v: np.array(x.s) for x in vertices.select("v", graph.seed_vector("v", 40, 7).alias("s")).collect()}
+        got = {x.v: x.vector for x in graph.walk_embeddings(edges, vertices, "v", size=40, rounds=3, seed=7).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", limit)
+    far = {v: {b for a, b in pairs if a == v and b != v and b in seeds} for v in seeds}
+    for k in range(3):
+        seeds = {v: sum(seeds[b] for b in far[v]) // len(far[v]) if far[v] else np.zeros(40, int) for v in far}
+        assert {v: x[40 * k:40 * (k + 1)] for v, x in got.items()} == {v: (x / graph.EMBEDDING_ONE).tolist() for v, x in seeds.items()}
+
+
+def test_embeddings_send_no_sums_of_every_component(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(graph, "cut_lineage", lambda df: written.append(df) or df)
+    edges = spark.createDataFrame([(1, 2), (2, 1)], "src long, dst long")
+    graph.walk_embeddings(edges, spark.range(4).withColumnRenamed("id", "v"), "v", size=64, rounds=2)
+    assert all(f.dataType.simpleString() in ("bigint", "binary") for df in written for f in df.schema)
+    assert all("sum(" not in df._jdf.queryExecution().optimizedPlan().toString() for df in written)
