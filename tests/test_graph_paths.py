@@ -51,3 +51,23 @@ def test_embeddings_send_no_sums_of_every_component(spark, monkeypatch):
     graph.walk_embeddings(edges, spark.range(4).withColumnRenamed("id", "v"), "v", size=64, rounds=2)
     assert all(f.dataType.simpleString() in ("bigint", "binary") for df in written for f in df.schema)
     assert all("sum(" not in df._jdf.queryExecution().optimizedPlan().toString() for df in written)
+
+
+def test_links_of_a_rank_are_dealt_once(spark, monkeypatch):
+    rounds, write = [], graph.cut_lineage
+
+    def spied(df):
+        if "_was" in df.columns:
+            rounds.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(graph, "cut_lineage", spied)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        edges = spark.createDataFrame([(0, 1), (1, 0), (1, 2), (2, 1)], "src long, dst long")
+        ranks = {x.v: x["rank"] for x in graph.page_rank(edges, spark.range(4).withColumnRenamed("id", "v"), "v", rounds=3).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert abs(sum(ranks.values()) - 1) < 1e-9 and ranks[1] > ranks[0] == ranks[2] > ranks[3]
+    assert len(rounds) == 3 and not any(re.search(r"hashpartitioning\(src#\d+L, \d+\), ENSURE", plan) for plan in rounds)
