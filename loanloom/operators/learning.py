@@ -9,12 +9,12 @@ from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, IsotonicRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.util import inheritable_thread_target
 
@@ -73,16 +73,88 @@ def fit_scorecard(df: DataFrame, features: Sequence[str], label: str, c: float =
     return Scorecard(model, list(features))
 
 
+def _fit_sums(x: DataFrame, features: Sequence[str], without: np.ndarray, beta: np.ndarray) -> np.ndarray:
+    """For every model, over the rows outside of its fold: weight, weight of label 1, loss, gradient and Hessian at ``beta`` (the
+    last coefficient is the intercept). One pass over the rows; a task sends one sum per number."""
+    models, k = beta.shape
+
+    def run(batches):
+        total = np.zeros((models, 3 + k + k * k))
+        for batch in batches:
+            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            rows = np.column_stack([*cols[3:], np.ones(batch.num_rows)])
+            y, weight, fold = cols[:3]
+            for m in range(models):
+                z = rows @ beta[m]
+                w = weight * (fold != without[m])
+                soft = np.logaddexp(0, z)
+                p = np.exp(z - soft)
+                total[m, :3] += w.sum(), w @ y, w @ (soft - y * z)
+                total[m, 3:3 + k] += (w * (p - y)) @ rows
+                total[m, 3 + k:] += (((w * p * (1 - p))[:, None] * rows).T @ rows).ravel()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size, dtype=np.int32)), pa.array(total.ravel())], names=["at", "v"])
+
+    sums = x.select("label", "weight", "fold", *features).mapInArrow(run, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).toArrow()
+    out = np.zeros(models * (3 + k + k * k))
+    out[sums["at"].to_numpy()] = sums["v"].to_numpy()
+    return out.reshape(models, -1)
+
+
+def fit_without_folds(x: DataFrame, features: Sequence[str], without: Sequence[int], penalties: Sequence[float], passes: int = 100) -> np.ndarray:
+    """Coefficients (the intercept last) of L2 regressions, model m on the rows of x (label, weight, fold, features) whose fold is not
+    ``without[m]``: all models advance together, a Newton step per pass over the rows, halved where a model's loss would rise. The
+    loss is MLlib's: mean weighted log loss plus half the penalty times the squared coefficients."""
+    without, penalties, k = np.asarray(without), np.asarray(penalties, float), len(features) + 1
+    at, step, endless = np.zeros((len(without), k)), np.zeros((len(without), k)), np.zeros(len(without))
+    least, open_ = np.full(len(without), np.inf), set(range(len(without)))
+    for _ in range(passes):
+        sums = _fit_sums(x, features, without, at - step)
+        if not np.isfinite(sums).all():
+            raise ValueError("labels and features must be numbers")
+        for m in sorted(open_):
+            n, ones, loss = sums[m, :3]
+            if not n:
+                raise ValueError(f"no training rows outside of fold {without[m]}")
+            if ones in (0, n):  # one class: its log odds are infinite
+                endless[m] = np.inf if ones else -np.inf
+                open_.discard(m)
+                continue
+            there, penalty = at[m] - step[m], np.full(k, penalties[m])
+            penalty[-1] = 0
+            loss = loss / n + (penalty * there ** 2).sum() / 2
+            if loss > least[m] + 1e-12:
+                step[m] /= 2
+                continue
+            least[m], at[m] = loss, there
+            gradient = sums[m, 3:3 + k] / n + penalty * there
+            hessian = sums[m, 3 + k:].reshape(k, k) / n + np.diag(penalty)
+            scale = np.sqrt(np.maximum(np.diag(hessian), 1e-300))
+            step[m] = np.linalg.lstsq(hessian / np.outer(scale, scale), gradient / scale, rcond=None)[0] / scale
+            if gradient @ step[m] < 1e-13:
+                at[m], step[m] = at[m] - step[m], 0
+                open_.discard(m)
+        if not open_:
+            break
+    at[:, -1] += endless
+    return at
+
+
 def fit_scorecard_cv(df: DataFrame, features: Sequence[str], label: str, key: str, strengths=(0.01, 0.1, 1.0), folds: int = 5):
     """Strength chosen by cross-validated AUC, then refitted on all rows. Returns (card, table of AUCs)."""
-    weighted = with_class_weight(df, label).withColumns({"label": F.col(label).cast("double"), "fold": fold_of(key, folds)})
-    x = hold(assemble(weighted, features, ["label", "weight", "fold"]))
+    weighted = with_class_weight(df, label).withColumns({"_label": F.col(label).cast("double"), "_fold": fold_of(key, folds)})
+    names = [f"x{i}" for i in range(len(features))]  # a feature may have any name
+    filled = [F.coalesce(F.col(c).cast("double"), F.lit(MISSING_VALUE)).alias(n) for c, n in zip(features, names)]
+    x = hold(weighted.select(F.col("_label").alias("label"), "weight", F.col("_fold").alias("fold"), *filled))
     n = float(x.count()) * (folds - 1) / folds
-    lr = _logistic(1.0, n, "weight")
-    grid = ParamGridBuilder().addGrid(lr.regParam, [1 / (c * n) for c in strengths]).build()
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(), numFolds=folds,
-                        foldCol="fold", parallelism=min(4, len(strengths)))
-    aucs = cv.fit(x).avgMetrics
+    models = [(i, c) for i in range(folds) for c in strengths]
+    beta = fit_without_folds(x.where("fold IS NOT NULL"), names, [i for i, _ in models], [1 / (c * n) for _, c in models])
+
+    def auc(m: int) -> float:
+        margin = sum((F.col(name) * float(b) for name, b in zip(names, beta[m])), F.lit(float(beta[m, -1])))
+        scored = x.where(F.col("fold") == models[m][0]).select("label", margin.alias("rawPrediction"))
+        return BinaryClassificationEvaluator().evaluate(scored)
+
+    aucs = np.mean(np.reshape(side_by_side(auc, range(len(models))), (folds, len(strengths))), axis=0)
     x.unpersist()
     best = strengths[int(np.argmax(aucs))]
     table = small_frame(df.sparkSession, [{"c": float(c), "auc": float(a)} for c, a in zip(strengths, aucs)])
