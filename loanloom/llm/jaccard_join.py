@@ -246,6 +246,26 @@ def _distances(rows: DataFrame) -> DataFrame:
     return rows.select("region", "rep", "pivot", "items", "pivot_items").mapInArrow(run, "region long, rep long, pivot long, i long, u long")
 
 
+def _regions(tokens: DataFrame) -> DataFrame:
+    """(region, rep, n) of the tokens (rep, n, token) that several classes hold; the region is the smallest of them. Rows may repeat.
+    Tokens are many times the classes, so they are shuffled once and read in order."""
+    def run(batches):
+        first = [np.zeros(0, np.int64)] * 3  # the last token's first row, which goes on in the next batch
+        for batch in batches:
+            rep, n, token = (np.concatenate([f, c.to_numpy()]) for f, c in zip(first, batch.columns))
+            if not len(token):
+                continue
+            cuts = np.concatenate([[0], np.flatnonzero(token[1:] != token[:-1]) + 1, [len(token)]])
+            held = np.diff(cuts)
+            region, several = np.repeat(rep[cuts[:-1]], held), np.repeat(held > 1, held)
+            first = [c[cuts[-2]:cuts[-2] + 1] for c in (rep, n, token)]
+            yield pa.RecordBatch.from_arrays([pa.array(region[several]), pa.array(rep[several]), pa.array(n[several], pa.int32())],
+                                             names=["region", "rep", "n"])
+
+    rows = tokens.select("rep", "n", "token").repartition(F.col("token")).sortWithinPartitions("token", "rep")
+    return rows.mapInArrow(run, "region long, rep long, n int")
+
+
 def _with_company(members: DataFrame, percent: int) -> DataFrame:
     """Members (region, rep, n) of a region that have another one of nearly their size. Sizes within reach of each other lie in
     the same or in neighbouring bands of a geometric scale, so that counts by (region, band) are enough."""
@@ -257,6 +277,19 @@ def _with_company(members: DataFrame, percent: int) -> DataFrame:
     return banded.join(full.select("region", "band"), ["region", "band"], "left_semi").drop("band")
 
 
+def _outer(near: DataFrame) -> DataFrame:
+    """Rows (region, rep, side) without the regions whose members all lie in another region too, where all their pairs meet as well.
+    The other one is the lowest region of the region's lowest member, if it is lower still: so a chain of them ends in one that stays."""
+    whole = near.where("side = 0").select("region", "rep").distinct()
+    homes = whole.groupBy("rep").agg(F.min("region").alias("home"))
+    leads = near.groupBy("region").agg(F.min("rep").alias("rep"))
+    inner = leads.join(homes, "rep").where("home < region").select("region", "home")
+    there = whole.select(F.col("region").alias("home"), "rep", F.lit(True).alias("there"))
+    inner = near.join(inner, "region").join(there, ["home", "rep"], "left").groupBy("region").agg(
+        F.count("*").alias("c"), F.count("there").alias("both")).where("c = both").select("region")
+    return near.join(inner, "region", "left_anti")
+
+
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows of docs whose doc_id may be among ``wanted`` (of): a table of 2^ID_BITS bits, whatever the number of rows, keeps most
     of the other texts out of the join that follows."""
@@ -281,32 +314,35 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int, leaf_mem
     """(a, b): links between class names that connect exactly the classes that similarity links connect. ``classes`` has rep (the
     name), of (the doc_id of a text that has the set), n, s1, s2, prefix and sketch."""
     tokens = classes.where("rep IS NOT NULL").select("rep", "n", F.explode("prefix").alias("token"))
-    named = tokens.groupBy("token").agg(F.count("*").alias("c"), F.min("rep").alias("region")).where("c > 1").select("token", "region")
-    members = written(_with_company(tokens.join(named, "token").select("region", "rep", "n").distinct(), percent), "members")
+    shared = written(_regions(tokens).distinct(), "shared")
+    members = written(_with_company(shared, percent), "members")
     sizes = members.groupBy("region").agg(F.count("*").alias("members"))
     rows = members.join(sizes, "region")
     blocks = _sliced(rows, F.expr(f"IF(members <= {SKETCH_MEMBERS}, 1, CAST(ceil(members / {SKETCH_MEMBERS // 2}) AS INT))"))
     blocks = blocks.join(classes.select("rep", "sketch"), "rep")
     near = _by_region(blocks.select("region", "rep", "n", "sketch", "side"), _may_link(percent), "region long, rep long, side int")
-    near = written(near, "near")
+    near = written(_outer(written(near, "near")), "outer")
 
     # the sets of those that are left
     wanted = near.select("rep").distinct().join(classes.select("rep", "of", "n", "s1", "s2"), "rep")
 
     def whole(batches):
         for part in steps(batches):
-            reps, items = [], []
+            reps, sizes, items = [], [], []
             for rep, n, s1, s2, x in zip(*(part.column(i).to_pylist() for i in range(4)), _sets(part, size)):
                 if (len(x), *_name(x)) == (n, s1, s2):  # of the texts of one id, those that have the set
                     reps.append(rep)
+                    sizes.append(n)
                     items.append(x.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(items, pa.binary())], names=["rep", "items"])
+            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(sizes, pa.int32()), pa.array(items, pa.binary())],
+                                             names=["rep", "n", "items"])
 
     texts = _texts_of(docs, wanted).join(wanted, F.col("doc_id") == F.col("of"))
-    sets = written(texts.select("rep", "n", "s1", "s2", "text").mapInArrow(whole, "rep long, items binary"), "sets")
-    sets = sets.dropDuplicates(["rep"]).withColumn("n", F.expr("CAST(length(items) DIV 8 AS INT)"))
+    sets = written(texts.select("rep", "n", "s1", "s2", "text").mapInArrow(whole, "rep long, n int, items binary"), "sets")
+    lengths = sets.select("rep", "n").distinct()  # without the sets themselves, which are shuffled for their joins alone
+    sets = sets.dropDuplicates(["rep"])
 
-    sizes = written(near.join(sets.select("rep", "n"), "rep").groupBy("region").agg(
+    sizes = written(near.join(lengths, "rep").groupBy("region").agg(
         F.count("*").alias("members"), F.sum("n").alias("weight"), F.max("side").alias("sides")), "sizes")
     fits = (F.col("members") <= leaf_members) & (F.col("weight") <= LEAF_SHINGLES)
     found = []
@@ -326,7 +362,7 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int, leaf_mem
                                                   f"WHEN 100 * (u - i) <= {2 * (100 - percent)} * u THEN 1 ELSE 2 END"))
             found.append(rows.where("ring = 0 AND rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")))
             rest = rows.where("ring > 0").select("region", "rep")
-            counts = rows.join(sets.select("rep", "n"), "rep").groupBy("region").agg(
+            counts = rows.join(lengths, "rep").groupBy("region").agg(
                 F.count(F.when(F.col("ring") <= 1, 1)).alias("members"), F.sum(F.when(F.col("ring") <= 1, F.col("n")).otherwise(0)).alias("weight"),
                 F.count(F.when(F.col("ring") == 1, 1)).alias("mid"),
                 F.count(F.when(F.col("ring") > 0, 1)).alias("left"), F.sum(F.when(F.col("ring") > 0, F.col("n")).otherwise(0)).alias("left_weight"))
