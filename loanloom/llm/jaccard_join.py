@@ -16,6 +16,7 @@ The Jaccard distance is a metric. Sets within ``reach`` = 1 - similarity of each
    reach are linked to the pivot and hence to each other; members within 2 x reach are compared with those in blocks; and
    all members not linked form the next region, with a pivot of their own.
 5. A region that fits is joined exactly, all intersections at once; a spanning set of its links goes out.
+   A region whose members all lie in another one is left out: its pairs meet there.
 
 Links never leave a task as all pairs of a group: regions give at most one link per member.
 """
