@@ -17,8 +17,9 @@ anchor, its k-gram of smallest hash; equal windows have equal anchors at equal p
 4. in each run of neighbours with common prefixes of ``length`` the smallest doc_id keeps the window.
 
 Hot anchors (more than HOT occurrences; at most ANCHOR_LIST of them, sent to all tasks) would fill a bucket: their windows
-are aggregated one by one instead, keyed by two 64-bit hashes, which combine before the shuffle. Texts equal to one with a
-smaller id lose everything without entering a bucket.
+are aggregated one by one instead, keyed by two 64-bit hashes, which combine before the shuffle. They leave the texts in the
+same pass as the strings, in pieces that are groups of their own. Texts equal to one with a smaller id lose everything without
+entering a bucket.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ LENGTH = 50
 HOT, ANCHOR_LIST = 50_000, 4_000_000
 #: bytes of text per bucket
 BUCKET_BYTES = 4 << 20
+#: windows of hot anchors in one piece (9 MB)
+PIECE = 1 << 18
 BLOCK = 2 << 20
 NO_ID = (1 << 63) - 1
 
@@ -187,16 +190,17 @@ def _shared(answers: DataFrame) -> DataFrame:
 
 
 _HEAD = np.dtype([("id", "<i8"), ("th", "<i8"), ("start", "<u4"), ("left", "u1"), ("windows", "u1")])
+_WINDOW = np.dtype([("w1", "<i8"), ("w2", "<i8"), ("id", "<i8"), ("th", "<i8"), ("start", "<u4")])
 
 
-def _strings(texts: DataFrame, length: int, buckets: int, hot_keys: np.ndarray, of_hot: bool) -> DataFrame:
-    """(bucket, heads, strings): the strings of all anchors but the hot ones or, ``of_hot``, rows whose heads hold the single
-    windows of hot anchors: (two hashes, id, th, start)."""
+def _strings(texts: DataFrame, length: int, buckets: int, hot_keys: np.ndarray) -> DataFrame:
+    """(bucket, heads, strings): the strings of all anchors but the hot ones and, in buckets below 0 (one for each piece), rows
+    whose heads hold the single windows of hot anchors: (two hashes, id, th, start)."""
     given = texts.sparkSession.sparkContext.broadcast(hot_keys)
-    window = np.dtype([("w1", "<u8"), ("w2", "<u8"), ("id", "<i8"), ("th", "<i8"), ("start", "<u4")])
 
     def run(batches: Iterator[pa.RecordBatch]):
         hot = given.value
+        me, pieces = TaskContext.get().partitionId(), 0
         for part in steps(batches):
             data, offsets = text_bytes(part.column(3))
             ids, ths = part.column(0).to_numpy(), part.column(1).to_numpy()
@@ -213,19 +217,21 @@ def _strings(texts: DataFrame, length: int, buckets: int, hot_keys: np.ndarray,
             key = (bucket.astype(np.uint64) << np.uint64(32)) | short
             busy = hot[np.minimum(np.searchsorted(hot, key), max(len(hot) - 1, 0))] == key if len(hot) else np.zeros(len(key), bool)
             out = []
-            if of_hot and busy.any():
+            if busy.any():
                 own = np.repeat(np.flatnonzero(busy), n[busy])
                 w = first[own] + np.arange(len(own)) - np.repeat(np.cumsum(n[busy]) - n[busy], n[busy])
-                rows = np.zeros(len(own), window)
+                rows = np.zeros(len(own), _WINDOW)
                 for name, salt in (("w1", 0), ("w2", 0x51ED270B)):
                     # block by block, as the hashes need the powers of a whole block
                     for a in range(0, len(data), BLOCK):
                         mine = (w >= a) & (w < a + BLOCK)
                         if mine.any():
-                            rows[name][mine] = _rolling(data[a:a + BLOCK + length - 1], length, salt)[w[mine] - a]
+                            rows[name][mine] = _rolling(data[a:a + BLOCK + length - 1], length, salt)[w[mine] - a].view(np.int64)
                 rows["id"], rows["th"], rows["start"] = ids[text[own]], ths[text[own]], w - offsets[text[own]]
-                out.append((-1, rows.tobytes(), b""))
-            rest = np.flatnonzero(~busy) if not of_hot else np.zeros(0, np.int64)
+                for a in range(0, len(rows), PIECE):
+                    out.append((-1 - ((me << 32) | pieces), rows[a:a + PIECE].tobytes(), b""))
+                    pieces += 1
+            rest = np.flatnonzero(~busy)
             rest = rest[np.argsort(bucket[rest], kind="stable")]
             at, first, n, text, bucket = at[rest], first[rest], n[rest], text[rest], bucket[rest]
             heads = np.zeros(len(at), _HEAD)
@@ -239,10 +245,10 @@ def _strings(texts: DataFrame, length: int, buckets: int, hot_keys: np.ndarray,
             if not out:
                 continue
             cols = list(zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary())],
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary())],
                                              names=["bucket", "heads", "strings"])
 
-    return texts.select("id", "th", "offsets", "text").mapInArrow(run, "bucket int, heads binary, strings binary")
+    return texts.select("id", "th", "offsets", "text").mapInArrow(run, "bucket long, heads binary, strings binary")
 
 
 def repeated_windows(heads: np.ndarray, symbols: np.ndarray, length: int) -> np.ndarray:
@@ -301,8 +307,14 @@ def repeated_windows(heads: np.ndarray, symbols: np.ndarray, length: int) -> np.
 
 
 def _bucket_spans(strings: DataFrame, length: int) -> DataFrame:
-    """(id, th, start, stop) of the bytes that the windows of each string lose."""
+    """(w1, w2, id, th, start, stop) of the bytes that the windows of each string lose, without hashes; the single windows of hot
+    anchors, lost or not, with them."""
     def work(table: pa.Table) -> pa.Table:
+        names = ["w1", "w2", "id", "th", "start", "stop"]
+        if table.column("bucket")[0].as_py() < 0:
+            r = np.frombuffer(b"".join(table.column("heads").to_pylist()), _WINDOW)
+            start = r["start"].astype(np.int32)
+            return pa.table([*[pa.array(np.ascontiguousarray(r[c])) for c in names[:4]], pa.array(start), pa.array(start + np.int32(length))], names=names)
         heads = np.frombuffer(b"".join(table.column("heads").to_pylist()), _HEAD)
         symbols = np.frombuffer(b"".join(table.column("strings").to_pylist()), np.uint8)
         lost = repeated_windows(heads, symbols, length)
@@ -313,28 +325,17 @@ def _bucket_spans(strings: DataFrame, length: int) -> DataFrame:
         who, a = np.nonzero(change == 1)
         _, b = np.nonzero(change == -1)
         shift = heads["start"][who].astype(np.int64) - (middle - heads["left"][who].astype(np.int64))
-        return pa.table([pa.array(heads["id"][who]), pa.array(heads["th"][who]), pa.array((a + shift).astype(np.int32)),
-                         pa.array((b - 1 + length + shift).astype(np.int32))], names=["id", "th", "start", "stop"])
+        none = pa.nulls(len(who), pa.int64())
+        return pa.table([none, none, pa.array(heads["id"][who]), pa.array(heads["th"][who]), pa.array((a + shift).astype(np.int32)),
+                         pa.array((b - 1 + length + shift).astype(np.int32))], names=names)
 
-    return strings.groupBy("bucket").applyInArrow(
-        work, "id long, th long, start int, stop int")
+    return strings.groupBy("bucket").applyInArrow(work, "w1 long, w2 long, id long, th long, start int, stop int")
 
 
-def _window_spans(strings: DataFrame, length: int) -> DataFrame:
-    """The same for the windows of hot anchors: least id per window, combined before the shuffle."""
-    window = np.dtype([("w1", "<u8"), ("w2", "<u8"), ("id", "<i8"), ("th", "<i8"), ("start", "<u4")])
-
-    def run(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            for raw in batch.column(0):
-                r = np.frombuffer(raw.as_buffer(), window)
-                yield pa.RecordBatch.from_arrays([pa.array(r[c].astype(np.uint64).view(np.int64) if c[0] == "w" else r[c].astype(k))
-                                                  for c, k in (("w1", None), ("w2", None), ("id", np.int64), ("th", np.int64), ("start", np.int32))],
-                                                 names=["w1", "w2", "id", "th", "start"])
-
-    rows = written(strings.select("heads").mapInArrow(run, "w1 long, w2 long, id long, th long, start int"), "windows")
-    least = rows.groupBy("w1", "w2").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most")
-    return rows.join(least, ["w1", "w2"]).where("id > least").select("id", "th", "start", (F.col("start") + length).alias("stop"))
+def _window_spans(windows: DataFrame) -> DataFrame:
+    """(id, th, start, stop) of the windows of hot anchors that are lost: least id per window, combined before the shuffle."""
+    least = windows.groupBy("w1", "w2").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most")
+    return windows.join(least, ["w1", "w2"]).where("id > least").select("id", "th", "start", "stop")
 
 
 def _keyed(docs: DataFrame, length: int) -> DataFrame:
@@ -359,9 +360,10 @@ def spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT, bucket_bytes: i
     plan = written(plan.dropDuplicates(["id", "th"]), "plan")
     # strings take more room than the texts they come from: they are shuffled once and never written
     planned = texts.join(plan, ["id", "th"])
-    found = written(_bucket_spans(_strings(planned, length, buckets, hot_keys, False), length), "found")
+    both = written(_bucket_spans(_strings(planned, length, buckets, hot_keys), length), "found")
+    found = both.where("w1 IS NULL").select("id", "th", "start", "stop")
     if len(hot_keys):
-        found = found.unionByName(_window_spans(_strings(planned, length, buckets, hot_keys, True), length))
+        found = found.unionByName(_window_spans(both.where("w1 IS NOT NULL")))
     per_text = found.groupBy("id", "th").agg(F.collect_list(F.struct("start", "stop")).alias("spans")).withColumn("whole", F.lit(False))
     none = F.lit(None).cast("array<struct<start:int,stop:int>>")
     return written(per_text.unionByName(later.withColumn("whole", F.lit(True)).withColumn("spans", none)), "spans")
