@@ -10,7 +10,7 @@ with the probabilities of the order below. All of that is done per language and
 stands in for languages with few trusted texts.
 
 Scoring looks up the longest known n-gram of every character; contexts that were seen pay their back-off weight. Model tables
-of up to MODEL_ROWS rows go to the tasks (a bound of 60 MB); larger ones are joined with the n-gram counts of the documents,
+of up to MODEL_ROWS rows go to the tasks (a bound of 80 MB); larger ones are joined with the n-gram counts of the documents,
 shard by shard. A text is kept when its perplexity per character is at most the given quantile of its language's trusted
 texts that the model has not seen.
 """
@@ -34,6 +34,8 @@ BEGIN, END = 1, 2
 DIRECT = 1405
 LEAD, TRAIL = 3 + DIRECT, 3 + DIRECT + 2176
 MODEL_ROWS = 5_000_000
+#: parts in which a model table comes to the driver
+PARTS = 8
 #: bytes of text whose n-grams are sorted at once
 STEP_BYTES = 1 << 20
 QUANTILE = 0.995
@@ -142,12 +144,34 @@ def model(highest: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _packed(table: DataFrame, key: str, value: str) -> dict:
-    """{(lang, k): (sorted keys, values)} of a model table of checked size."""
-    df = table.toArrow().to_pandas()
+    """{(lang, k): (sorted keys, values)} of a model table of checked size. Tasks pack the rows into bytes, which come to the
+    driver part by part, so that it holds 16 bytes a row and the copies of one (lang, k) at a time."""
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = batch.column(0).dictionary_encode()
+            of, k = names.indices.fill_null(-1).to_numpy(), batch.column(1).to_numpy()
+            order = np.lexsort((k, of))
+            of, k = of[order], k[order]
+            keys, values = (batch.column(i).to_numpy(zero_copy_only=False)[order] for i in (2, 3))
+            cuts = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (k[1:] != k[:-1]), [True]]))
+            spans = list(zip(cuts[:-1], cuts[1:]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([names.dictionary[int(of[x])].as_py() if of[x] >= 0 else None for x, _ in spans], pa.string()), pa.array(k[cuts[:-1]], pa.int32()),
+                 pa.array([keys[x:y].tobytes() for x, y in spans], pa.binary()), pa.array([values[x:y].tobytes() for x, y in spans], pa.binary())],
+                names=["lang", "k", "keys", "values"])
+
+    rows = table.select("lang", F.col("k").cast("int"), F.col(key).cast("long"), F.col(value).cast("double")).coalesce(PARTS)
     out = {}
-    for (lang, k), part in df.groupby(["lang", "k"], dropna=False):
-        order = np.argsort(part[key].to_numpy())
-        out[(lang if isinstance(lang, str) else None, int(k))] = (part[key].to_numpy()[order], part[value].to_numpy(float)[order])
+    for lang, k, keys, values in rows.mapInArrow(run, "lang string, k int, keys binary, values binary").toLocalIterator():
+        held = out.setdefault((lang, k), (bytearray(), bytearray()))
+        held[0].extend(keys)
+        held[1].extend(values)
+    for name, (keys, values) in out.items():
+        keys, values = np.frombuffer(keys, np.int64), np.frombuffer(values, np.float64)
+        order = np.argsort(keys)
+        out[name] = (keys[order], values[order])
     return out
 
 
