@@ -14,14 +14,16 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loanloom.functions.hashing import hash_int, hash_unit
 from loanloom.operators.ordering import double_array, row_positions
-from loanloom.session import cut_lineage, parallelism
+from loanloom.session import cut_lineage
 
 SLICE_ROWS, ROUNDS = 1024, 8
-QUERY_BLOCK = 1000
+#: queries and rows of a tile of exact distances; queries, and pairs to be subtracted, that are worked on at once
+QUERY_BLOCK, ROW_BLOCK, QUERY_TILE, PAIR_ROWS = 4096, 16384, 256, 1 << 16
 PAIRS_SCHEMA = "id long, other long, d double"
 
 
@@ -89,22 +91,62 @@ def _best(pairs: DataFrame, k: int) -> DataFrame:
     return each.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def least_distances(rows: pa.Table, asked: pa.Table) -> pa.Table:
+    """(q, least): per query of ``asked`` (q, qx) the least squared distance to a row of ``rows`` (id, x) with another id. Vectors of
+    different lengths have no distance; one that is not a number is above all others, as in SQL."""
+    found = {}
+    ids, q = rows.column("id").to_numpy(), asked.column("q").to_numpy()
+    lengths, own = (t.column(c).combine_chunks().value_lengths().to_numpy() for t, c in ((rows, "x"), (asked, "qx")))
+    values, wanted = (t.column(c).combine_chunks().flatten().to_numpy() for t, c in ((rows, "x"), (asked, "qx")))
+    for dims in np.unique(own):
+        to, by = np.repeat(lengths == dims, lengths), np.repeat(own == dims, own)
+        all_ids, all_q = ids[lengths == dims], q[own == dims]
+        x, qx = (v.reshape(len(n), dims) for v, n in ((values[to], all_ids), (wanted[by], all_q)))
+        odd = ~np.isfinite(x).all(axis=1)  # matrix products would spread what is not finite
+        norm = np.where(odd, 0, (np.where(odd[:, None], 0, x) ** 2).sum(axis=1))
+        for at in range(0, len(all_q), QUERY_TILE):
+            some, names = qx[at:at + QUERY_TILE], all_q[at:at + QUERY_TILE]
+            whole = np.isfinite(some).all(axis=1)
+            safe = np.where(whole[:, None], some, 0)
+            size = (safe ** 2).sum(axis=1)
+            d = size[:, None] + norm[None, :] - 2 * (safe @ np.where(odd[:, None], 0, x).T)
+            d[:, odd] = np.inf
+            other = names[:, None] != all_ids[None, :]
+            d[~other] = np.inf
+            slack = 1e-9 * (size + norm.max(initial=0) + 1)
+            near = d <= (d.min(axis=1, initial=np.inf) + slack)[:, None]  # matrix products choose the candidates, differences decide
+            near |= odd[None, :] | ~whole[:, None]
+            who, row = np.nonzero(near & other)
+            for a in range(0, len(who), PAIR_ROWS):
+                w = who[a:a + PAIR_ROWS]
+                with np.errstate(invalid="ignore", over="ignore"):
+                    real = ((some[w] - x[row[a:a + PAIR_ROWS]]) ** 2).sum(axis=1)
+                first = np.flatnonzero(np.diff(w, prepend=-1))
+                for k, v in zip(names[w[first]].tolist(), np.fmin.reduceat(real, first).tolist()):
+                    found[k] = float(np.fmin(found.get(k, np.nan), v))
+    return pa.table([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.float64())], ["q", "least"])
+
+
 def recall(found: DataFrame, vectors: DataFrame, key: str, vector: str, queries: Column) -> DataFrame:
     """(n_queries, hits): of the rows that ``queries`` picks, how many have their exact nearest neighbour among those found.
 
-    The queries are compared with all rows, in blocks of at most QUERY_BLOCK queries and one slot of the rows each, so that no task
-    and no broadcast grows with either.
+    The queries are compared with all rows, in tiles of about QUERY_BLOCK queries and ROW_BLOCK rows that meet by key: no task grows
+    with either, and nothing is broadcast. The pairs are as many as rows times queries; a tile's are matrix products.
     """
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.transform(vector, lambda v: v.cast("double")).alias("x"))
-    asked = cut_lineage(rows.where(queries).select(F.col("id").alias("q"), F.col("x").alias("qx")))
-    blocks, slots = max(1, -(-asked.count() // QUERY_BLOCK)), parallelism(vectors.sparkSession)
-    number = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n))
-    left = rows.select("id", "x", number("id", slots).alias("slot"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    right = asked.select("q", "qx", number("q", blocks).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))
-    d = F.aggregate(F.zip_with("x", "qx", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
-    exact = left.join(right, ["block", "slot"]).where("id <> q").groupBy("q").agg(F.min(d).alias("least"))
+    rows = rows.where("id IS NOT NULL")
+    asked = cut_lineage(rows.where(queries).select(F.col("id").alias("q"), F.col("x").alias("qx")).distinct())
+    others = rows.select("id").distinct().limit(2).count() > 1  # else no query has another row
+    blocks, slots = max(1, -(-asked.count() // QUERY_BLOCK)), max(1, -(-rows.count() // ROW_BLOCK))
+    number = lambda c, x, n: F.pmod(F.xxhash64(c, x), F.lit(n))
+    spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    known = lambda x: F.forall(x, lambda v: v.isNotNull())
+    left = rows.where(known("x")).distinct().withColumn("slot", number("id", "x", slots)).withColumn("block", spread(blocks))
+    right = asked.where(known("qx")).withColumn("block", number("q", "qx", blocks)).withColumn("slot", spread(slots))
+    tiles = left.groupBy("block", "slot").cogroup(right.groupBy("block", "slot"))
+    exact = tiles.applyInArrow(least_distances, "q long, least double").groupBy("q").agg(F.min("least").alias("least"))
     best = found.where("rank = 1").select(F.col("id").alias("q"), F.col("d").alias("mine"))
-    both = exact.join(best, "q", "left")
+    both = asked.where(F.lit(others)).select("q").distinct().join(exact, "q", "left").join(best, "q", "left")
     return both.agg(F.count("*").alias("n_queries"), F.count_if(F.col("mine") <= F.col("least") * (1 + 1e-9)).alias("hits"))
 
 
