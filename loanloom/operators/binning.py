@@ -185,12 +185,14 @@ def apply_woe(df: DataFrame, model: WoeModel, features: Sequence[str] | None = N
     """Adds ``{feature}_woe``; unseen values take the missing bin's WOE, else 0.
 
     Numeric bins become an indexed literal array. Categories join the table, whose size may grow with
-    the data, so the join strategy is left to the planner.
+    the data, so the join strategy is left to the planner. The table is written first: its size is known then, and
+    a small one does not send the rows to one task per category.
     """
     features = list(features or model.features)
     numeric = [f for f in features if f in model.edges]
+    table = cut_lineage(model.table.select("feature", "bin", "woe"))
     small = {(r["feature"], r["bin"]): r["woe"] for r in
-             model.table.where(F.col("feature").isin(numeric) | (F.col("bin") == MISSING)).collect()}
+             table.where(F.col("feature").isin(numeric) | (F.col("bin") == MISSING)).collect()}
     for f in features:
         absent = float(small.get((f, MISSING), 0.0))
         if f in model.edges:
@@ -199,7 +201,7 @@ def apply_woe(df: DataFrame, model: WoeModel, features: Sequence[str] | None = N
             spot = F.get(double_array(woes), right_closed_bin(f, model.edges[f]) - 1)
             df = df.withColumn(f"{f}_woe", F.coalesce(spot, F.lit(absent)))
         else:
-            part = model.table.where(F.col("feature") == f).select(F.col("bin").alias("_b"), F.col("woe").alias("_w"))
+            part = table.where(F.col("feature") == f).select(F.col("bin").alias("_b"), F.col("woe").alias("_w"))
             df = (
                 df.join(part, F.coalesce(F.col(f).cast("string"), F.lit(MISSING)) == F.col("_b"), "left")
                 .withColumn(f"{f}_woe", F.coalesce("_w", F.lit(absent)))

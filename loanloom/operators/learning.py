@@ -77,21 +77,26 @@ def _fit_sums(x: DataFrame, features: Sequence[str], without: np.ndarray, beta:
     """For every model, over the rows outside of its fold: weight, weight of label 1, loss, gradient and Hessian at ``beta`` (the
     last coefficient is the intercept). One pass over the rows; a task sends one sum per number."""
     models, k = beta.shape
+    one, two = np.triu_indices(k)
 
     def run(batches):
-        total = np.zeros((models, 3 + k + k * k))
+        total, upper = np.zeros((models, 3 + k + k * k)), np.zeros((models, len(one)))
         for batch in batches:
             cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             rows = np.column_stack([*cols[3:], np.ones(batch.num_rows)])
-            y, weight, fold = cols[:3]
-            for m in range(models):
-                z = rows @ beta[m]
-                w = weight * (fold != without[m])
-                soft = np.logaddexp(0, z)
-                p = np.exp(z - soft)
-                total[m, :3] += w.sum(), w @ y, w @ (soft - y * z)
-                total[m, 3:3 + k] += (w * (p - y)) @ rows
-                total[m, 3 + k:] += (((w * p * (1 - p))[:, None] * rows).T @ rows).ravel()
+            y, weight, fold = (c[:, None] for c in cols[:3])
+            z = rows @ beta.T
+            w = weight * (fold != without)
+            soft = np.logaddexp(0, z)
+            p = np.exp(z - soft)
+            total[:, 0] += w.sum(axis=0)
+            total[:, 1] += (w * y).sum(axis=0)
+            total[:, 2] += (w * (soft - y * z)).sum(axis=0)
+            total[:, 3:3 + k] += (w * (p - y)).T @ rows
+            upper += (w * p * (1 - p)).T @ (rows[:, one] * rows[:, two])
+        hessian = np.zeros((models, k, k))
+        hessian[:, one, two] = hessian[:, two, one] = upper
+        total[:, 3 + k:] = hessian.reshape(models, -1)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size, dtype=np.int32)), pa.array(total.ravel())], names=["at", "v"])
 
     sums = x.select("label", "weight", "fold", *features).mapInArrow(run, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).toArrow()
@@ -144,8 +149,8 @@ def fit_scorecard_cv(df: DataFrame, features: Sequence[str], label: str, key: st
     weighted = with_class_weight(df, label).withColumns({"_label": F.col(label).cast("double"), "_fold": fold_of(key, folds)})
     names = [f"x{i}" for i in range(len(features))]  # a feature may have any name
     filled = [F.coalesce(F.col(c).cast("double"), F.lit(MISSING_VALUE)).alias(n) for c, n in zip(features, names)]
-    x = hold(weighted.select(F.col("_label").alias("label"), "weight", F.col("_fold").alias("fold"), *filled))
-    n = float(x.count()) * (folds - 1) / folds
+    held, x, n_rows = training_rows(weighted.select(F.col("_label").alias("label"), "weight", F.col("_fold").alias("fold"), *filled))
+    n = float(n_rows) * (folds - 1) / folds
     models = [(i, c) for i in range(folds) for c in strengths]
     beta = fit_without_folds(x.where("fold IS NOT NULL"), names, [i for i, _ in models], [1 / (c * n) for _, c in models])
 
@@ -155,7 +160,7 @@ def fit_scorecard_cv(df: DataFrame, features: Sequence[str], label: str, key: st
         return BinaryClassificationEvaluator().evaluate(scored)
 
     aucs = np.mean(np.reshape(side_by_side(auc, range(len(models))), (folds, len(strengths))), axis=0)
-    x.unpersist()
+    held.unpersist()
     best = strengths[int(np.argmax(aucs))]
     table = small_frame(df.sparkSession, [{"c": float(c), "auc": float(a)} for c, a in zip(strengths, aucs)])
     return fit_scorecard(df, features, label, best), table
